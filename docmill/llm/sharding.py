@@ -81,20 +81,18 @@ def place(key: Column, tree: Sequence[Leaf]) -> Column:
     return descend(tree, 0, "").cast("int")
 
 
-def number_slots(df: DataFrame, shard: str, key: str, order: Sequence[str], out: str = "slot", parts: int = SLOT_PARTS) -> DataFrame:
-    """Gapless numbers from 0 within each shard.
+def number_slots(df: DataFrame, group: str, key: Sequence[str], order: Sequence[str], out: str = "slot", parts: int = SLOT_PARTS) -> DataFrame:
+    """Gapless numbers from 0 within each group, whose values are few.
 
-    A shard's rows are dealt by a hash of the key to parts that are counted and sorted apart, so no task holds a
-    shard. The counts read the key column alone; their table has at most shards x parts rows.
+    A group's rows are dealt by a hash of the key columns to parts that are counted and sorted apart, so no task holds
+    a group. The counts read the group and the key alone; their table has at most groups x parts rows.
     """
-    part = F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(parts)).cast("int")
-    df = df.withColumn("_part", part)
-    counts = df.groupBy(F.col(shard).alias("_shard"), F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.selectExpr("_shard", "_of", "sum(_n) OVER (PARTITION BY _shard ORDER BY _of ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _before")
-    rank = F.row_number().over(Window.partitionBy(shard, "_part").orderBy(key, *order))
-    numbered = df.withColumn("_rank", rank)
-    joined = numbered.join(before, (F.col(shard) == F.col("_shard")) & (F.col("_part") == F.col("_of")), "left")
-    return joined.withColumn(out, (F.coalesce("_before", F.lit(0)) + F.col("_rank") - 1).cast("long")).drop("_shard", "_of", "_part", "_rank", "_before")
+    df = df.withColumn("_part", F.pmod(F.xxhash64(*key, F.lit("slot")), F.lit(parts)).cast("int"))
+    counts = df.groupBy(F.col(group).alias("_group"), F.col("_part").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = counts.selectExpr("_group", "_of", "sum(_rows) OVER (PARTITION BY _group ORDER BY _of ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _before")
+    numbered = df.withColumn("_at", F.row_number().over(Window.partitionBy(group, "_part").orderBy(*key, *order)))
+    joined = numbered.join(before, (F.col(group) == F.col("_group")) & (F.col("_part") == F.col("_of")), "left")
+    return joined.withColumn(out, (F.coalesce("_before", F.lit(0)) + F.col("_at") - 1).cast("long")).drop("_group", "_of", "_part", "_at", "_before")
 
 
 def shard_documents(docs: DataFrame, tree: Sequence[Leaf], grown: Sequence[Leaf] | None = None) -> DataFrame:
@@ -109,7 +107,7 @@ def shard_documents(docs: DataFrame, tree: Sequence[Leaf], grown: Sequence[Leaf]
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 8).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"), F.lit(LAW).alias("law")
     )
     rows = rows.withColumns({"shard": place(F.col("doc_id"), tree), "grown_shard": place(F.col("doc_id"), grown or grow(tree))})
-    return number_slots(rows, "shard", "doc_id", ["size", "text_crc32"]).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return number_slots(rows, "shard", ["doc_id"], ["size", "text_crc32"]).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def op1_sharding(spark, sf_dir: str) -> DataFrame:
