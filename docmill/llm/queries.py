@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docmill.llm.audio import op10_audio_features
 from docmill.llm.fingerprints import op8_fingerprints
 from docmill.llm.packing import op2_packing
 from docmill.llm.sharding import op1_sharding
@@ -14,5 +15,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op8_fingerprints": op8_fingerprints,
+    "op10_audio_features": op10_audio_features,
 }
 ORACLE_SQL: dict[str, str] = {}
