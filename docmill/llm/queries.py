@@ -10,12 +10,14 @@ from docmill.llm.audio import op10_audio_features
 from docmill.llm.fingerprints import op8_fingerprints
 from docmill.llm.langid import op6_language_id
 from docmill.llm.packing import op2_packing
+from docmill.llm.recompression import op7_substring_dedup
 from docmill.llm.sharding import op1_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op6_language_id": op6_language_id,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
     "op10_audio_features": op10_audio_features,
 }
