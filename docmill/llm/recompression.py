@@ -257,7 +257,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_te
     found = rows.mapInArrow(_stretch_rows(window, rounds), _STRETCH)
     names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("low"), F.max("text").alias("high"))
     again = Stored(names.where("n > 1").select("name", (F.col("low") == F.col("high")).alias("same"))).df
-    there = found.join(again, "name")
+    # written, as the readers below need different columns of it and would shuffle all stretches once each
+    there = Stored(found.join(again, "name")).df
     whole = there.where("same").select("_id", "_tag", "place")
     # one stretch stands for all of its name with equal words
     kinds = there.where("NOT same").groupBy("name", "text").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("_id", "_tag", "place")])
