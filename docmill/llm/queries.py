@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docmill.llm.audio import op10_audio_features
 from docmill.llm.fingerprints import op8_fingerprints
+from docmill.llm.jaccard import op4_ngram_jaccard
 from docmill.llm.langid import op6_language_id
 from docmill.llm.packing import op2_packing
 from docmill.llm.recompression import op7_substring_dedup
@@ -16,6 +17,7 @@ from docmill.llm.sharding import op1_sharding
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_language_id": op6_language_id,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
