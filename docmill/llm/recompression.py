@@ -184,7 +184,7 @@ def _grown(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple
         for k, body in enumerate(batch.column("_body")):
             held.append(unpack.decompress(body.as_py()))
             size += len(held[-1])
-            if size >= 1 << 21 or k + 1 == batch.num_rows:
+            if size >= 1 << 20 or k + 1 == batch.num_rows:
                 yield batch.slice(at, k + 1 - at), pa.array(held, pa.binary()).cast(pa.string())
                 held, size, at = [], 0, k + 1
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text bytes that are handled at once, unless one text alone is longer.
-STEP = 1 << 21
+STEP = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
