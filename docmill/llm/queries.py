@@ -10,6 +10,7 @@ from docmill.llm.audio import op10_audio_features
 from docmill.llm.fingerprints import op8_fingerprints
 from docmill.llm.jaccard import op4_ngram_jaccard
 from docmill.llm.langid import op6_language_id
+from docmill.llm.ngram_lm import op5_lm_score
 from docmill.llm.packing import op2_packing
 from docmill.llm.recompression import op7_substring_dedup
 from docmill.llm.sharding import op1_sharding
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_lm_score": op5_lm_score,
     "op6_language_id": op6_language_id,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_fingerprints": op8_fingerprints,
