@@ -29,6 +29,8 @@ BITS = 16
 LEXICON = 20000
 EPOCHS, BATCH, RATE = 3, 512, 0.25
 UNKNOWN = "und"
+#: Share of a text's letters that its language needs to be accepted.
+LEAST = 0.5
 #: Orders of the n-grams of bytes; a border counts as a byte.
 ORDERS = (1, 2, 3, 4)
 _STOPS = np.zeros(256, bool)
@@ -231,6 +233,30 @@ def label_words(column: pa.Array, model: Model) -> tuple[Words, np.ndarray]:
     return words, forward_backward(scores, chains(words), model.transitions, model.begin)
 
 
+def _predict(texts: pa.Array, model: Model | None, with_words: bool) -> tuple[list[str], np.ndarray, list[list[dict]]]:
+    """Each text's language, its share of the letters, and, if asked for, its runs of words of one language."""
+    n = len(texts)
+    preds, score, runs = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
+    if model is not None:
+        words, marginals = label_words(texts, model)
+        plain = np.concatenate(([0], np.cumsum(_LETTERS[words.bytes])))
+        letters = plain + np.concatenate(([0], np.cumsum(words.bytes >= 128)))
+        weight = (letters[words.end] - letters[words.start]).astype(np.float64)
+        ascii = np.bincount(words.doc, (plain[words.end] - plain[words.start]), minlength=n) > 0
+        total = np.zeros((n, len(model.langs)))
+        for k in range(len(model.langs)):
+            total[:, k] = np.bincount(words.doc, weight * marginals[:, k], minlength=n)
+        best = total.argmax(axis=1)
+        for d in range(n):
+            if total[d].sum() > 0 and (ascii[d] or has_letter(texts[d].as_py())):
+                preds[d], score[d] = model.langs[best[d]], min(1.0, total[d, best[d]] / total[d].sum())
+                if with_words:
+                    own = marginals[words.first[d] : words.first[d + 1]].argmax(axis=1)
+                    turns = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1], [True])))
+                    runs[d] = [{"lang": model.langs[own[a]], "words": int(b - a)} for a, b in zip(turns[:-1], turns[1:], strict=True)]
+    return preds, score, runs
+
+
 def identify(docs: DataFrame, model: Model | None, with_words: bool = False) -> DataFrame:
     """doc_id, lang_pred and score of every whole text; with_words, also the spans of words of one language.
 
@@ -244,25 +270,7 @@ def identify(docs: DataFrame, model: Model | None, with_words: bool = False) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(shared.value)
         for batch in slices(batches):
-            texts, n = batch.column("text"), batch.num_rows
-            preds, score, runs = [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
-            if model is not None:
-                words, marginals = label_words(texts, model)
-                plain = np.concatenate(([0], np.cumsum(_LETTERS[words.bytes])))
-                letters = plain + np.concatenate(([0], np.cumsum(words.bytes >= 128)))
-                weight = (letters[words.end] - letters[words.start]).astype(np.float64)
-                ascii = np.bincount(words.doc, (plain[words.end] - plain[words.start]), minlength=n) > 0
-                total = np.zeros((n, len(model.langs)))
-                for k in range(len(model.langs)):
-                    total[:, k] = np.bincount(words.doc, weight * marginals[:, k], minlength=n)
-                best = total.argmax(axis=1)
-                for d in range(n):
-                    if total[d].sum() > 0 and (ascii[d] or has_letter(texts[d].as_py())):
-                        preds[d], score[d] = model.langs[best[d]], min(1.0, total[d, best[d]] / total[d].sum())
-                        if with_words:
-                            own = marginals[words.first[d] : words.first[d + 1]].argmax(axis=1)
-                            turns = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1], [True])))
-                            runs[d] = [{"lang": model.langs[own[a]], "words": int(b - a)} for a, b in zip(turns[:-1], turns[1:], strict=True)]
+            preds, score, runs = _predict(batch.column("text"), model, with_words)
             columns = [batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(score, pa.float64())]
             if with_words:
                 columns.append(pa.array(runs, pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int32())]))))
@@ -271,6 +279,19 @@ def identify(docs: DataFrame, model: Model | None, with_words: bool = False) ->
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
+    """The rows of docs, all columns, whose text has a language with a share of `least` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.loads(shared.value)
+        for batch in slices(batches):
+            preds, score, _ = _predict(batch.column("text"), model, False)
+            yield batch.filter(pa.array([p != UNKNOWN and s >= least for p, s in zip(preds, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id, parts: int, part: int):
     """Whether crc32 of the doc_id as text leaves `part` modulo `parts`; false for a null doc_id."""
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % parts == part, F.lit(False))

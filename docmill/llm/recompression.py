@@ -1,10 +1,11 @@
 """Substring deduplication of word sequences by recompression.
 
-Rounds of recompression name runs of one symbol and pairs of a left and a right symbol, the alphabet being split in two
-by a hash of the symbol and the round. A name is a 64-bit hash of what it stands for, so it is global without any table
+Recompression names runs of one word, then, in rounds, pairs of a left and a right symbol, the alphabet being split in
+two by a hash of the symbol and the round. A name is a 64-bit hash of what it stands for, so it is global without any table
 of names: equal word sequences get equal symbols inside, wherever they stand. With each symbol goes its reach, the
-words that decided it: a pair was decided by its halves, a symbol that stayed by its neighbour too, a run by the words
-around it.
+words that decided it: a pair was decided by its halves, a symbol that stayed by its neighbour too, a word or run of
+words by the words around it. (Runs of later symbols are left as they are: to name them, every symbol's reach would have
+to grow by its neighbours once a round, and windows would hold none.)
 
 A window of WINDOW words is named by the least symbol whose reach lies inside it (by itself, if there is none), which
 its words alone decide; so equal windows share a symbol at one place. Consecutive windows named by one occurrence of a
@@ -16,19 +17,20 @@ one by the hashes of their words.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docmill.llm.tables import Stored
 from docmill.llm.textbatch import Words, lists, mix, slices, spans
 
 WINDOW = 35
-#: Rounds of pairs; the mean symbol then spans five words, and few windows of 35 words lack one.
-ROUNDS = 6
+#: Rounds of pairs; the mean symbol then spans four words, and few windows of 35 words lack one.
+ROUNDS = 5
 _NAME = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = 0xC2B2AE3D27D4EB4F
 
@@ -50,25 +52,16 @@ class Symbols:
         self.name, self.at, self.low, self.high, self.of = name[heads], self.at[heads], low[heads], high[heads], self.of[heads]
 
     def runs(self) -> None:
-        """Runs of one symbol become one; the symbols beside a run have decided where it ends."""
-        joined = self._joined()
-        again = joined.copy()
+        """Runs of one word become one symbol. Whether a word is alone or where a run ends, its neighbours decide, so
+        the reach goes one word beyond each side; at the edge of a text it goes past the edge."""
+        again = self._joined()
         again[1:] &= self.name[1:] == self.name[:-1]
-        if not again.any():
-            return
         heads = np.flatnonzero(~again)
-        ends = np.append(heads[1:], len(self.name))
-        runs = np.flatnonzero(ends - heads > 1)
-        a, b = heads[runs], ends[runs]
-        name, low, high = self.name.copy(), self.low.copy(), self.high.copy()
-        name[a] = mix(self.name[a] * _NAME + (b - a).astype(np.uint64))
-        before, after = joined[a], np.append(joined, False)[b]
-        low[a] = np.where(before, self.low[a - 1], np.minimum.reduceat(self.low, a) if len(a) else 0)
-        low[a] = np.minimum(low[a], self.low[a])
-        high[a] = np.maximum(self.high[b - 1], np.where(after, self.high[np.minimum(b, len(self.high) - 1)], 0))
-        # a run at the edge of its text ends there whatever a longer text would hold: its reach goes past the edge
-        low[a] = np.where(before, low[a], low[a] - 1)
-        high[a] = np.where(after, high[a], high[a] + 1)
+        size = np.diff(np.append(heads, len(self.name)))
+        name, low, high = self.name.copy(), self.low - 1, self.high.copy()
+        runs = size > 1
+        name[heads[runs]] = mix(self.name[heads[runs]] * _NAME + size[runs].astype(np.uint64))
+        high[heads] = self.at[heads] + size + 1
         self._keep(heads, name, low, high)
 
     def pairs(self, number: int) -> None:
@@ -96,8 +89,8 @@ class Symbols:
 
 def symbols(words: np.ndarray, of: np.ndarray, rounds: int = ROUNDS) -> Symbols:
     out = Symbols(words, of)
+    out.runs()
     for k in range(rounds):
-        out.runs()
         out.pairs(k)
     return out
 
@@ -140,16 +133,18 @@ class Stretches:
 
 #: A place packs a stretch's first window and its number of windows (the window at most, if reaches are not empty).
 _PLACE = 64
-_TEXT = [("_id", pa.int64()), ("_tag", pa.int64()), ("_body", pa.binary())]
 _STRETCH = "name long, text long, _id long, _tag long, place long"
 _WINDOW = "name long, hash long, _id long, _tag long, start long, weight int"
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """_id and _tag name a row: doc_id and the checksum of the text, with a bit for a null doc_id. Rows equal in both are equal."""
+def _keyed(docs: DataFrame, others: list[str]) -> DataFrame:
+    """_id and _tag name a row: doc_id and the checksum of the text, with a bit for a null doc_id. Rows equal in both are equal.
+
+    The columns in `others` come along as _0, _1 and so on.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     tag = F.crc32(F.encode(text, "UTF-8")) + F.col("doc_id").isNull().cast("long") * F.lit(1 << 32)
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), tag.alias("_tag"), text.alias("text"))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), tag.alias("_tag"), text.alias("text"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(others)])
 
 
 def _stretch_rows(window: int, rounds: int):
@@ -171,7 +166,8 @@ def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for batch in slices(batches):
         bodies = [pack.compress(t.as_py().encode()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_tag"), pa.array(bodies, pa.binary())], names=[n for n, _ in _TEXT])
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "_body", pa.array(bodies, pa.binary()))
 
 
 def _grown(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
@@ -238,14 +234,22 @@ def _kept_rows(window: int, with_text: bool):
             for d in range(batch.num_rows):
                 own = range(words.first[d], words.first[d + 1])
                 kept.append(b" ".join(data[words.start[k] : words.end[k]] for k in own if not gone[k]))
-            last = [pa.array(kept, pa.binary()).cast(pa.string())] if with_text else [pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_tag"), pa.array(n), pa.array(removed), *last], names=["_id", "_tag", "n_words", "n_removed", "kept"])
+            if with_text:
+                whole = [t if not r else None for t, r in zip(texts, removed, strict=True)]
+                last = pa.array([k.decode() if w is None else w.as_py() for k, w in zip(kept, whole, strict=True)], pa.string())
+            else:
+                last = pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())
+            rest = [c for c in batch.schema.names if c not in ("_id", "_tag", "_body", "places")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "_tag", *rest)), pa.array(n), pa.array(removed), last], names=["_id", "_tag", *rest, "n_words", "n_removed", "kept"])
 
     return run
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_text: bool = True) -> DataFrame:
-    """The words of each row that no repeated window covers: _id, _tag, n_words, n_removed and kept (text, or its SHA-256).
+def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_text: bool = True, others: Sequence[str] = ()) -> DataFrame:
+    """The words of each row that no repeated window covers: _id, _tag, n_words, n_removed and kept; and the `others`, as _0, _1 ...
+
+    kept holds the words joined by one space, or the text as it was if nothing goes; without with_text, it is the
+    SHA-256 of the joined words.
 
     A window is `window` consecutive words of one text; it is repeated if its words also start anywhere else in docs,
     its own text included. Repeated windows are judged on docs as they are. A null text is empty and keeps nothing.
@@ -253,8 +257,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_te
     """
     if not 1 <= window < _PLACE:
         raise ValueError(f"a window has 1 to {_PLACE - 1} words")
-    rows = _keyed(docs)
-    found = rows.mapInArrow(_stretch_rows(window, rounds), _STRETCH)
+    others = list(others)
+    rows = _keyed(docs, others)
+    found = rows.select("_id", "_tag", "text").mapInArrow(_stretch_rows(window, rounds), _STRETCH)
     names = found.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("low"), F.max("text").alias("high"))
     again = Stored(names.where("n > 1").select("name", (F.col("low") == F.col("high")).alias("same"))).df
     # written, as the readers below need different columns of it and would shuffle all stretches once each
@@ -266,15 +271,31 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_te
     listed = kinds.groupBy("_id", "_tag").agg(F.collect_list(F.struct("name", "place", weight)).alias("stretches"))
     # stretches of several equals repeat whole, wherever they stand
     twins = there.where("NOT same").join(kinds.where("n > 1").select("name", "text"), ["name", "text"], "left_semi").select("_id", "_tag", "place")
-    bodies = rows.mapInArrow(_shrink, "_id long, _tag long, _body binary")
+    carried = [T.StructField(f"_{k}", docs.schema[c].dataType) for k, c in enumerate(others)]
+    bodies = rows.mapInArrow(_shrink, T.StructType([T.StructField("_id", T.LongType()), T.StructField("_tag", T.LongType()), T.StructField("_body", T.BinaryType()), *carried]))
     windows = bodies.join(listed, ["_id", "_tag"]).mapInArrow(_window_rows(window), _WINDOW)
     seen = windows.groupBy("name", "hash").agg(F.sum("weight").alias("n")).where("n > 1").select("name", "hash")
     single = windows.where("weight = 1").join(seen, ["name", "hash"], "left_semi").select("_id", "_tag", (F.col("start") * _PLACE + 1).alias("place"))
     places = whole.unionByName(twins).unionByName(single).groupBy("_id", "_tag").agg(F.collect_set("place").alias("places"))
-    out = "_id long, _tag long, n_words long, n_removed long, kept string"
+    found = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept", T.StringType())]
+    out = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_tag", T.LongType()), *carried, *[T.StructField(n, t) for n, t in found]])
     return bodies.join(places, ["_id", "_tag"], "left").mapInArrow(_kept_rows(window, with_text), out)
 
 
+def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """docs, all columns, with the words of repeated windows taken out of text and n_chars, if there, counted anew.
+
+    Rows of which nothing is left go; untouched rows stay as they were.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = repeats(docs, window, others=others).where("n_removed < n_words OR n_words = 0")
+    column = {c: F.col(f"_{k}").alias(c) for k, c in enumerate(others)} | {"doc_id": _doc_id(), "text": F.col("kept").alias("text")}
+    if "n_chars" in column:
+        length = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+        column["n_chars"] = F.when(F.col("n_removed") > 0, length).otherwise(column["n_chars"]).alias("n_chars")
+    return rows.select(*[column[c] for c in docs.columns])
+
+
 def _doc_id() -> Column:
     return F.when(F.col("_tag") < 1 << 32, F.col("_id")).alias("doc_id")
 

@@ -7,7 +7,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from docmill.llm.recompression import Stretches, op7_substring_dedup, repeats
+from docmill.llm.recompression import Stretches, deduplicated, op7_substring_dedup, repeats
 from docmill.llm.textbatch import mix, spans
 
 
@@ -28,7 +28,7 @@ def brute(texts, window):
     return out
 
 
-@settings(deadline=None, max_examples=150)
+@settings(deadline=None, max_examples=1500)
 @given(st.lists(st.lists(st.integers(0, 2), max_size=40), min_size=1, max_size=4), st.integers(1, 9), st.integers(0, 7))
 def test_equal_windows_share_a_name_and_a_place(texts, window, rounds):
     first = np.cumsum([0, *map(len, texts)])
@@ -44,9 +44,9 @@ def test_equal_windows_share_a_name_and_a_place(texts, window, rounds):
     assert len(seen) == sum(max(0, len(t) - window + 1) for t in texts)
 
 
-def check(spark, rows, window, rounds=6, schema="doc_id long, text string"):
+def check(spark, rows, window, rounds=5, schema="doc_id long, text string"):
     got = repeats(spark.createDataFrame(rows, schema).repartition(3), window, rounds).collect()
-    want = brute([r[1] for r in rows], window)
+    want = [(n, gone, kept if gone else r[1] or "") for r, (n, gone, kept) in zip(rows, brute([r[1] for r in rows], window), strict=True)]
     assert sorted((r.n_words, r.n_removed, r.kept) for r in got) == sorted(want)
     ids = {(r._id, r.n_words, r.n_removed, r.kept) for r in got}
     assert ids == {(r[0] or 0, *w) for r, w in zip(rows, want, strict=True)}
@@ -83,6 +83,13 @@ def test_edge_cases(spark):
     assert repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_deduplicated_keeps_columns_and_untouched_rows(spark):
+    rows = [(1, "a  b\nc", "x", 6, "y"), (2, "p q r s t", "x", 9, "y"), (3, "0 p q r s t 1", None, 13, "z"), (None, "", "x", 0, "y")]
+    got = deduplicated(spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, _tag string"), 5)
+    assert got.columns == ["doc_id", "text", "lang", "n_chars", "_tag"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[0], (3, "0 1", None, 3, "z"), rows[3]], key=str)
+
+
 def test_query(spark):
     got = {r.doc_id: r for r in op7_substring_dedup(spark, "/root/testdata/sf0.001").collect()}
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
