@@ -6,8 +6,8 @@ stores the best score and its backpointer.
 
 The vocabulary is byte-pair encoded: its scores rank merges, and the path of the best sum is not its encoding. A
 sequence of pieces is the encoding exactly if each piece, and each two neighbours, encode to themselves; so the search
-scores a piece only behind a piece that it may follow. Whether one may follow another is found once by merging the two
-and kept in sorted arrays.
+scores a piece only behind a piece that it may follow. Whether one may follow another is found by merging the two and
+kept in a table of fixed size.
 """
 
 from __future__ import annotations
@@ -23,12 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.textbatch import mix, slices, spans
+from docmill.llm.textbatch import mix, powers, slices, spans
 
 MODEL = "piece_bpe_32k.model"
 SPACE = 0x2581
 #: Longer words are merged one at a time; words that are kept between batches of a task.
-LONGEST, KEPT = 200, 400_000
+LONGEST, KEPT = 200, 1_000_000
+#: Text bytes that are encoded at once: the more distinct words advance together, the fewer steps there are.
+STEP = 1 << 22
+#: Slots of the table of pieces that follow each other, and of the marks of hashes that may be pieces.
+SLOTS, MARKS = 1 << 22, 1 << 20
 _CHARS = 0xA0761D6478BD642F
 #: Ids from here on stand for characters that are no piece; bytes spell them.
 _OTHER = 1 << 20
@@ -66,7 +70,9 @@ class Pieces:
         self.ends = np.concatenate(([0], np.cumsum([len(x) for x in out])))
         self.data = np.frombuffer(b"".join(out), np.uint8)
         self.alone = {}
-        self.pairs, self.follows = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.marks = np.zeros(MARKS, bool)
+        self.marks[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        self.pairs, self.follows = np.full(SLOTS, -1, np.int64), np.zeros(SLOTS, bool)
 
     def merged(self, word: str) -> list[int]:
         """Merges the best neighbours, the left ones first among equals, until none make a piece; ids, with _OTHER ones."""
@@ -103,46 +109,60 @@ class Pieces:
     def may_follow(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Whether each second piece may stand behind its first one; a first of -1 is the start of the word."""
         codes = (first + 1) * (1 << 22) + second
-        at = np.minimum(np.searchsorted(self.pairs, codes), max(0, len(self.pairs) - 1))
-        known = self.pairs[at] == codes if len(self.pairs) else np.zeros(len(codes), bool)
-        if not known.all():
-            new = np.unique(codes[~known])
+        slot = (mix(codes.astype(np.uint64)) >> np.uint64(42)).astype(np.int64)
+        out = self.follows[slot]
+        strange = np.flatnonzero(self.pairs[slot] != codes)
+        if len(strange):
+            new, which = np.unique(codes[strange], return_inverse=True)
             found = []
             for c in new.tolist():
                 a, b = c // (1 << 22) - 1, c % (1 << 22)
                 found.append(self._may_stand(b) and (a < 0 or max(a, b) >= _OTHER or self.merged(self.text[a] + self.text[b]) == [a, b]))
-            pairs = np.concatenate((self.pairs, new))
-            order = np.argsort(pairs)
-            self.pairs, self.follows = pairs[order], np.concatenate((self.follows, np.array(found, bool)))[order]
-            at = np.searchsorted(self.pairs, codes)
-        return self.follows[at]
+            found = np.array(found, bool)
+            out[strange] = found[which]
+            # one of those that share a slot stays; the others are found again when they are needed
+            at = (mix(new.astype(np.uint64)) >> np.uint64(42)).astype(np.int64)
+            at, one = np.unique(at, return_index=True)
+            self.pairs[at], self.follows[at] = new[one], found[one]
+        return out
+
+    def _candidates(self, words: np.ndarray) -> list[np.ndarray]:
+        """For each size from 1, the piece (or -1) that each word has from each place on."""
+        n, length = words.shape
+        total = np.zeros((n, length + 1), np.uint64)
+        np.cumsum(_values(words.ravel()).reshape(n, length) * powers(_CHARS, length), axis=1, out=total[:, 1:])
+        back = powers(pow(_CHARS, -1, 1 << 64), length + 1)
+        out = []
+        for size in range(1, min(length, self.longest) + 1):
+            names = mix((total[:, size:] - total[:, :-size]) * back[: length - size + 1] + np.uint64(size))
+            piece = np.full(names.shape, -1, np.int64)
+            row, place = np.nonzero(self.marks[(names >> np.uint64(44)).astype(np.int64)])
+            own = names[row, place]
+            at = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+            piece[row, place] = np.where(self.keys[at] == own, self.ids[at], -1)
+            out.append(piece)
+        out[0] = np.where(out[0] < 0, _OTHER + words.astype(np.int64), out[0])
+        return out
 
     def search(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The encodings of words of one length (a row of code points each), one after another, and the ids of each."""
         n, length = words.shape
-        hashed = _values(words.ravel()).reshape(n, length)
-        flat, base = hashed.ravel(), np.arange(n) * length
+        found = self._candidates(words)
         score = np.full((n, length + 1), -np.inf)
         score[:, 0] = 0
         last, back = np.full((n, length + 1), -1, np.int64), np.zeros((n, length + 1), np.int64)
         for end in range(1, length + 1):
-            for size in range(1, min(end, self.longest) + 1):
-                rows = np.flatnonzero(score[:, end - size] > -np.inf)
-                if not len(rows):
-                    continue
-                # each row's substring, hashed within the row: columns are few, so the spans are short
-                names = spans(flat[(base[rows, None] + np.arange(end - size, end)).ravel()], np.arange(len(rows)) * size, np.arange(1, len(rows) + 1) * size, _CHARS)
-                at = np.minimum(np.searchsorted(self.keys, names), len(self.keys) - 1)
-                piece = np.where(self.keys[at] == names, self.ids[at], -1)
-                if size == 1:
-                    piece = np.where(piece < 0, _OTHER + words[rows, end - 1].astype(np.int64), piece)
-                rows, piece = rows[piece >= 0], piece[piece >= 0]
-                fits = self.may_follow(last[rows, end - size], piece)
-                rows, piece = rows[fits], piece[fits]
-                total = score[rows, end - size] + np.where(piece < _OTHER, self.score[np.minimum(piece, len(self.score) - 1)], 0.0)
-                better = total > score[rows, end]
-                rows, piece = rows[better], piece[better]
-                score[rows, end], last[rows, end], back[rows, end] = total[better], piece, size
+            # all pieces that end here, by size, behind ends that a search reached
+            tried = [np.flatnonzero((found[size - 1][:, end - size] >= 0) & (back[:, end - size] > 0 if end > size else True)) for size in range(1, min(end, self.longest) + 1)]
+            sizes = np.repeat(np.arange(1, len(tried) + 1), [len(r) for r in tried])
+            rows = np.concatenate(tried)
+            piece = np.concatenate([found[size - 1][r, end - size] for size, r in enumerate(tried, 1)])
+            fits = self.may_follow(last[rows, end - sizes], piece)
+            rows, piece, sizes = rows[fits], piece[fits], sizes[fits]
+            total = score[rows, end - sizes] + np.where(piece < _OTHER, self.score[np.minimum(piece, len(self.score) - 1)], 0.0)
+            order = np.argsort(total, kind="stable")  # the best one writes last
+            rows, piece, sizes = rows[order], piece[order], sizes[order]
+            score[rows, end], last[rows, end], back[rows, end] = total[order], piece, sizes
         out, at = [], np.full(n, length)
         while (live := np.flatnonzero(at > 0)).size:
             out.append((live, last[live, at[live]]))
@@ -167,16 +187,11 @@ class Pieces:
         return out, np.bincount(of, length, len(sizes)).astype(np.int64)
 
 
-@cache
-def pieces(path: str) -> Pieces:
-    return Pieces(path)
-
-
 class Encoder:
     """Encodes batches of texts and keeps the words it met, up to KEPT, for the next batch."""
 
     def __init__(self, path: str) -> None:
-        self.pieces = pieces(path)
+        self.pieces = Pieces(path)
         self._forget()
 
     def _forget(self) -> None:
@@ -244,6 +259,12 @@ class Encoder:
         return [data[a + (data[a : a + 1] == b" ") : b] for a, b in zip(at, at[1:], strict=False)]
 
 
+@cache
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(path)
+
+
 def _path(path: str | None) -> str:
     if path is None:
         import public_tokenizers
@@ -257,9 +278,9 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = _path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        for batch in slices(batches):
-            ids, first = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+        own = encoder(path)
+        for batch in slices(batches, STEP):
+            ids, first = own.encode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids, pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
@@ -270,13 +291,13 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = _path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        own = encoder(path)
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
                 lists = part.column("ids")
                 sizes = np.asarray(lists.value_lengths().fill_null(0))
-                texts = encoder.decode(np.asarray(lists.flatten()), np.concatenate(([0], np.cumsum(sizes))))
+                texts = own.decode(np.asarray(lists.flatten()), np.concatenate(([0], np.cumsum(sizes))))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([t.decode(errors="replace") for t in texts], pa.string())], names=["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, "doc_id long, text string")
@@ -290,11 +311,11 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = _path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        for batch in slices(batches):
+        own = encoder(path)
+        for batch in slices(batches, STEP):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids, first = encoder.encode(texts)
-            back = encoder.decode(ids, first)
+            ids, first = own.encode(texts)
+            back = own.decode(ids, first)
             columns = [
                 np.diff(first),
                 np.array([zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(first, first[1:], strict=False)], np.int64),
