@@ -8,10 +8,11 @@ words by the words around it. (Runs of later symbols are left as they are: to na
 to grow by its neighbours once a round, and windows would hold none.)
 
 A window of WINDOW words is named by the least symbol whose reach lies inside it (by itself, if there is none), which
-its words alone decide; so equal windows share a symbol at one place. Consecutive windows named by one occurrence of a
-symbol are a stretch, the unit of the tables: symbols that occur once cannot be in a repeat. Stretches of one symbol
-with equal words repeat whole. Where one symbol has stretches of different words, their windows are compared one by
-one by the hashes of their words.
+its words alone decide; so equal windows share a symbol at one place. All windows that have it in their first half also
+share the half window of words from it on, those that have it in their second half the words before it: symbol and
+words are their anchor. Consecutive windows of one anchor are a stretch, the unit of the tables: anchors that occur once
+cannot be in a repeat. Stretches of one anchor with equal words repeat whole. Where an anchor has stretches of different
+words, their windows are compared one by one by the hashes of their words.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from docmill.llm.tables import Stored
 from docmill.llm.textbatch import Words, lists, mix, slices, spans
 
 WINDOW = 35
-#: Rounds of pairs; the mean symbol then spans four words, and few windows of 35 words lack one.
-ROUNDS = 5
+#: Rounds of pairs; the mean symbol then spans two words, and hardly a window of 35 words lacks one.
+ROUNDS = 3
 _NAME = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = 0xC2B2AE3D27D4EB4F
 
@@ -121,13 +122,20 @@ class Stretches:
         chosen[np.repeat(a[order] - begin, size) + np.arange(int(size.sum()))] = np.repeat(order, size)
         at = np.flatnonzero(np.arange(n) + window <= ends[of])
         mine = chosen[at]
+        # windows that have their symbol in the first or in the second half share a core of half a window beside it
+        half = (window + 1) // 2
+        place = found.at[np.maximum(mine, 0)]
+        late = place - at >= half
         new = np.ones(len(at), bool)
-        new[1:] = (mine[1:] != mine[:-1]) | (mine[1:] < 0) | (at[1:] != at[:-1] + 1)
+        new[1:] = (mine[1:] != mine[:-1]) | (mine[1:] < 0) | (at[1:] != at[:-1] + 1) | (late[1:] != late[:-1])
         heads = np.flatnonzero(new)
-        start = at[heads]
+        start, place, late, mine = at[heads], place[heads], late[heads], mine[heads]
         self.windows = np.diff(np.append(heads, len(at)))
         self.text = spans(words, start, start + self.windows + window - 1, _WORDS)
-        self.name = np.where(mine[heads] >= 0, found.name[mine[heads]], mix(self.text))
+        named = mine >= 0
+        core = np.where(named, np.where(late, place - half, place), start)
+        self.name = spans(words, core, np.where(named, np.where(late, place + 1, place + window - half + 1), start + window), _WORDS)
+        self.name[named] = mix(self.name[named] * _NAME + mix(found.name[mine[named]] + late[named].astype(np.uint64)))
         self.of, self.start = of[start], start - first[of[start]]
 
 

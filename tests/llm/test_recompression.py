@@ -44,7 +44,7 @@ def test_equal_windows_share_a_name_and_a_place(texts, window, rounds):
     assert len(seen) == sum(max(0, len(t) - window + 1) for t in texts)
 
 
-def check(spark, rows, window, rounds=5, schema="doc_id long, text string"):
+def check(spark, rows, window, rounds=3, schema="doc_id long, text string"):
     got = repeats(spark.createDataFrame(rows, schema).repartition(3), window, rounds).collect()
     want = [(n, gone, kept if gone else r[1] or "") for r, (n, gone, kept) in zip(rows, brute([r[1] for r in rows], window), strict=True)]
     assert sorted((r.n_words, r.n_removed, r.kept) for r in got) == sorted(want)
