@@ -1,10 +1,6 @@
 """The registered queries and their SQL."""
 
-from __future__ import annotations
+from docmill.plans.queries import QUERIES, flagship
+from docmill.plans.sql import ORACLE_SQL
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES", "flagship"]
