@@ -1,0 +1,90 @@
+import pytest
+from pyspark.sql import functions as F
+
+from docmill.functions import html as H
+from docmill.functions import text as X
+from docmill.functions import urls as U
+
+
+def value(spark, column, **inputs):
+    names = {k: v for k, v in inputs.items()}
+    frame = spark.createDataFrame([tuple(names.values())], list(names)) if names else spark.range(1)
+    return frame.select(column.alias("x")).head()["x"]
+
+
+@pytest.mark.parametrize(
+    ("url", "expected"),
+    [
+        ("HTTPS://Docs.Example.com/a/b?hl=en&x=1&x=2&y=#frag", "https://docs.example.com/a/b?x=1&x=2"),
+        ("http://e.com:8080/p?b=2&a=1&b=3", "http://e.com:8080/p?b=2&b=3&a=1"),
+        ("http://e.com/p;x=1?hl=de", "http://e.com/p"),
+        ("", ""),
+    ],
+)
+def test_normalize(spark, url, expected):
+    assert value(spark, U.normalize(F.col("u")), u=url) == expected
+
+
+def test_filter_reasons_come_in_order(spark):
+    rules = U.UrlFilter(allowed_domains=("example.com",), exclude_patterns=U.BINARY_PATTERNS, required_path_keywords=("docs",), min_path_length=10)
+    urls = spark.createDataFrame(
+        [
+            ("http://other.org/docs/a.pdf", U.DOMAIN),
+            ("http://badexample.com/docs/long", U.DOMAIN),
+            ("http://a.Example.com/docs/file.pdf", U.PATTERN),
+            ("http://example.com/docs/path?start=3", U.PAGINATION),
+            ("http://example.com/docs/path?page=", None),
+            ("http://example.com/other/path", U.KEYWORDS),
+            ("http://example.com/docs", U.SHORT),
+            ("http://example.com/docs/seen", U.DUPLICATE),
+            ("http://example.com/DOCS/path", None),
+        ],
+        "url string, want string",
+    )
+    seen = spark.createDataFrame([("http://example.com/docs/seen",)], "norm_url string")
+    got = U.filter_urls(urls, rules, visited=seen).collect()
+    assert len(got) == 9 and all(r.filter_reason == r.want for r in got)
+    report = {r.filter_reason: r.n for r in U.filter_report(U.filter_urls(urls, rules, visited=seen)).collect()}
+    assert report[None] == 7 and report[U.DOMAIN] == 2
+
+
+def test_latest_version(spark):
+    names = lambda *x: spark.createDataFrame([(n,) for n in x], "name string")
+    assert tuple(U.latest_version(names("v2", "v10", "vX")).head()) == ("v10", "v11")
+    assert tuple(U.latest_version(names()).head()) == ("v0", "v1")
+
+
+@pytest.mark.parametrize(
+    ("link", "expected"),
+    [("/x", "http://e.com/x"), ("//o.org/y", "http://o.org/y"), ("https://z.org", "https://z.org"), ("#f", "http://e.com/a/b?q=1#f"), ("?p=2", "http://e.com/a/b?p=2"), ("c", "http://e.com/a/c")],
+)
+def test_resolve(spark, link, expected):
+    assert value(spark, U.resolve(F.col("b"), F.col("l")), b="http://e.com/a/b?q=1#old", l=link) == expected
+
+
+def test_content_hash(spark):
+    text = "a [x](http://u/1) 2024-01-02 b  été_1 z"
+    assert value(spark, X.content_hash(F.col("t")), t="a [x](http://u/1) 2024-01-02 b  été_1 z") == "5ffb1038cfb1338b233626899edeab7b"
+    assert value(spark, X.word_count(F.col("t")), t=text) == 6
+
+
+@pytest.mark.parametrize(("whole", "part", "expected"), [("a b c", "b c", True), ("a b c", "a c", False), ("", "", True), ("a", "", True), ("", "a", False), ("ab c", "b", False)])
+def test_contains_run(spark, whole, part, expected):
+    assert value(spark, X.contains_run(X.identifier(F.col("w")), X.identifier(F.col("p"))), w=whole, p=part) is expected
+
+
+def test_fences_snippets_and_tokens(spark):
+    assert value(spark, X.without_fence(F.col("t")), t='```json\n{"a": 1}\n```') == '{"a": 1}'
+    assert value(spark, X.snippet(F.col("t"), 3), t="abcd") == "abc..." and value(spark, X.snippet(F.col("t"), 4), t="abcd") == "abcd"
+    assert value(spark, X.estimated_tokens(F.col("t")), t="It's é_1, ok!") == 7 and value(spark, X.estimated_tokens(F.lit(None).cast("string"))) == 0
+
+
+def test_html(spark):
+    page = '<html lang="EN-us"><head><title>x</title></head><body><script>var a="</p>";</script><header>Top</header><h1>Big</h1><p>a &amp; <a href="/x">link</a></p><ul><li>one<li>two</ul><pre>k = 1</pre><table><tr><th>a</th><th>b</th></tr></table></body></html>'
+    md = value(spark, H.to_markdown(F.col("h")), h=page)
+    assert md.startswith("Top\n") and "# Big" in md and "a & [link](/x)" in md and "- one" in md and "```\nk = 1\n```" in md and "| a | b |" in md and "<" not in md and "var a" not in md
+    assert value(spark, H.language(F.col("h")), h=page) == "en-us" and value(spark, H.is_english(F.col("h")), h="<p>none</p>") is True
+    assert value(spark, H.title(F.col("u"), F.col("m")), u="http://e.com/a/b/", m="text\n# The # Title \nmore") == "The Title"
+    assert value(spark, H.title(F.col("u"), F.col("m")), u="http://e.com/a/b/", m="text") == "b"
+    assert value(spark, H.links(F.col("u"), F.col("m"), F.array(F.lit("http://q.org/"))), u="http://e.com/a", m="[x](/y) [z](/y) [w](http://k.org)") == ["http://e.com/y", "http://k.org", "http://q.org/"]
+    assert value(spark, H.sitemap_urls(F.col("x")), x="<u><loc> a </loc><i:loc>b</i:loc><loc>a</loc><loc></loc></u>") == ["a", "b"]
