@@ -274,7 +274,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_te
     there = Stored(found.join(again, "name")).df
     whole = there.where("same").select("_id", "_tag", "place")
     # one stretch stands for all of its name with equal words
-    kinds = there.where("NOT same").groupBy("name", "text").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("_id", "_tag", "place")])
+    # (written, so that the join below reads both sides from shuffles of its own, whose hot partitions Spark can split)
+    kinds = Stored(there.where("NOT same").groupBy("name", "text").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("_id", "_tag", "place")])).df
     weight = F.when(F.col("n") > 1, 2).otherwise(1).alias("weight")
     listed = kinds.groupBy("_id", "_tag").agg(F.collect_list(F.struct("name", "place", weight)).alias("stretches"))
     # stretches of several equals repeat whole, wherever they stand
