@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from docmill.llm.textbatch import LOWER, Words, mix, slices, spans
 
 PER_LANG = 150
+#: Text bytes that are labelled at once.
+STEP = 1 << 19
 CHAIN = 32
 BITS = 16
 LEXICON = 20000
@@ -269,7 +271,7 @@ def identify(docs: DataFrame, model: Model | None, with_words: bool = False) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(shared.value)
-        for batch in slices(batches):
+        for batch in slices(batches, STEP):
             preds, score, runs = _predict(batch.column("text"), model, with_words)
             columns = [batch.column("doc_id"), pa.array(preds, pa.string()), pa.array(score, pa.float64())]
             if with_words:
@@ -285,7 +287,7 @@ def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(shared.value)
-        for batch in slices(batches):
+        for batch in slices(batches, STEP):
             preds, score, _ = _predict(batch.column("text"), model, False)
             yield batch.filter(pa.array([p != UNKNOWN and s >= least for p, s in zip(preds, score, strict=True)], pa.bool_()))
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmill.llm.tables import Stored
-from docmill.llm.textbatch import Words, lists, mix, slices, spans
+from docmill.llm.textbatch import Words, mix, slices, spans, trim
 
 WINDOW = 35
 #: Rounds of pairs; the mean symbol then spans two words, and hardly a window of 35 words lacks one.
@@ -191,6 +191,7 @@ def _grown(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple
             if size >= 1 << 20 or k + 1 == batch.num_rows:
                 yield batch.slice(at, k + 1 - at), pa.array(held, pa.binary()).cast(pa.string())
                 held, size, at = [], 0, k + 1
+        trim()
 
 
 def _window_rows(window: int):

@@ -6,7 +6,9 @@ bytes alone, so that every task gives the same name to the same words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +60,22 @@ def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int =
     return mix((total[ends] - total[starts]) * powers(inverse, len(values) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
+@cache
+def _libc() -> ctypes.CDLL | None:
+    try:
+        found = ctypes.CDLL(None)
+        return found if hasattr(found, "malloc_trim") else None
+    except OSError:
+        return None
+
+
+def trim() -> None:
+    """Hands freed memory back: workers outlive tasks, and what one stage needed at most would stay with them."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], step: int = STEP, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about step bytes of text each."""
     for batch in batches:
@@ -67,6 +85,7 @@ def slices(batches: Iterator[pa.RecordBatch], step: int = STEP, column: str = "t
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + step, "right")) - 1)
             yield batch.slice(at, min(to, batch.num_rows) - at)
             at = to
+        trim()
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
