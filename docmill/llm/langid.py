@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docmill.llm.textbatch import LOWER, Words, mix, slices, spans
+from docmill.llm.textbatch import LOWER, Words, mix, slices, spans, trim
 
 PER_LANG = 150
 #: Text bytes that are labelled at once.
@@ -56,8 +56,8 @@ class Features:
         inside[first], inside[first + sizes - 1] = False, False
         at = np.repeat(start - first - 1, sizes)[inside] + np.flatnonzero(inside)
         flat[inside] = data[at]
-        word = np.repeat(np.arange(len(start)), sizes)
-        room = np.repeat(first + sizes, sizes) - np.arange(len(flat))
+        word = np.repeat(np.arange(len(start), dtype=np.int32), sizes)
+        room = (np.repeat(first + sizes, sizes) - np.arange(len(flat))).astype(np.int32)
         ids, of = [], []
         code = np.zeros(len(flat), np.uint64)
         for n in range(1, max(ORDERS) + 1):
@@ -69,7 +69,8 @@ class Features:
             k = np.minimum(np.searchsorted(lexicon, names), len(lexicon) - 1)
             known = np.flatnonzero(lexicon[k] == names)
             ids.append(((1 << BITS) + k[known]).astype(np.int32))
-            of.append(known)
+            of.append(known.astype(np.int32))
+        del flat, code, word, room
         ids, of = np.concatenate(ids), np.concatenate(of)
         order = np.argsort(of, kind="stable")
         self.ids, self.first = ids[order], np.searchsorted(of[order], np.arange(len(start)))
@@ -223,7 +224,9 @@ def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> list:
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     """The model of a bounded sample; none if no row has a doc_id, a text with a letter and a language."""
     rows = sorted((r for r in training_rows(docs, per_lang) if has_letter(r["text"])), key=lambda r: (r["doc_id"], r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows]) if rows else None
+    model = train([r["text"] for r in rows], [r["lang"] for r in rows]) if rows else None
+    trim()
+    return model
 
 
 def label_words(column: pa.Array, model: Model) -> tuple[Words, np.ndarray]:

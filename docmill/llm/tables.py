@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docmill.llm.textbatch import trim
+
 CODEC = "zstd"
 _kept: list[tuple[SparkSession, str]] = []
 
@@ -49,6 +51,7 @@ class Stored:
         _kept.append((self.spark, self.path))
         df.write.option("compression", CODEC).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        trim()  # the driver's own memory, between steps
 
     def drop(self) -> None:
         _remove(self.spark, self.path)
