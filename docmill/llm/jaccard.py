@@ -11,8 +11,8 @@ n - ceil(t * n) + 1 members in any common order, so a set goes to the blocks of
 common groups of hashes last (a sketch of bounded size counts them), which keeps blocks small. Sets of equal members
 are one class throughout.
 
-Blocks are joined in three sweeps. The first verifies each class against a few of the least classes of its blocks. The
-second builds the trees of the blocks that still hold several components, one for all blocks of one least class, split
+Blocks are joined in three sweeps. The first verifies each class against a few of the least classes of its blocks,
+and the two ends of each block against one another, which is all there is to a block of two classes. The second builds the trees of the blocks that still hold several components, one for all blocks of one least class, split
 where they are large, and verifies the likeliest pairs of each class. Both link large groups of near copies at a cost that grows with the group, not with its
 square. The third takes all pairs that the trees let through and that are not linked already, so no link is lost.
 """
@@ -393,16 +393,17 @@ def similar(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN)
     spread = rows.select("digest", F.explode("keys").alias("key"))
     shared = spread.groupBy("key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
     blocks = Stored(spread.join(shared, "key").distinct()).df
-    # each class against at most PIVOTS of the least classes of its blocks: those of most of them, and the least
-    lows = blocks.where("digest <> low").groupBy("digest", "low").agg(F.count(F.lit(1)).alias("n"))
+    # each class against at most PIVOTS of the least classes of its blocks: those of most of them, and the least; and the
+    # least class of each block against its greatest, so that blocks of two classes need no later sweep
+    lows = blocks.where("digest <> low").groupBy("digest", "low").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("digest") == F.col("high")).alias("_ends"))
     by = Window.partitionBy("digest")
     often, least = F.row_number().over(by.orderBy(F.desc("n"), "low")), F.row_number().over(by.orderBy("low"))
-    first = lows.withColumns({"_o": often, "_l": least}).where((F.col("_o") < PIVOTS) | (F.col("_l") == 1)).select(F.col("low").alias("a"), F.col("digest").alias("b"))
+    first = lows.withColumns({"_o": often, "_l": least}).where((F.col("_o") < PIVOTS) | (F.col("_l") == 1) | F.col("_ends")).select(F.col("low").alias("a"), F.col("digest").alias("b"))
     tried = Stored(_finer(_likely(first, classes, num, den), classes, num, den))
     links = [_verified(tried.df, docs, classes, words, num, den).df]
     tried = [tried.df]
     more = F.max((F.col("digest") != F.col("low")) & (F.col("digest") != F.col("high")))
-    for most in (NEAREST, None):
+    for most in (NEAREST, None):  # blocks of two classes are done
         label = components(_all(links))
         labelled = blocks.join(label.df, blocks.digest == label.df.node, "left").select("key", "digest", "low", "high", F.coalesce("label", "digest").alias("label"))
         open_ = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), more.alias("_more")).where("_more AND _a <> _b").select("key")

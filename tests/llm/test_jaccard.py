@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docmill.llm.components import components
-from docmill.llm.jaccard import GROUPS, CountTree, bounds, gram_sets, one_of_each, op4_ngram_jaccard, points, similar, wanted
+from docmill.llm.jaccard import GROUPS, CountTree, bounds, digests, gram_sets, one_of_each, op4_ngram_jaccard, points, similar, wanted
 
 
 def shingles(text, n):
@@ -115,6 +115,22 @@ def test_points_bound_the_overlap_when_counts_are_cut_off():
     assert bounds(p[:1], p[1:], n[:1], n[1:])[0] >= 39000 - 3
 
 
+def test_links_that_only_blocks_of_two_classes_hold(spark):
+    """d shares one early member with each of a, b and c; only c is like it, and is the last of the three by name."""
+    rows, k = [], 0
+    while len(rows) < 12:
+        k += 1
+        d = [f"w{j}x{k}" for j in range(12)] + [f"p{k}", f"q{k}"]
+        a, b = [f"a{k}{j}" for j in range(9)] + d[-6:-1], [f"b{k}{j}" for j in range(9)] + d[-5:]
+        texts = [" ".join(x) for x in (a, b, d[:-2], d)]
+        sets, first = gram_sets(pa.array(texts), 5)
+        a, b, c, d = (set(sets[x : x + keep].tolist()) for x, keep in zip(first, (3, 3, 2, 3)))
+        names = digests(sets, first).view(np.int64)
+        if len(a & d) == len(b & d) == len(c & d) == 1 and max(names[:2]) < names[2] < names[3]:
+            rows += texts
+    check(spark, list(enumerate(rows)), 5, 80, 100)
+
+
 def test_one_of_each(spark):
     rows = [(*r, f"s{k}") for k, r in enumerate(corpus())] + [(5000, "same text of six words here", "a"), (5000, "same text of six words here", "a"), (5001, "other text of six words there", "b"), (5001, None, "c"), (None, "other text of six words there", "d"), (None, "no id and no kin at all", "e")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, _id string")
