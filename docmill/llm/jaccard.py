@@ -14,7 +14,8 @@ are one class throughout.
 Blocks are joined in three sweeps. The first verifies each class against a few of the least classes of its blocks,
 and the two ends of each block against one another, which is all there is to a block of two classes. The second builds the trees of the blocks that still hold several components, one for all blocks of one least class, split
 where they are large, and verifies the likeliest pairs of each class. Both link large groups of near copies at a cost that grows with the group, not with its
-square. The third takes all pairs that the trees let through and that are not linked already, so no link is lost.
+square. The third takes all pairs that the trees let through and that are not in one component already, so no component is torn.
+The links are counted inside the components that result, each of which is joined with itself.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ GROUPS = 64
 LEAF, FAN = 16, 8
 #: Classes of one block that a task joins with as many others at once.
 SPLIT = 1024
+#: Set members of one component that a task compares with as many others at once.
+MEMBERS = 1 << 20
 #: Least classes of its blocks that a class is verified against in the first sweep.
 PIVOTS = 3
 #: Likeliest pairs of each class of a block that the second sweep verifies.
@@ -263,9 +266,8 @@ def _row_bit(doc_id: str, text_hash: str) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(F.col(doc_id), F.lit(0)), F.col(text_hash)), F.lit(FILTER))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> Stored:
-    """The pairs whose sets are similar enough, by their sets. pairs is stored; docs has doc_id, text and text_hash."""
-    nodes = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
+def _bodies(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """digest and _body, a compressed text of the class, of each of the classes in nodes. docs has doc_id, text and text_hash."""
     rows = Stored(classes.join(nodes, "digest").select("digest", F.coalesce("row.doc_id", F.lit(0)).alias("_id"), F.col("row.doc_id").isNull().alias("_null"), F.col("row.text_hash").alias("_hash"))).df
     bits = docs.sparkSession.sparkContext.broadcast(_bits(rows.select(_row_bit("_id", "_hash").alias("bit"))))  # FILTER bits
 
@@ -280,13 +282,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
             yield _batch([own.column("doc_id").fill_null(0), own.column("doc_id").is_null(), own.column("text_hash"), bodies], ["_id", "_null", "_hash", "_body"])
             trim()
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+    found = docs.withColumn("bit", _row_bit("doc_id", "text_hash")).mapInArrow(bodies, "_id long, _null boolean, _hash long, _body binary")
+    return found.join(rows, ["_id", "_null", "_hash"]).groupBy("digest").agg(F.first("_body").alias("_body"))
+
 
-        unpack, last, own = zstandard.ZstdDecompressor(), None, None
+def _members(bodies: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """gram_sets() of compressed texts."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor()
+    return gram_sets(pa.array([unpack.decompress(x) for x in bodies], pa.binary()).cast(pa.string()), words)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> Stored:
+    """The pairs whose sets are similar enough, by their sets. pairs is stored; docs has doc_id, text and text_hash."""
+    nodes = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, None
 
         def members(bodies: list[bytes]) -> list[np.ndarray]:
-            sets, first = gram_sets(pa.array([unpack.decompress(x) for x in bodies], pa.binary()).cast(pa.string()), words)
+            sets, first = _members(bodies, words)
             return [sets[a:b] for a, b in zip(first, first[1:], strict=False)]
 
         for batch in batches:
@@ -301,8 +317,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(fits, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
             trim()
 
-    found = docs.withColumn("bit", _row_bit("doc_id", "text_hash")).mapInArrow(bodies, "_id long, _null boolean, _hash long, _body binary")
-    found = found.join(rows, ["_id", "_null", "_hash"]).groupBy("digest").agg(F.first("_body").alias("_body"))
+    found = _bodies(nodes, docs, classes)
     one = found.select(F.col("digest").alias("a"), F.col("_body").alias("one"))
     two = found.select(F.col("digest").alias("b"), F.col("_body").alias("two"))
     both = pairs.join(one, "a").join(two, "b").sortWithinPartitions("a")
@@ -371,17 +386,82 @@ def _block_pairs(rows: DataFrame, num: int, den: int, most: int | None) -> DataF
     return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
+def link_counts(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many sets of the other side each set of the left and of the right is similar enough to; sides are as from gram_sets()."""
+    (one, first), (two, other) = left, right
+    n, m = np.diff(first), np.diff(other)
+    kinds, place = np.unique(one, return_inverse=True)
+    at = np.minimum(np.searchsorted(kinds, two), max(len(kinds) - 1, 0))
+    both = np.flatnonzero(kinds[at] == two) if len(kinds) else np.zeros(0, np.int64)
+    at, of = at[both], np.repeat(np.arange(len(m)), m)[both]
+    lefts, rights, have = np.zeros(len(n), np.int64), np.zeros(len(m), np.int64), np.zeros(len(kinds), bool)
+    for k, (a, b) in enumerate(zip(first, first[1:], strict=False)):
+        have[place[a:b]] = True
+        shared = np.bincount(of[have[at]], minlength=len(m))
+        have[place[a:b]] = False
+        fits = (shared > 0) & (shared * den >= num * (n[k] + m - shared))
+        lefts[k] = fits.sum()
+        rights += fits
+    return lefts, rights
+
+
+def _links(label: DataFrame, docs: DataFrame, classes: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """digest and n_links of each class in label (node, label): how many other classes it is similar enough to.
+
+    Links never leave a component, so every two classes of one component are held against one another by their sets,
+    once. A component of more than SPLIT classes or MEMBERS members is cut by a hash of the class, and every two cuts
+    meet in a task of their own, which gives counts and no pairs. Two classes alone are linked with each other.
+    """
+    named = label.join(classes.select(F.col("digest").alias("node"), "n"), "node")
+    sizes = named.groupBy("label").agg(F.count(F.lit(1)).alias("_m"), F.ceil(F.greatest(F.count(F.lit(1)) / SPLIT, F.sum("n") / MEMBERS)).cast("int").alias("_cuts"))
+    named = Stored(named.join(sizes, "label").select(F.col("node").alias("digest"), "label", "_m", "_cuts")).df
+    more = named.where("_m > 2")
+    own = F.pmod(F.xxhash64("digest", F.lit("cut")), F.col("_cuts")).cast("int")
+    cells = F.transform(F.sequence(F.lit(0), F.col("_cuts") - 1), lambda x: F.struct(F.least(x, F.col("_own")).alias("i"), F.greatest(x, F.col("_own")).alias("j")))
+    dealt = more.join(_bodies(more.select("digest"), docs, classes), "digest").withColumn("_own", own).withColumn("_cell", F.explode(cells)).select("label", "_cell.i", "_cell.j", "_own", "digest", "_body")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tile(block: pa.Table) -> pa.RecordBatch:
+            own, i, j = (block.column(c).to_numpy() for c in ("_own", "i", "j"))
+            sides = [block.filter(pa.array(own == x)) for x in ((i[0],) if i[0] == j[0] else (i[0], j[0]))]
+            sets = [_members(x.column("_body").to_pylist(), words) for x in sides]
+            counts = link_counts(sets[0], sets[-1], num, den)
+            # within one cut each class meets itself, too
+            counts = [counts[0] - 1] if len(sides) == 1 else counts
+            return _batch([np.concatenate([x.column("digest").to_numpy() for x in sides]), np.concatenate(counts)], ["digest", "n_links"])
+
+        held: list[pa.RecordBatch] = []
+        cell = None
+        for batch in batches:
+            cells = np.stack([np.asarray(batch.column(c)) for c in ("label", "i", "j")], axis=1)
+            turns = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(turns, turns[1:], strict=False):
+                if a == b:
+                    continue
+                if held and tuple(cells[a]) != cell:
+                    yield tile(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+                cell = tuple(cells[a])
+            trim()
+        if held:
+            yield tile(pa.Table.from_batches(held))
+
+    counted = dealt.repartition("label", "i", "j").sortWithinPartitions("label", "i", "j").mapInArrow(run, "digest long, n_links long")
+    two = named.where("_m = 2").select("digest", F.lit(1).cast("long").alias("n_links"))
+    return Stored(counted.unionByName(two).groupBy("digest").agg(F.sum("n_links").alias("n_links"))).df
+
+
 def _all(tables: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def similar(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, text_hash, n_shingles (size of the set), component_id, class_id and n_verified_links of every row.
+def similar(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, links: bool = True) -> DataFrame:
+    """doc_id, text_hash, n_shingles (size of the set), component_id, class_id and, unless links is false, n_links of every row.
 
     Rows with equal sets are one class, named by its least doc_id; component_id is the least doc_id that links of
-    similarity num/den or more reach. n_verified_links counts the verified links of the row's class to other classes; links that
-    would only join classes of one component again are not all verified. Texts without words, or null, have an empty
-    set and are linked with nothing, so each is its own component. Null doc_ids are never the least; a component of
+    similarity num/den or more reach. n_links counts all other classes that the row's class is that similar to. Texts
+    without words, or null, have an empty set and are linked with nothing, so each is its own component. Null doc_ids are never the least; a component of
     nulls alone has none. Repeated rows are members of one class. An empty table gives an empty table.
     """
     spark = docs.sparkSession
@@ -400,30 +480,31 @@ def similar(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN)
     often, least = F.row_number().over(by.orderBy(F.desc("n"), "low")), F.row_number().over(by.orderBy("low"))
     first = lows.withColumns({"_o": often, "_l": least}).where((F.col("_o") < PIVOTS) | (F.col("_l") == 1) | F.col("_ends")).select(F.col("low").alias("a"), F.col("digest").alias("b"))
     tried = Stored(_finer(_likely(first, classes, num, den), classes, num, den))
-    links = [_verified(tried.df, docs, classes, words, num, den).df]
+    found = [_verified(tried.df, docs, classes, words, num, den).df]
     tried = [tried.df]
     more = F.max((F.col("digest") != F.col("low")) & (F.col("digest") != F.col("high")))
     for most in (NEAREST, None):  # blocks of two classes are done
-        label = components(_all(links))
+        label = components(_all(found))
         labelled = blocks.join(label.df, blocks.digest == label.df.node, "left").select("key", "digest", "low", "high", F.coalesce("label", "digest").alias("label"))
         open_ = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), more.alias("_more")).where("_more AND _a <> _b").select("key")
         # blocks of one least class are joined as one: whoever meets in them meets there, once
         members = labelled.join(open_, "key").select(F.col("low").alias("key"), "digest", "label").distinct().join(classes.select("digest", "n", "point", "fine"), "digest")
         rest = Stored(_block_pairs(members, num, den, most).join(_all(tried), ["a", "b"], "left_anti"))
         label.drop()
-        links.append(_verified(rest.df, docs, classes, words, num, den).df)
+        found.append(_verified(rest.df, docs, classes, words, num, den).df)
         tried.append(rest.df)
-    edges = _all(links)
-    label = components(edges)
+    label = components(_all(found))
     named = classes.select("digest", F.col("doc_id").alias("class_id"))
     places = named.join(label.df, named.digest == label.df.node)
     least = places.groupBy("label").agg(F.min("class_id").alias("component_id"))
-    count = edges.select(F.explode(F.array("a", "b")).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n_verified_links"))
-    joined = places.select("digest", "label").join(least, "label").join(count, "digest").select("digest", "component_id", "n_verified_links")
+    joined = places.select("digest", "label").join(least, "label").select("digest", "component_id")
+    if links:
+        joined = joined.join(_links(label.df, docs, classes, words, num, den), "digest")
     named = named.join(joined, "digest", "left")
     out = rows.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
     own = lambda c: F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(c)
-    return out.select("doc_id", "text_hash", "n_shingles", own(F.coalesce("component_id", "class_id")).alias("component_id"), own(F.col("class_id")).alias("class_id"), F.coalesce("n_verified_links", F.lit(0)).alias("n_verified_links"))
+    number = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if links else []
+    return out.select("doc_id", "text_hash", "n_shingles", own(F.coalesce("component_id", "class_id")).alias("component_id"), own(F.col("class_id")).alias("class_id"), *number)
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -432,7 +513,7 @@ def one_of_each(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     Rows without a doc_id go if their component has one, else they stay. Only rows that a filter of FILTER bits does not
     clear are shuffled.
     """
-    rows = Stored(similar(docs, words, num, den).select("doc_id", "text_hash", "component_id")).df
+    rows = Stored(similar(docs, words, num, den, links=False).select("doc_id", "text_hash", "component_id")).df
     again = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
     gone = F.col("c").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") != F.col("c")))
     listed = Stored(again.where(gone | (F.col("n") > 1)).select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_null"), F.col("text_hash").alias("_hash"), gone.alias("_gone"))).df
@@ -461,4 +542,4 @@ def one_of_each(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
 
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     found = similar(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=4, num=85, den=100)
-    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_verified_links")
+    return found.select("doc_id", "n_shingles", "component_id", "class_id", "n_links")

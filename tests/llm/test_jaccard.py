@@ -131,6 +131,24 @@ def test_links_that_only_blocks_of_two_classes_hold(spark):
     check(spark, list(enumerate(rows)), 5, 80, 100)
 
 
+def check_links(spark, rows, n, num, den):
+    sets = {doc: shingles(text, n) for doc, text in rows}
+    classes = set(sets.values()) - {frozenset()}
+    of = {s: sum(len(s & o) * den >= num * len(s | o) for o in classes) - 1 for s in classes}
+    got = similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), n, num, den).collect()
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted((doc, of.get(s, 0)) for doc, s in sets.items())
+    return max(of.values())
+
+
+def test_all_links_are_counted(spark, monkeypatch):
+    rows = [*corpus(), (5000, ""), (5001, None)]
+    assert check_links(spark, rows, 5, 80, 100) > 50
+    monkeypatch.setattr("docmill.llm.jaccard.SPLIT", 7)
+    check_links(spark, rows, 4, 60, 100)
+    monkeypatch.setattr("docmill.llm.jaccard.MEMBERS", 1000)
+    check_links(spark, rows, 4, 85, 100)
+
+
 def test_one_of_each(spark):
     rows = [(*r, f"s{k}") for k, r in enumerate(corpus())] + [(5000, "same text of six words here", "a"), (5000, "same text of six words here", "a"), (5001, "other text of six words there", "b"), (5001, None, "c"), (None, "other text of six words there", "d"), (None, "no id and no kin at all", "e")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, _id string")
