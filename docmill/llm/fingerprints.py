@@ -2,8 +2,9 @@
 
 A k-mer of code points is a closed syncmer if the least hash among its s-mers lies at its first or last place. Whether
 it is one depends on the k-mer alone and on nothing around it, so an edit changes only the k-mers it touches. A
-fingerprint holds the syncmers of least hash, each with the place of its first occurrence. Two fingerprints are
-compared on the least hashes of their union: those that both hold, in the same order of places, over all of them.
+fingerprint holds all syncmers of the text by ascending hash, each with the place of its first occurrence, so it grows
+with the text. Two fingerprints are compared on all their hashes: those that both hold, in the same order of places,
+over the union.
 """
 
 from __future__ import annotations
@@ -20,9 +21,12 @@ from pyspark.sql import functions as F
 from docmill.llm.tables import partitions
 from docmill.llm.textbatch import mix, slices, spans
 
-K, S, KEEP = 16, 8, 40
+K, S = 16, 8
+#: No fingerprint is cut: this is more syncmers than a batch has characters.
+KEEP = 1 << 31
 #: Characters that are hashed at once, unless one text alone is longer.
 CHARS = 1 << 20
+_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 FIELDS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -46,21 +50,25 @@ def closed(points: np.ndarray, k: int, s: int) -> np.ndarray:
     return (inner[:n] == least[:n]) | (inner[width - 1 : width - 1 + n] == least[:n])
 
 
-def fingerprints(texts: list[str], k: int = K, s: int = S, keep: int = KEEP) -> list[list[tuple[int, int]]]:
-    """Each text's (hash, place) by ascending hash; none for an empty text, the whole text if it has no syncmer."""
-    out: list[list[tuple[int, int]]] = []
+#: A fingerprint: ascending hashes, and the place of each.
+Anchors = tuple[np.ndarray, np.ndarray]
+
+
+def anchors(texts: list[str], k: int = K, s: int = S) -> list[Anchors]:
+    """Each text's fingerprint; empty for an empty text, the whole text if it has no syncmer."""
+    out: list[Anchors] = []
     at = 0
     while at < len(texts):
         to, size = at, 0
         while to < len(texts) and (to == at or size + len(texts[to]) <= CHARS):
             size += len(texts[to])
             to += 1
-        out += _fingerprints(texts[at:to], k, s, keep)
+        out += _anchors(texts[at:to], k, s)
         at = to
     return out
 
 
-def _fingerprints(texts: list[str], k: int, s: int, keep: int) -> list[list[tuple[int, int]]]:
+def _anchors(texts: list[str], k: int, s: int) -> list[Anchors]:
     points = mix(np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1))
     ends = np.cumsum([len(t) for t in texts])
     starts = ends - [len(t) for t in texts]
@@ -72,40 +80,65 @@ def _fingerprints(texts: list[str], k: int, s: int, keep: int) -> list[list[tupl
     out = []
     for a, b, start, end in zip(first, last, starts, ends, strict=True):
         if a == b:
-            out.append([(int(spans(points[start:end], np.array([0]), np.array([end - start]))[0] >> np.uint64(32)), 0)] if end > start else [])
+            whole = spans(points[start:end], np.array([0]), np.array([end - start])) >> np.uint64(32) if end > start else np.zeros(0, np.uint64)
+            out.append((whole, np.zeros(len(whole), np.int64)))
             continue
-        own = both[a:b]
-        # repeats of one hash may take places among the least: look at more until enough differ
-        most = keep
-        while True:
-            least = np.sort(own if most >= len(own) else np.partition(own, most - 1)[:most])
-            hashes = least >> np.uint64(32)
-            new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
-            if new.sum() >= keep or most >= len(own):
-                break
-            most *= 4
-        least = least[new][:keep]
-        out.append([(int(h), int(p) - int(start)) for h, p in zip(least >> np.uint64(32), least & np.uint64(0xFFFFFFFF), strict=True)])
+        own = np.sort(both[a:b])
+        hashes = own >> np.uint64(32)
+        new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+        out.append((hashes[new], (own[new] & np.uint64(0xFFFFFFFF)).astype(np.int64) - int(start)))
     return out
 
 
+def fingerprints(texts: list[str], k: int = K, s: int = S) -> list[list[tuple[int, int]]]:
+    """As anchors(), each as a list of (hash, place)."""
+    return [list(zip(h.tolist(), p.tolist(), strict=True)) for h, p in anchors(texts, k, s)]
+
+
+def spelt(found: list[Anchors]) -> pa.Array:
+    """Each fingerprint as text: hash@place, in hexadecimal digits and with commas between."""
+    sizes = np.array([len(h) for h, _ in found], np.int64)
+    hashes, places = (np.concatenate([np.zeros(0, np.int64), *(x[c].astype(np.int64) for x in found)]) for c in (0, 1))
+    shifts = np.arange(28, -4, -4)
+    rows = np.full((len(hashes), 18), ord(","), np.uint8)
+    rows[:, :8] = _HEX[(hashes[:, None] >> shifts) & 15]
+    rows[:, 8] = ord("@")
+    rows[:, 9:17] = _HEX[(places[:, None] >> shifts) & 15]
+    used = np.ones(rows.shape, bool)
+    used[:, 9:16] = places[:, None] >> shifts[:7] > 0  # no zeros ahead
+    ends = np.cumsum(sizes)
+    used[ends[sizes > 0] - 1, 17] = False
+    length = np.concatenate(([0], np.cumsum(used.sum(axis=1))))
+    offsets = length[np.concatenate(([0], ends))]
+    return pa.LargeStringArray.from_buffers(len(found), pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(rows[used].tobytes())).cast(pa.string())
+
+
 def written(fingerprint: list[tuple[int, int]]) -> str:
     return ",".join(f"{h:08x}@{p:x}" for h, p in fingerprint)
 
 
-def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]], keep: int = KEEP) -> float:
-    """0 to 1: of the least `keep` hashes of both, the share that both hold in one order of places. Two empty ones: 1."""
-    there = dict(b)
-    union = sorted({h for h, _ in a} | there.keys())[:keep]
-    if not union:
-        return 1.0
-    most = union[-1]
-    places = [there[h] for h, _ in sorted(a, key=lambda x: x[1]) if h in there and h <= most]
-    rising: list[int] = []
-    for p in places:
-        k = bisect_left(rising, p)
-        rising[k : k + 1] = [p]
-    return len(rising) / len(union)
+def alike(a: Anchors, b: Anchors) -> float:
+    """0 to 1: of the hashes of both, the share that both hold in one order of places. Two empty ones: 1."""
+    (h, p), (g, q) = a, b
+    if not len(h) or not len(g):
+        return float(len(h) == len(g))
+    at = np.minimum(np.searchsorted(g, h), len(g) - 1)
+    both = np.flatnonzero(g[at] == h)
+    there = q[at[both]][np.argsort(p[both])]
+    most = len(there)
+    if not (there[1:] > there[:-1]).all():
+        rising: list[int] = []
+        for x in there.tolist():
+            k = bisect_left(rising, x)
+            rising[k : k + 1] = [x]
+        most = len(rising)
+    return most / (len(h) + len(g) - len(both))
+
+
+def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
+    """alike() of lists of (hash, place)."""
+    one, two = (np.array(x, np.int64).reshape(-1, 2).T for x in (a, b))
+    return alike((one[0], one[1]), (two[0], two[1]))
 
 
 def with_next(docs: DataFrame, run, schema: str) -> DataFrame:
@@ -147,18 +180,18 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
             pairs = [(k, k + 1) for k in range(len(rows) - 1) if rows[k][0] == rows[k + 1][0] and not rows[k][1]]
             quarters = [len(texts[a]) // 4 for a, _ in pairs]
             edited = [texts[a][: len(texts[a]) - q] + texts[b][:q] for (a, b), q in zip(pairs, quarters, strict=True)]
-            own, other = fingerprints(texts), fingerprints(edited)
+            own, other = anchors(texts), anchors(edited)
             columns = (
                 [rows[a][2] for a, _ in pairs],
                 [len(texts[a]) for a, _ in pairs],
                 [hashlib.sha256(e.encode()).hexdigest() for e in edited],
-                [written(own[a]) for a, _ in pairs],
-                [written(x) for x in other],
-                [likeness(own[a], x) for (a, _), x in zip(pairs, other, strict=True)],
-                [likeness(own[a], own[b]) for a, b in pairs],
+                spelt([own[a] for a, _ in pairs]),
+                spelt(other),
+                [alike(own[a], x) for (a, _), x in zip(pairs, other, strict=True)],
+                [alike(own[a], own[b]) for a, b in pairs],
             )
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in FIELDS.split(", ")])
+            return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in FIELDS.split(", ")])
 
         for batch in slices(batches):
             held += zip(*(batch.column(c).to_pylist() for c in ("part", "last", "doc_id", "text")), strict=True)
