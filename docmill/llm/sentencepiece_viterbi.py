@@ -2,7 +2,8 @@
 
 Distinct words of one length advance together, a character at a time. At each end, every piece length is tried for all
 words at once: the substring's hash probes the sorted hashes of the pieces, and a vectorised maximum over the lengths
-stores the best score and its backpointer.
+stores the best score and its backpointer. A very long word, which has none of its length beside it, advances alone: all
+substrings of a stretch of it are probed at once, and the same maximum is taken end by end.
 
 The vocabulary is byte-pair encoded: its scores rank merges, and the path of the best sum is not its encoding. A
 sequence of pieces is the encoding exactly if each piece, and each two neighbours, encode to themselves; so the search
@@ -15,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -23,12 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.textbatch import mix, powers, slices, spans
+from docmill.llm.textbatch import mix, names, powers, slices, spans
 
 MODEL = "piece_bpe_32k.model"
 SPACE = 0x2581
-#: Longer words are merged one at a time; words that are kept between batches of a task.
-LONGEST, KEPT = 200, 1_000_000
+#: Longer words advance alone, a stretch of so many characters at a time.
+LONGEST, STRETCH = 200, 1 << 14
+#: Words that are kept between batches of a task, and pairs of pieces that a long word's search remembers.
+KEPT = 1_000_000
 #: Text bytes that are encoded at once: the more distinct words advance together, the fewer steps there are.
 STEP = 1 << 22
 #: Slots of the table of pieces that follow each other, and of the marks of hashes that may be pieces.
@@ -171,6 +175,39 @@ class Pieces:
         order = np.lexsort((-np.repeat(np.arange(len(out)), [len(r) for r, _ in out]), row))
         return ids[order], np.bincount(row, minlength=n)
 
+    def walk(self, word: np.ndarray) -> np.ndarray:
+        """As search(), of one word of any length; time and memory grow with the length."""
+        length = len(word)
+        score, last, back = array("d", bytes(8 * (length + 1))), array("l", [-1]) * (length + 1), array("l", [0]) * (length + 1)
+        known: dict[int, bool] = {}
+        for low in range(0, length, STRETCH):
+            high, at = min(low + STRETCH, length), max(0, low - self.longest)
+            found = self._candidates(word[None, at:high])
+            tried = [(np.flatnonzero(x[0] >= 0), size) for size, x in enumerate(found, 1)]
+            ends = np.concatenate([p + at + size for p, size in tried])
+            sizes = np.repeat(np.arange(1, len(tried) + 1), [len(p) for p, _ in tried])
+            pieces = np.concatenate([found[size - 1][0][p] for p, size in tried])
+            order = np.argsort(ends, kind="stable")
+            order = order[ends[order] > low]
+            worth = np.where(pieces < _OTHER, self.score[np.minimum(pieces, len(self.score) - 1)], 0.0)
+            for end, size, piece, own in zip(*(x[order].tolist() for x in (ends, sizes, pieces, worth)), strict=True):
+                start = end - size
+                if start and not back[start]:
+                    continue
+                code = (last[start] + 1) << 22 | piece
+                fits = known.get(code)
+                if fits is None:
+                    if len(known) > KEPT:
+                        known.clear()
+                    fits = known[code] = bool(self.may_follow(np.array([last[start]]), np.array([piece]))[0])
+                if fits and (not back[end] or score[start] + own >= score[end]):
+                    score[end], last[end], back[end] = score[start] + own, piece, size
+        out = []
+        while length:
+            out.append(last[length])
+            length -= back[length]
+        return np.array(out[::-1], np.int64)
+
     def spelled(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids with characters that are no piece replaced by the pieces of their bytes."""
         other = np.flatnonzero(ids >= _OTHER)
@@ -199,14 +236,14 @@ class Encoder:
         self.begin = self.sizes = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
-    def _learn(self, names: np.ndarray, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-        flat, sizes = [], np.zeros(len(names), np.int64)
+    def _learn(self, fresh: np.ndarray, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        flat, sizes = [], np.zeros(len(fresh), np.int64)
         order, length = [], end - start
         for n in np.unique(length):
             which = np.flatnonzero(length == n)
             if n > LONGEST:
-                found = [self.pieces.merged("".join(map(chr, points[start[k] : end[k]].tolist()))) for k in which]
-                ids, count = np.concatenate([np.array(f, np.int64) for f in found]), np.array([len(f) for f in found])
+                found = [self.pieces.walk(points[start[k] : end[k]]) for k in which]
+                ids, count = np.concatenate(found), np.array([len(f) for f in found])
             else:
                 ids, count = self.pieces.search(points[start[which, None] + np.arange(n)])
             ids, count = self.pieces.spelled(ids, count)
@@ -214,12 +251,12 @@ class Encoder:
             sizes[which] = count
             order.append(which)
         order = np.concatenate(order)
-        begin = np.empty(len(names), np.int64)
+        begin = np.empty(len(fresh), np.int64)
         begin[order] = len(self.flat) + np.cumsum(sizes[order]) - sizes[order]
         self.flat = np.concatenate([self.flat, *flat])
-        names, begin, sizes = np.concatenate((self.names, names)), np.concatenate((self.begin, begin)), np.concatenate((self.sizes, sizes))
-        by = np.argsort(names)
-        self.names, self.begin, self.sizes = names[by], begin[by], sizes[by]
+        have, begin, sizes = np.concatenate((self.names, fresh)), np.concatenate((self.begin, begin)), np.concatenate((self.sizes, sizes))
+        by = np.argsort(have)
+        self.names, self.begin, self.sizes = have[by], begin[by], sizes[by]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's begin (with an end). An empty text has none."""
@@ -235,8 +272,7 @@ class Encoder:
         head[first[:-1][np.diff(first) > 0]] = True
         start = np.flatnonzero(head)
         end = np.append(start[1:], len(points))
-        names = spans(_values(points), start, end, _CHARS)
-        kinds, one, which = np.unique(names, return_index=True, return_inverse=True)
+        kinds, one, which = np.unique(names(points, _values(points), start, end, _CHARS), return_index=True, return_inverse=True)
         if len(self.names) > KEPT:
             self._forget()
         at = np.minimum(np.searchsorted(self.names, kinds), max(0, len(self.names) - 1))
@@ -307,6 +343,8 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (little-endian 32-bit ids), decoded_sha256 and exact: whether decoding gave the text back.
 
     Encoding and decoding run in one task, so ids do not travel. Only U+2581, which stands for a space, is not given back.
+    A null or empty text has no ids and decodes to an empty one. Repeated rows are kept; an empty table gives an empty
+    table; further columns are not read.
     """
     path = _path(path)
 

@@ -7,6 +7,7 @@ bytes alone, so that every task gives the same name to the same words.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -21,6 +22,10 @@ SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+#: Runs of more values than this are named by a digest of their bytes: long runs of two values can be made so that
+#: their polynomials modulo 2**64 agree, whatever the base.
+LONG = 256
+
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -60,6 +65,14 @@ def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int =
     return mix((total[ends] - total[starts]) * powers(inverse, len(values) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
+def names(raw: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """spans() of the values of raw; runs of more than LONG by a digest of raw itself."""
+    out = spans(values, starts, ends, base)
+    for k in np.flatnonzero(ends - starts > LONG):
+        out[k] = int.from_bytes(hashlib.blake2b(raw[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 @cache
 def _libc() -> ctypes.CDLL | None:
     try:
@@ -127,7 +140,8 @@ class Words:
     def hashes(self) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        return spans(_BYTE[LOWER[self.bytes] if self.lower else self.bytes], self.start, self.end)
+        raw = LOWER[self.bytes] if self.lower else self.bytes
+        return names(raw, _BYTE[raw], self.start, self.end)
 
 
 def distinct(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pyarrow.parquet as pq
 import sentencepiece
@@ -10,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docmill.llm.sentencepiece_viterbi import MODEL, Encoder, decode_documents, encode_documents, round_trip
+from docmill.llm.textbatch import Words
 
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=P.path(MODEL))
 ENCODER = Encoder(P.path(MODEL))
@@ -51,3 +53,29 @@ def test_whole_table(spark):
         assert r.exact and r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert r.ids_crc32 == zlib.crc32(np.array(LIBRARY.encode(text), "<u4").tobytes())
     assert round_trip(frame.limit(0)).count() == 0
+
+
+def thue_morse(bits):
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_words_of_equal_polynomials_are_told_apart():
+    one = thue_morse(11)
+    other = one.translate(str.maketrans("ab", "ba"))
+    assert encoded([one, other]) == LIBRARY.encode([one, other])
+    assert len(set(Words(pa.array([one, other])).hashes().tolist())) == 2
+
+
+def test_long_words_advance_alone_by_the_same_recurrence(monkeypatch):
+    r = random.Random(5)
+    texts = ["".join(r.choices("abcdefghinot", k=n)) for n in (3, 40, 201, 700, 40000)] + ["é😀the" * 90, "=" * 700]
+    want = LIBRARY.encode(texts)
+    assert encoded(texts) == want
+    monkeypatch.setattr("docmill.llm.sentencepiece_viterbi.LONGEST", 0)
+    monkeypatch.setattr("docmill.llm.sentencepiece_viterbi.STRETCH", 7)
+    own = Encoder(P.path(MODEL))
+    ids, first = own.encode(texts[:4] + texts[5:])
+    assert [ids[a:b].tolist() for a, b in zip(first, first[1:], strict=False)] == want[:4] + want[5:]
