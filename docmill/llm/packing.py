@@ -5,13 +5,16 @@ of runs: a run of documents has one length and consecutive ranks, a run of gaps
 and there are at most `capacity` runs of documents however many documents there are. A step takes the longest run that
 is left: the sweep over the gaps finds the successor of its length, the documents of lower rank get the gaps of lower
 number, the surplus sweeps on to the next larger gaps and then to fresh sequences, and the gaps are updated. The steps
-repeat until no run is left, which is exact best-fit decreasing. Only ranks (a distributed sort) and the final lookup
-of each document's rank among the steps' matches touch rows; both run on the executors.
+repeat until no run is left, which is exact best-fit decreasing. The steps themselves are a loop on the driver: its
+state, the runs, is bounded by the capacity and not by the documents, so a distributed sweep would have at most as many
+rows to sort as there are lengths. Ranks (a distributed sort) and the final lookup of each document's rank among the
+steps' matches touch rows; both run on the executors.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -31,6 +34,10 @@ CAPACITY = 1024
 END = 2
 JSON, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 SPECIAL = "<|endoftext|>"
+#: The pattern of the ranks backtracks over white space and dies in a run of a million characters; runs of this many
+#: and more go to tokenizers.
+BLANK = 100_000
+_BLANK = re.compile(rf"\s{{{BLANK}}}")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -52,11 +59,13 @@ def encode(text: str | None, paths: tuple[str, str, str]) -> list[int]:
     """The ids that tokenizers gives for the JSON file, without special tokens added.
 
     The same vocabulary as ranks gives equal ids at a quarter of the time; a text that spells a special token, which
-    the JSON file maps to one id, goes to tokenizers itself.
+    the JSON file maps to one id, or has a very long run of white space goes to tokenizers itself.
     """
     if not text:
         return []
-    return _exact(paths[0]).encode(text, add_special_tokens=False).ids if SPECIAL in text else _fast(paths[1], paths[2]).encode_ordinary(text)
+    if SPECIAL in text or len(text) >= BLANK and _BLANK.search(text):
+        return _exact(paths[0]).encode(text, add_special_tokens=False).ids
+    return _fast(paths[1], paths[2]).encode_ordinary(text)
 
 
 def cuts(length: int, capacity: int) -> list[tuple[int, int]]:

@@ -86,3 +86,14 @@ def test_whole_table(spark):
         assert at <= 1024
     assert len(filled) <= best_fit_decreasing([r.length for r in got], 1024) + 1
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_very_long_runs():
+    exact = Tokenizer.from_file(PATHS[0])
+    for text in (" " * 1_000_000 + "a", "\n" * 3_000_000 + "b c", "x" * 5_000_000, "".join(chr(97 + k * k % 26) for k in range(2_000_000)), "a " * 60_000 + " " * 99_999 + "b"):
+        assert encode(text, PATHS) == exact.encode(text, add_special_tokens=False).ids
+
+
+def test_a_run_of_blanks_in_a_table(spark):
+    got = pack_documents(spark.createDataFrame([(1, " " * 1_500_000 + "x"), (2, "y")], "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {1, 2} and max(r.length for r in got) <= 1024
