@@ -1,12 +1,13 @@
 """Language of the words of code-switched text by a linear-chain conditional random field.
 
-A chain is a run of at most CHAIN words of one document, broken at line ends and sentence ends. A word's state scores
+A chain is a run of words of one document, broken at line ends and sentence ends and nowhere else. A word's state scores
 add up learned weights of its features: byte n-grams of the word with its borders (the border ones are its affixes,
 up to four bytes long) and, for words of the lexicon, the word itself. Learned transitions join neighbouring words.
-Forward-backward gives each word's probability of each language; chains of one length advance together.
+Forward-backward gives each word's probability of each language; all chains advance together, the longest to the end.
 
-Only `per_lang` documents of each language train the model (documented bound, drawn by a hash of doc_id); whole texts
-of all documents are labelled. Training chains are spliced from stretches of documents of several languages, so that
+Only `per_lang` documents of each language, and of these no more than LANG_BYTES beyond the first, train the model
+(documented bounds, drawn by a hash of doc_id; rows without a doc_id do not train); whole texts of all documents are
+labelled. Training chains are spliced from stretches of documents of several languages, so that
 the transitions learn how languages switch as well as how they stay.
 """
 
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 from docmill.llm.textbatch import LOWER, Words, mix, slices, spans, trim
 
 PER_LANG = 150
+#: Bytes of text of one language that train the model; one document trains whatever its size.
+LANG_BYTES = 1 << 24
 #: Text bytes that are labelled at once.
 STEP = 1 << 19
-CHAIN = 32
 BITS = 16
 LEXICON = 20000
 EPOCHS, BATCH, RATE = 3, 512, 0.25
@@ -100,8 +102,8 @@ class Model:
         return Features(LOWER[words.bytes], words.start[one], words.end[one], self.lexicon, names).scores(self.weights)[which]
 
 
-def chains(words: Words, most: int = CHAIN) -> np.ndarray:
-    """The first word of each chain, in order, with an end. A chain does not cross documents, stops or `most` words."""
+def chains(words: Words) -> np.ndarray:
+    """The first word of each chain, in order, with an end. A chain does not cross documents or stops."""
     n = len(words.start)
     if not n:
         return np.zeros(1, np.int64)
@@ -109,39 +111,40 @@ def chains(words: Words, most: int = CHAIN) -> np.ndarray:
     new[words.first[:-1][np.diff(words.first) > 0]] = True
     gap_stop = np.concatenate(([0], np.cumsum(_STOPS[words.bytes])))
     new[1:] |= gap_stop[words.start[1:]] > gap_stop[words.end[:-1] - 1]
-    at = np.arange(n)
-    since = at - np.maximum.accumulate(np.where(new, at, 0))
-    return np.append(np.flatnonzero(since % most == 0), n)
+    return np.append(np.flatnonzero(new), n)
 
 
 def forward_backward(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray, begin: np.ndarray, gold: np.ndarray | None = None):
     """Each word's probabilities; with gold, also expected transitions and the gold labels' log probability.
 
-    Chains of one length are rows of one array and advance together, in the probability domain with scaling.
+    Chains advance together, the longest first, so that those that are left are the first ones at every step; in the
+    probability domain with scaling. The time grows with the words and the longest chain.
     """
-    states = np.exp(scores - scores.max(axis=1, keepdims=True))
+    states = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else np.zeros_like(scores)
     step, start = np.exp(transitions), np.exp(begin)
-    marginals = np.empty_like(states)
+    ahead, marginals, scale = np.empty_like(states), np.empty_like(states), np.empty(len(states))
     expected, likely = np.zeros_like(step), 0.0
     sizes = np.diff(first)
-    for n in np.unique(sizes):
-        at = first[:-1][sizes == n][:, None] + np.arange(n)
-        own = states[at]
-        ahead, scale = np.empty_like(own), np.empty(own.shape[:2])
-        for t in range(n):
-            a = start * own[:, 0] if t == 0 else (ahead[:, t - 1] @ step) * own[:, t]
-            scale[:, t] = a.sum(axis=1)
-            ahead[:, t] = a / scale[:, t, None]
-        back = np.ones_like(own[:, 0])
-        for t in range(n - 1, -1, -1):
-            marginals[at[:, t]] = ahead[:, t] * back
-            if t:
-                behind = (own[:, t] * back) / scale[:, t, None]
-                if gold is not None:
-                    expected += np.einsum("ci,cj->ij", ahead[:, t - 1], behind) * step
-                back = behind @ step.T
-        if gold is not None:
-            likely -= np.log(scale).sum()
+    order = np.argsort(-sizes, kind="stable")
+    heads = first[:-1][order]
+    most = int(sizes.max(initial=0))
+    live = len(sizes) - np.searchsorted(np.sort(sizes), np.arange(most), "right")
+    for t in range(most):
+        at = heads[: live[t]] + t
+        own = (ahead[at - 1] @ step if t else start) * states[at]
+        scale[at] = total = own.sum(axis=1)
+        ahead[at] = own / total[:, None]
+    back = np.ones((len(sizes), states.shape[1]))
+    for t in range(most - 1, -1, -1):
+        at = heads[: live[t]] + t
+        marginals[at] = ahead[at] * back[: live[t]]
+        if t:
+            behind = states[at] * back[: live[t]] / scale[at, None]
+            if gold is not None:
+                expected += ahead[at - 1].T @ behind * step
+            back[: live[t]] = behind @ step.T
+    if gold is not None:
+        likely -= np.log(scale).sum()
     if gold is None:
         return marginals / marginals.sum(axis=1, keepdims=True)
     likely += (np.log(np.maximum(states[np.arange(len(gold)), gold], 1e-300))).sum() + begin[gold[first[:-1]]].sum()
@@ -175,7 +178,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     groups, at = [], 0
     while at < len(order):
         to = at + int(rng.integers(1, 4))
-        groups.append(np.concatenate([pieces[x] for x in order[at:to]])[:CHAIN])
+        groups.append(np.concatenate([pieces[x] for x in order[at:to]]))
         at = to
     for _ in range(EPOCHS if k > 1 else 0):
         order = rng.permutation(len(groups))
@@ -212,18 +215,27 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     return Model(langs, weights, edges[:k], edges[k], lexicon)
 
 
-def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> list:
-    """At most per_lang rows of each language: those of least hash of doc_id. docs has doc_id, text and lang."""
-    some = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id"))
-    ids = [r["doc_id"] for r in some.withColumn("_n", rank).where(F.col("_n") <= per_lang).select("doc_id").collect() if r["doc_id"] is not None]
-    rows = docs.where(F.col("doc_id").isin(ids) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return rows.select("doc_id", "text", "lang").limit(max(1, len(ids))).collect()  # the limit matters only where a doc_id repeats
+def training_rows(docs: DataFrame, per_lang: int = PER_LANG, lang_bytes: int = LANG_BYTES) -> list:
+    """At most per_lang rows of each language, those of least hash of doc_id, while they hold lang_bytes at most.
+
+    docs has doc_id, text and lang. Rows that are equal in all three train once; rows without a doc_id do not.
+    """
+    text = F.col("text").cast("string")
+    some = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    sized = some.select("doc_id", "lang", F.xxhash64(text).alias("_text"), F.octet_length(text).alias("_bytes"))
+    order = [F.xxhash64("doc_id", F.lit("train")), "doc_id", "_text"]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    drawn = sized.withColumn("_n", rank).where(F.col("_n") <= per_lang)
+    before = F.sum("_bytes").over(Window.partitionBy("lang").orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    names = {(r["doc_id"], r["_text"], r["lang"]) for r in drawn.withColumn("_sum", before).where((F.col("_sum") <= lang_bytes) | (F.col("_n") == 1)).collect()}
+    rows = some.withColumn("_text", F.xxhash64(text)).where(F.col("doc_id").isin([n[0] for n in names]) & F.col("_text").isin([n[1] for n in names]))
+    found = rows.select("doc_id", text.alias("text"), "lang", "_text").distinct().collect()  # per_lang of each language
+    return [r for r in found if (r["doc_id"], r["_text"], r["lang"]) in names]
 
 
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     """The model of a bounded sample; none if no row has a doc_id, a text with a letter and a language."""
-    rows = sorted((r for r in training_rows(docs, per_lang) if has_letter(r["text"])), key=lambda r: (r["doc_id"], r["text"]))
+    rows = sorted((r for r in training_rows(docs, per_lang) if has_letter(r["text"])), key=lambda r: (r["doc_id"], r["text"], r["lang"]))
     model = train([r["text"] for r in rows], [r["lang"] for r in rows]) if rows else None
     trim()
     return model
@@ -266,7 +278,8 @@ def identify(docs: DataFrame, model: Model | None, with_words: bool = False) ->
     """doc_id, lang_pred and score of every whole text; with_words, also the spans of words of one language.
 
     A document's language is the one of the most letters: every word weighs its letters' bytes times its
-    probabilities; score is the share. A text without a letter, or null, is `und` with score 0. Repeated rows stay.
+    probabilities; score is the share. A text without a letter, or null, is `und` with score 0. Repeated rows stay. An
+    empty table gives an empty table; further columns are not read. Without a model all are `und`.
     """
     schema = "doc_id long, lang_pred string, score double" + ", runs array<struct<lang: string, words: int>>" * with_words
     cast = pickle.dumps(model)
@@ -285,7 +298,11 @@ def identify(docs: DataFrame, model: Model | None, with_words: bool = False) ->
 
 
 def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
-    """The rows of docs, all columns, whose text has a language with a share of `least` or more."""
+    """The rows of docs, all columns, whose text has a language with a share of `least` or more.
+
+    Null texts and texts without a letter go, and all rows where there is no model; repeated rows stay as they are. An
+    empty table gives an empty table.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

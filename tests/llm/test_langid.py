@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from docmill.llm.langid import CHAIN, chains, fit, forward_backward, has_letter, held_out, identify, label_words, op6_language_id, train
+from docmill.llm.langid import accepted, chains, fit, forward_backward, has_letter, held_out, identify, label_words, op6_language_id, train, training_rows
 from docmill.llm.textbatch import Words
 
 SOUNDS = {"aa": ["ka", "to", "mi", "ra"], "bb": ["sch", "end", "ung", "ber"], "cc": ["eau", "oux", "ille", "ché"]}
@@ -44,8 +44,41 @@ def test_forward_backward_against_all_paths():
 def test_chains_cover_all_words_and_break_at_stops():
     words = Words(pa.array(["a b. c d\ne", "", None, "x " * 100, "y"]), lower=True)
     at = chains(words)
-    assert at[0] == 0 and at[-1] == len(words.start) and max(np.diff(at)) <= CHAIN
-    assert {2, 4, 5, 5 + 32, 105} <= set(at.tolist())
+    assert at.tolist() == [0, 2, 4, 5, 105, 106]  # no chain is cut, however long
+
+
+def test_a_long_chain_against_the_plain_recursion():
+    rng = np.random.default_rng(4)
+    sizes = [1, 700, 33, 2]
+    first = np.cumsum([0, *sizes])
+    scores, transitions, begin = rng.normal(size=(first[-1], 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
+    got = forward_backward(scores, first, transitions, begin)
+    for a, b in itertools.pairwise(first):
+        ahead, back = [begin + scores[a]], [np.zeros(3)]
+        for t in range(a + 1, b):
+            ahead.append(scores[t] + np.logaddexp.reduce(ahead[-1][:, None] + transitions, axis=0))
+        for t in range(b - 1, a, -1):
+            back.append(np.logaddexp.reduce(transitions + scores[t] + back[-1], axis=1))
+        want = np.array(ahead) + np.array(back[::-1])
+        want = np.exp(want - np.logaddexp.reduce(want, axis=1)[:, None])
+        assert np.allclose(got[a:b], want)
+
+
+def test_training_rows_are_bounded_and_the_same_each_time(spark):
+    rows = [(k // 3, f"kato mira {k % 2}", "aa", "x") for k in range(60)] + [(100 + k, "schung " * 1000, "bb", "x") for k in range(5)] + [(None, "eau", "cc", "x"), (200, "eau", None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string").drop("_text")
+    runs = [sorted(map(tuple, training_rows(frame.repartition(n), 9, 10_000))) for n in (1, 4)]
+    assert runs[0] == runs[1]
+    got = {lang: [r for r in runs[0] if r[2] == lang] for lang in ("aa", "bb", "cc")}
+    assert 0 < len(got["aa"]) <= 9 and len(got["bb"]) == 1 and not got["cc"]
+
+
+def test_accepted_keeps_columns(spark):
+    model = train([r[1] for r in corpus(90)], [r[2] for r in corpus(90)])
+    frame = spark.createDataFrame([(1, prose("aa", 20, 1), "x", 1), (1, prose("aa", 20, 1), "x", 1), (2, None, "y", 2), (3, "12 -", "z", 3)], "doc_id long, text string, lang_pred string, score int")
+    got = accepted(frame, model)
+    assert got.schema == frame.schema and [r.doc_id for r in got.collect()] == [1, 1]
+    assert accepted(frame.limit(0), model).count() == 0 and accepted(frame, None).count() == 0
 
 
 def test_words_of_code_switched_text():
