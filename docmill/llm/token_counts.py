@@ -15,7 +15,7 @@ import re
 import uuid
 from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmill.llm.tables import shared_dir
@@ -28,14 +28,16 @@ _SCHEMA = "source string, lang string, version string, n_docs long, n_tokens lon
 def signed(changes: DataFrame) -> DataFrame:
     """Changes (kind, source, lang, version, tokens, old_tokens) as what they add to a group; a null count is 0.
 
-    insert uses tokens, delete old_tokens, revise both. An unknown or null kind stops the batch.
+    insert uses tokens, delete old_tokens, revise both. An unknown or null kind stops the batch. A change counts as often
+    as a column `times` says, if there is one; once if it is null.
     """
+    times = F.coalesce(F.col("times"), F.lit(1)).cast("long") if "times" in changes.columns else F.lit(1).cast("long")
     new, old = F.coalesce("tokens", F.lit(0)).cast("long"), F.coalesce("old_tokens", F.lit(0)).cast("long")
     kind = F.col("kind")
     known = F.coalesce(kind.isin(INSERT, DELETE, REVISE), F.lit(False))
     docs = F.when(kind == INSERT, 1).when(kind == DELETE, -1).when(known, 0).otherwise(F.raise_error(F.lit("unknown kind of change")).cast("int"))
     tokens = F.when(kind == INSERT, new).when(kind == DELETE, -old).otherwise(new - old)
-    return changes.select(*[F.col(k).cast("string").alias(k) for k in KEYS], docs.cast("long").alias("n_docs"), tokens.alias("n_tokens"))
+    return changes.select(*[F.col(k).cast("string").alias(k) for k in KEYS], (docs * times).cast("long").alias("n_docs"), (tokens * times).alias("n_tokens"))
 
 
 def fold(rows: DataFrame) -> DataFrame:
@@ -65,6 +67,14 @@ class TokenCounts:
                 found.add(unquote(name.removeprefix("batch-")))
         return found
 
+    def _has(self, batch_id: str) -> bool:
+        """Whether a batch of this id is committed; folds are searched by Spark."""
+        name = quote(batch_id, safe="")
+        if self._fs.exists(self._path(f"{self.path}/batches/batch-{name}")):
+            return True
+        folds = [n for n in self._live() if n.startswith("fold-")]
+        return any(self.spark.read.text(f"{self.path}/batches/{n}/members").where(F.col("value") == name).head(1) for n in folds)
+
     def _members(self, name: str) -> list[str]:
         rows = self.spark.read.text(f"{self.path}/batches/{name}/members").collect()  # one id per batch
         return [r["value"] for r in rows]
@@ -91,7 +101,7 @@ class TokenCounts:
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
         """Adds a batch; false, and nothing changes, if a batch of this id is there. An empty batch is a batch."""
-        if batch_id in self.committed():
+        if self._has(batch_id):
             return False
         staged = f"{self.path}/staged-{uuid.uuid4().hex}"
         fold(signed(changes)).write.parquet(f"{staged}/rows")
@@ -126,7 +136,12 @@ def rollup(totals: DataFrame) -> DataFrame:
 
 
 def op9_token_counts(spark, sf_dir: str) -> DataFrame:
-    """All documents: loaded under two tokenizer versions, copies deleted, one version revised, and one batch sent twice."""
+    """All documents: loaded under two tokenizer versions, copies deleted, one version revised, and one batch sent twice.
+
+    Of equal texts one row stays, that of the least doc_id (null ids last), then of the least source and language (nulls
+    first). A null text is an empty one. Repeated rows are copies; null sources and languages are groups of their own.
+    An empty table gives an empty table.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     text = F.coalesce(F.col("text"), F.lit(""))
     sized = docs.select(
@@ -138,37 +153,40 @@ def op9_token_counts(spark, sf_dir: str) -> DataFrame:
     from docmill.llm.tables import stored
 
     sized = stored(sized)
-    kept = sized.groupBy("key").agg(F.min("doc_id").alias("first"))
-    copies = sized.join(kept, "key").where(F.col("doc_id") != F.col("first"))
-    stays = sized.join(kept, "key").where(F.col("doc_id") == F.col("first"))
+    # equal texts of one source and language are one row, so the most frequent text is a row for each of these
+    counts = ("words", "runs", "quarters")
+    alike = sized.groupBy("key", "source", "lang").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"), *[F.min(c).alias(c) for c in counts])
+    stays = F.row_number().over(Window.partitionBy("key").orderBy("first", "source", "lang")) == 1
+    alike = stored(alike.withColumn("stays", stays))
+    copies = alike.withColumn("times", F.col("n") - F.col("stays").cast("long")).where("times > 0")
     row = lambda kind, version, new, old: [F.lit(kind).alias("kind"), "source", "lang", F.lit(version).alias("version"), new.alias("tokens"), old.alias("old_tokens")]
     none = F.lit(None).cast("long")
-    loads = {v: sized.select(*row(INSERT, v, F.col(c), none)) for v, c in (("words", "words"), ("quarters", "quarters"))}
+    loads = {v: sized.select(*row(INSERT, v, F.col(v), none)) for v in ("words", "quarters")}
     counts = TokenCounts(spark, f"{shared_dir(spark)}/docmill-counts-{uuid.uuid4().hex}")
     counts.commit("load words", loads["words"])
     counts.commit("load quarters", loads["quarters"])
-    counts.commit("delete copies", copies.select(*row(DELETE, "words", none, F.col("words"))).unionByName(copies.select(*row(DELETE, "quarters", none, F.col("quarters")))))
+    counts.commit("delete copies", copies.select(*row(DELETE, "words", none, F.col("words")), "times").unionByName(copies.select(*row(DELETE, "quarters", none, F.col("quarters")), "times")))
     counts.compact()
-    counts.commit("revise words", stays.select(*row(REVISE, "words", F.col("runs"), F.col("words"))))
+    counts.commit("revise words", alike.where("stays").select(*row(REVISE, "words", F.col("runs"), F.col("words"))))
     counts.commit("load words", loads["words"])
     return rollup(counts.totals())
 
 
 ORACLE = r"""
 WITH sized AS (
-    SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents
-), kept AS (
-    SELECT text, min(doc_id) AS first FROM sized GROUP BY text
+    SELECT source, lang, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id NULLS LAST, source NULLS FIRST, lang NULLS FIRST) AS turn
+    FROM documents
 ), counted AS (
     SELECT source, lang,
            CAST(len(regexp_extract_all(s.text, '[A-Za-z0-9]+')) AS BIGINT) AS runs,
            CAST(ceil(length(s.text) / 4.0) AS BIGINT) AS quarters
-    FROM sized s JOIN kept k ON s.text = k.text AND s.doc_id = k.first
+    FROM sized s WHERE turn = 1
 ), rows_ AS (
     SELECT source, lang, 'words' AS version, runs AS tokens FROM counted
     UNION ALL SELECT source, lang, 'quarters' AS version, quarters AS tokens FROM counted
 )
-SELECT 'all' AS level, NULL::VARCHAR AS source, NULL::VARCHAR AS lang, NULL::VARCHAR AS version, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS n_tokens FROM rows_
+SELECT 'all' AS level, NULL::VARCHAR AS source, NULL::VARCHAR AS lang, NULL::VARCHAR AS version, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS n_tokens FROM rows_ HAVING count(*) > 0
 UNION ALL SELECT 'version', NULL, NULL, version, count(*), CAST(sum(tokens) AS BIGINT) FROM rows_ GROUP BY version
 UNION ALL SELECT 'source', source, NULL, version, count(*), CAST(sum(tokens) AS BIGINT) FROM rows_ GROUP BY version, source
 UNION ALL SELECT 'lang', source, lang, version, count(*), CAST(sum(tokens) AS BIGINT) FROM rows_ GROUP BY version, source, lang

@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from docmill.llm.token_counts import DELETE, INSERT, ORACLE, REVISE, TokenCounts, op9_token_counts, rollup
 
@@ -43,11 +44,26 @@ def test_a_bad_or_unfinished_batch_changes_nothing(spark, tmp_path):
     assert counts.commit("bad", batch(spark, (INSERT, "a", "en", "1", 1, None)))
 
 
-def test_query_against_sql(spark):
+def check_query(spark, folder):
     con = duckdb.connect()
-    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet{'/*.parquet' if folder != '/root/testdata/sf0.001' else ''}'")
     con.execute(ORACLE)
     key = lambda r: tuple(map(str, r))
     want = sorted(map(tuple, con.fetchall()), key=key)
-    got = sorted(map(tuple, op9_token_counts(spark, "/root/testdata/sf0.001").select("level", "source", "lang", "version", "n_docs", "n_tokens").collect()), key=key)
+    got = sorted(map(tuple, op9_token_counts(spark, folder).select("level", "source", "lang", "version", "n_docs", "n_tokens").collect()), key=key)
     assert got == want
+    return got
+
+
+def test_query_against_sql(spark):
+    assert check_query(spark, "/root/testdata/sf0.001")
+
+
+def test_query_with_nulls_repeats_and_no_rows(spark, tmp_path):
+    rows = [(1, "a b", "s", "en"), (1, "a b", "s", "en"), (1, "a b", "t", None), (None, "a b", None, "en"), (None, "c d e", None, None), (None, "c d e", "s", "en"), (2, None, "s", "en"), (3, "", "s", "en"), (None, None, "s", "en"), (4, "a b", "s", "de")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").withColumn("times", F.lit(9))
+    frame.write.parquet(f"{tmp_path}/a/documents.parquet")
+    got = check_query(spark, f"{tmp_path}/a")
+    assert [r[4] for r in got if r[0] == "all"] == [6]
+    frame.limit(0).write.parquet(f"{tmp_path}/b/documents.parquet")
+    assert check_query(spark, f"{tmp_path}/b") == []
