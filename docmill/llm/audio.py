@@ -2,7 +2,7 @@
 
 Samples are resampled by a polyphase filter, cut into overlapped Hann frames, turned into log-mel filterbanks and
 stored as tensors of one fixed shape (FRAMES x MELS, the last one padded with FLOOR), each with the time span that it
-covers. A segment starts where the energy of a frame reaches the upper threshold and ends where it falls below the
+covers: an Arrow table with a column of the fixed-shape tensor type, as one value of a binary column. A segment starts where the energy of a frame reaches the upper threshold and ends where it falls below the
 lower one. Every document is computed by itself, in blocks of whole tensors, so equal media have equal features.
 """
 
@@ -31,11 +31,12 @@ UNIT = 192
 #: Frames that are transformed at once.
 BLOCK = 256 * FRAMES
 SCHEMA = (
-    "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, "
-    "tensors array<array<float>>, tensor_spans array<struct<start_ms: double, end_ms: double>>, segments array<struct<start_ms: double, end_ms: double>>, feature string"
+    "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, "
+    "media binary, tensors binary, segments array<struct<start_ms: double, end_ms: double>>"
 )
-COLUMNS = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+COLUMNS = [x.split()[0] for x in SCHEMA.split(", ")[:11]]
 TENSOR = pa.fixed_shape_tensor(pa.float32(), (FRAMES, MELS))
+STORED = pa.schema([("tensor", TENSOR), ("start_ms", pa.float64()), ("end_ms", pa.float64())])
 
 
 def payload(text: str | None) -> bytes:
@@ -150,27 +151,47 @@ def tensor_array(tensors: np.ndarray) -> pa.ExtensionArray:
     return pa.ExtensionArray.from_storage(TENSOR, flat)
 
 
-def audio_columns(docs: DataFrame, with_tensors: bool = True) -> DataFrame:
-    """The media columns and features of every text. A null text is empty; an empty one is UNIT spaces. Repeated rows are kept."""
+def store_tensors(tensors: np.ndarray, spans: list[tuple[float, float]]) -> bytes:
+    """The tensors and the time span of each as an Arrow IPC stream."""
+    starts, ends = zip(*spans, strict=True)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, STORED) as w:
+        w.write_batch(pa.RecordBatch.from_arrays([tensor_array(tensors), pa.array(starts, pa.float64()), pa.array(ends, pa.float64())], schema=STORED))
+    return out.getvalue().to_pybytes()
+
+
+def read_tensors(stored: bytes) -> tuple[np.ndarray, list[tuple[float, float]]]:
+    """What store_tensors() was given: tensors (n x FRAMES x MELS) and spans."""
+    table = pa.ipc.open_stream(stored).read_all()
+    column = table["tensor"].combine_chunks()
+    return column.to_numpy_ndarray(), list(zip(table["start_ms"].to_pylist(), table["end_ms"].to_pylist(), strict=True))
+
+
+def audio_columns(docs: DataFrame) -> DataFrame:
+    """The media columns and features of every text, and what they were computed from: media, tensors (read_tensors() reads
+    them) and segments. The digests are those of the stored forms, read back.
+
+    A null text is empty; an empty one is UNIT spaces. Repeated rows are kept. An empty table gives an empty table; further
+    columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start_ms", pa.float64()), ("end_ms", pa.float64())]))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.float32())), span, span, pa.string()]
-        names = [*COLUMNS[:7], "tensors", "tensor_spans", "segments", "feature"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), span]
         for batch in slices(batches):
             out = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 media = stored_form(data := payload(text.as_py()))
                 rate, samples = read_back(media)
                 tensors, spans, found = features(samples, rate)
-                dicts = lambda x: [{"start_ms": a, "end_ms": b} for a, b in x]
+                held = store_tensors(tensors, spans)
                 size = len((text.as_py() or "").encode())
-                out.append((doc, size, len(data), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(media), hashlib.sha256(media).hexdigest())
-                           + ((list(tensors.reshape(len(tensors), -1)), dicts(spans), dicts(found)) if with_tensors else (None, None, None)) + (digest(tensors, found),))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                out.append((doc, size, len(data), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(media), hashlib.sha256(media).hexdigest(),
+                            digest(read_tensors(held)[0], found), media, held, [{"start_ms": a, "end_ms": b} for a, b in found]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=COLUMNS)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
 
 
 def op10_audio_features(spark, sf_dir: str) -> DataFrame:
-    return audio_columns(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_tensors=False).select(*COLUMNS)
+    return audio_columns(spark.read.parquet(f"{sf_dir}/documents.parquet"))

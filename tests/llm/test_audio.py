@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from docmill.llm.audio import COLUMNS, FLOOR, FRAMES, HOP, MELS, TENSOR, UNIT, audio_columns, digest, features, log_mel, payload, read_back, resample, segments, stored_form, tensor_array
+from docmill.llm.audio import COLUMNS, FLOOR, FRAMES, HOP, MELS, TENSOR, UNIT, audio_columns, digest, features, log_mel, op10_audio_features, payload, read_back, read_tensors, resample, segments, store_tensors, stored_form, tensor_array
 
 
 def test_payload_and_lossless_form():
@@ -63,6 +63,8 @@ def test_features_have_a_fixed_shape_and_spans():
     assert tensors.shape[1:] == (FRAMES, MELS) and len(spans) == len(tensors) and (tensors[-1, -1] == FLOOR).all()
     assert all(a < b for a, b in [*spans, *found]) and spans[0][0] == 0
     assert tensor_array(tensors).type == TENSOR and np.array_equal(tensor_array(tensors).to_numpy_ndarray(), tensors)
+    stored, at = read_tensors(store_tensors(tensors, spans))
+    assert np.array_equal(stored, tensors) and at == spans
     assert digest(*features(payload("a"))[::2]) == digest(*features(payload("a"))[::2]) != digest(*features(payload("b"))[::2])
 
 
@@ -76,5 +78,34 @@ def test_whole_table(spark):
         assert (r.doc_id, r.n_bytes, r.payload_bytes) == (doc, len((text or "").encode()), len(data))
         assert r.payload_sha256 == hashlib.sha256(data).hexdigest() and r.tail_crc32 == zlib.crc32(data[-16:])
         assert r.media_bytes == len(stored_form(data)) and r.media_sha256 == hashlib.sha256(stored_form(data)).hexdigest()
-        assert by.setdefault(text or "", r.feature) == r.feature and len(r.tensors) == len(r.tensor_spans)
+        assert by.setdefault(text or "", r.feature) == r.feature
+        assert read_back(bytes(r.media))[1] == data
+        tensors, spans, found = features(data)
+        kept, at = read_tensors(bytes(r.tensors))
+        assert np.array_equal(kept, tensors) and at == spans and [tuple(x) for x in r.segments] == found
     assert audio_columns(spark.createDataFrame([], "doc_id long, text string")).select(*COLUMNS).count() == 0
+
+
+def test_filterbank_against_its_definition():
+    """Every band of a frame is the triangle-weighted sum of the power at the bins, summed one by one."""
+    rate, x = 6000, np.random.default_rng(2).normal(size=700)
+    mels, energy = log_mel(x, rate)
+    y = [x[k] - 0.97 * x[max(k - 1, 0)] for k in range(len(x))]
+    mel = lambda f: 2595 * np.log10(1 + f / 700)
+    edges = [700 * (10 ** (mel(rate / 2) * k / (MELS + 1) / 2595) - 1) for k in range(MELS + 2)]
+    for t in (0, 2, len(mels) - 1):
+        frame = [(y[k] if 0 <= (k := t * HOP - 128 + j) < len(y) else 0.0) * (0.5 - 0.5 * np.cos(2 * np.pi * j / 255)) for j in range(256)]
+        power = [abs(sum(v * np.exp(-2j * np.pi * f * j / 256) for j, v in enumerate(frame))) ** 2 / 256 for f in range(129)]
+        for m in (0, 5, MELS - 1):
+            a, b, c = edges[m : m + 3]
+            total = sum(p * max(0, min((f * rate / 256 - a) / (b - a), (c - f * rate / 256) / (c - b))) for f, p in enumerate(power))
+            assert np.isclose(mels[t, m], 10 * np.log10(max(total, 1e-10)))
+        assert np.isclose(energy[t], 10 * np.log10(max(np.mean(np.square(frame)), 1e-10)))
+
+
+def test_query_returns_what_was_stored(spark):
+    rows = op10_audio_features(spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert read_back(bytes(r.media))[1] == payload(texts[r.doc_id]) and len(read_tensors(bytes(r.tensors))[1]) == int(r.feature.split("x")[0])
