@@ -146,12 +146,12 @@ _WINDOW = "name long, hash long, _id long, _tag long, start long, weight int"
 
 
 def _keyed(docs: DataFrame, others: list[str]) -> DataFrame:
-    """_id and _tag name a row: doc_id and the checksum of the text, with a bit for a null doc_id. Rows equal in both are equal.
+    """_id and _tag name a row: doc_id and the hash of the text, whose last bit tells a null doc_id. Rows equal in both are equal.
 
     The columns in `others` come along as _0, _1 and so on.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    tag = F.crc32(F.encode(text, "UTF-8")) + F.col("doc_id").isNull().cast("long") * F.lit(1 << 32)
+    tag = F.xxhash64(text).bitwiseAND(F.lit(-2)).bitwiseOR(F.col("doc_id").isNull().cast("long"))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), tag.alias("_tag"), text.alias("text"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(others)])
 
 
@@ -283,8 +283,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_te
     twins = there.where("NOT same").join(kinds.where("n > 1").select("name", "text"), ["name", "text"], "left_semi").select("_id", "_tag", "place")
     carried = [T.StructField(f"_{k}", docs.schema[c].dataType) for k, c in enumerate(others)]
     bodies = rows.mapInArrow(_shrink, T.StructType([T.StructField("_id", T.LongType()), T.StructField("_tag", T.LongType()), T.StructField("_body", T.BinaryType()), *carried]))
-    windows = bodies.join(listed, ["_id", "_tag"]).mapInArrow(_window_rows(window), _WINDOW)
-    seen = windows.groupBy("name", "hash").agg(F.sum("weight").alias("n")).where("n > 1").select("name", "hash")
+    # both written, so that the join has plain rows on both sides: Spark then splits the windows of a passage that many share
+    windows = Stored(bodies.join(listed, ["_id", "_tag"]).mapInArrow(_window_rows(window), _WINDOW)).df
+    seen = Stored(windows.groupBy("name", "hash").agg(F.sum("weight").alias("n")).where("n > 1").select("name", "hash")).df
     single = windows.where("weight = 1").join(seen, ["name", "hash"], "left_semi").select("_id", "_tag", (F.col("start") * _PLACE + 1).alias("place"))
     places = whole.unionByName(twins).unionByName(single).groupBy("_id", "_tag").agg(F.collect_set("place").alias("places"))
     found = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("kept", T.StringType())]
@@ -295,7 +296,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, with_te
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs, all columns, with the words of repeated windows taken out of text and n_chars, if there, counted anew.
 
-    Rows of which nothing is left go; untouched rows stay as they were.
+    Rows of which nothing is left go; untouched rows stay as they were, null texts as empty ones. Repeated rows repeat
+    each other. An empty table gives an empty table; columns of any name come back as they were.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = repeats(docs, window, others=others).where("n_removed < n_words OR n_words = 0")
@@ -307,7 +309,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _doc_id() -> Column:
-    return F.when(F.col("_tag") < 1 << 32, F.col("_id")).alias("doc_id")
+    return F.when(F.col("_tag").bitwiseAND(F.lit(1)) == 0, F.col("_id")).alias("doc_id")
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -96,3 +96,18 @@ def test_query(spark):
     for d, (n, removed, kept) in zip(docs, brute([d.text for d in docs], 35), strict=True):
         r = got[d.doc_id]
         assert (r.n_words, r.n_removed, r.kept_sha256) == (n, removed, hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_texts_of_one_doc_id_with_equal_checksums_stay_apart(spark):
+    """Two texts of one CRC-32, found by their last characters, of which one holds a repeated window."""
+    import zlib
+
+    passage, seen, r = "a b c d e", {}, random.Random(1)
+    for k in range(400_000):
+        text = f"{passage if k % 2 else 'p q r s t'} {r.getrandbits(64):x}"
+        pair = seen.setdefault(zlib.crc32(text.encode()), text)
+        if pair != text and (pair[0] == "a") != (text[0] == "a"):
+            break
+    else:
+        raise AssertionError("no two texts of one checksum")
+    check(spark, [(1, pair), (1, text), (2, passage)], 5)
