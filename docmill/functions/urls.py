@@ -42,24 +42,30 @@ def query(url: Column) -> Column:
     return F.regexp_extract(url, _PARTS, 4)
 
 
-def parameters(url: Column) -> Column:
-    """The non-blank key=value pairs of the query, in order."""
-    return F.filter(F.split(query(url), "&"), lambda p: p.rlike("^[^=]+=.") | p.rlike("^=."))
+def _decoded(x: Column) -> Column:
+    """Form decoding: a plus is a space; a percent sign that starts no byte stays."""
+    return F.url_decode(F.regexp_replace(x, "%(?![0-9A-Fa-f]{2})", "%25"))
+
 
+def _encoded(x: Column) -> Column:
+    """Form encoding: all but letters, digits and _.-~ as bytes, a space as a plus."""
+    return F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
-def _key(pair: Column) -> Column:
-    return F.substring_index(pair, "=", 1)
+
+def parameters(url: Column) -> Column:
+    """The key=value pairs of the query whose value is not blank, decoded, in order."""
+    filled = F.filter(F.split(query(url), "&"), lambda p: p.rlike("(?s)^[^=]*=."))
+    return F.transform(filled, lambda p: F.struct(_decoded(F.substring_index(p, "=", 1)).alias("key"), _decoded(F.regexp_replace(p, "^[^=]*=", "")).alias("value")))
 
 
 def normalize(url: Column) -> Column:
-    """Without fragment, `hl` and blank parameters; parameters of one key stand together, the host is in lower case."""
-    kept = F.filter(parameters(url), lambda p: ~_key(p).isin(*DROPPED_KEYS))
-    keys = F.array_distinct(F.transform(kept, _key))
-    grouped = F.flatten(F.transform(keys, lambda k: F.filter(kept, lambda p: _key(p) == k)))
-    # a round trip through form encoding: a space is a plus
-    text = F.array_join(F.transform(grouped, lambda p: F.regexp_replace(p, "%20", "+")), "&")
-    front = F.concat(F.when(scheme(url) != "", F.concat(scheme(url), F.lit(":"))).otherwise(""), F.when(authority(url) != "", F.concat(F.lit("//"), F.lower(authority(url)))).otherwise(""))
-    return F.concat(front, path(url), F.when(F.size(grouped) > 0, F.concat(F.lit("?"), text)).otherwise(""))
+    """Without fragment, `hl` and blank parameters; parameters of one key stand together, decoded and encoded anew; the
+    host is in lower case. A URL without a scheme or host begins with ://, as an empty one does."""
+    kept = F.filter(parameters(url), lambda p: ~p["key"].isin(*DROPPED_KEYS))
+    keys = F.array_distinct(F.transform(kept, lambda p: p["key"]))
+    grouped = F.flatten(F.transform(keys, lambda k: F.filter(kept, lambda p: p["key"] == k)))
+    text = F.array_join(F.transform(grouped, lambda p: F.concat(_encoded(p["key"]), F.lit("="), _encoded(p["value"]))), "&")
+    return F.concat(scheme(url), F.lit("://"), F.lower(authority(url)), path(url), F.when(F.size(grouped) > 0, F.concat(F.lit("?"), text)).otherwise(""))
 
 
 def domain_allowed(url: Column, domains: Sequence[str]) -> Column:
@@ -76,7 +82,7 @@ def pattern_excluded(url: Column, patterns: Sequence[str]) -> Column:
 
 
 def paginated(url: Column) -> Column:
-    return F.arrays_overlap(F.transform(parameters(url), _key), F.array(*map(F.lit, PAGINATION_KEYS)))
+    return F.arrays_overlap(F.transform(parameters(url), lambda p: p["key"]), F.array(*map(F.lit, PAGINATION_KEYS)))
 
 
 @dataclass(frozen=True)
@@ -100,14 +106,26 @@ class UrlFilter:
         return reduce(lambda c, s: c.when(s[1], s[0]), steps[1:], F.when(steps[0][1], steps[0][0]))
 
 
-def filter_urls(urls: DataFrame, rules: UrlFilter, url: str = "url", visited: DataFrame | None = None) -> DataFrame:
-    """urls with `norm_url` and `filter_reason`; visited has norm_url. Of rows with one norm_url the first in `seq` counts, if there is such a column."""
+#: What a crawl excludes where nothing else is said: binary files, pagination, and paths of fewer than ten characters.
+DEFAULT_RULES = UrlFilter(exclude_patterns=BINARY_PATTERNS, min_path_length=10)
+
+
+def filter_urls(urls: DataFrame, rules: UrlFilter = DEFAULT_RULES, url: str = "url", visited: DataFrame | None = None) -> DataFrame:
+    """urls with `norm_url` and `filter_reason`; visited has norm_url.
+
+    With a column `seq`, rows behind the first one of their norm_url that the rules let through are duplicates of it.
+    """
     out = urls.withColumn("norm_url", normalize(F.col(url)))
     seen = F.lit(False)
     if visited is not None:
         out = out.join(visited.select("norm_url", F.lit(True).alias("_seen")).distinct(), "norm_url", "left")
         seen = F.coalesce("_seen", F.lit(False))
-    return out.withColumn("filter_reason", rules.reason(F.col(url), seen)).drop("_seen")
+    out = out.withColumn("filter_reason", rules.reason(F.col(url), seen)).drop("_seen")
+    if "seq" not in urls.columns:
+        return out
+    first = out.where("filter_reason IS NULL").groupBy("norm_url").agg(F.min("seq").alias("_first"))
+    again = F.coalesce(F.col("seq") > F.col("_first"), F.lit(False))
+    return out.join(first, "norm_url", "left").withColumn("filter_reason", F.when(again, DUPLICATE).otherwise(F.col("filter_reason"))).drop("_first")
 
 
 def filter_report(filtered: DataFrame) -> DataFrame:
@@ -115,19 +133,31 @@ def filter_report(filtered: DataFrame) -> DataFrame:
     return filtered.where(F.col("filter_reason").isNotNull()).rollup("filter_reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _folded(link: Column) -> Column:
+    """A path, with the query and fragment behind it, without . and .. segments."""
+    whole = F.regexp_extract(link, "^[^?#]*", 0)
+    parts = F.split(F.regexp_replace(whole, "^/", ""), "/")
+    kept = F.aggregate(
+        parts, F.array().cast("array<string>"),
+        lambda a, p: F.when(p == ".", a).when(p == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(p))),
+    )
+    end = F.when(whole.rlike(r"(^|/)\.\.?$") & (F.size(kept) > 0), F.lit("/")).otherwise("")
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), end, F.regexp_replace(link, "^[^?#]*", ""))
+
+
 def resolve(base: Column, link: Column) -> Column:
-    """The URL of a link on a page: absolute, //host, /path, ?query, #fragment or relative; without ./ and ../ folding."""
+    """The URL of a link on a page: absolute, //host, /path, ?query, #fragment or relative; . and .. segments are folded."""
     root = F.concat(scheme(base), F.lit("://"), authority(base))
-    folder = F.regexp_replace(path(base), "[^/]*$", "")
+    folder = F.regexp_replace(F.regexp_extract(base, _PARTS, 3), "[^/]*$", "")
     plain = F.regexp_replace(base, "#.*$", "")
+    whole = F.when(link.startswith("/"), link).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), link))
     return (
         F.when(link == "", base)
         .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme(base), F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(root, link))
         .when(link.startswith("#"), F.concat(plain, link))
         .when(link.startswith("?"), F.concat(F.regexp_replace(plain, r"\?.*$", ""), link))
-        .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), link))
+        .otherwise(F.concat(root, F.when(whole.rlike(r"/\.\.?(/|$|[?#])"), _folded(whole)).otherwise(whole)))
     )
 
 

@@ -31,16 +31,21 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def hashed_embedding(text: Column, dims: int = 384, normalize: bool = True) -> Column:
-    """The default embedder: term counts by a hash of the term, with a sign, scaled to unit length."""
-    terms = tokens(F.coalesce(text, F.lit("")))
-    cell = lambda t: F.pmod(F.xxhash64(t), F.lit(dims))
-    sign = lambda t: F.when(F.pmod(F.xxhash64(t, F.lit("sign")), F.lit(2)) == 0, 1.0).otherwise(-1.0)
-    signed = F.transform(terms, lambda t: F.struct(cell(t).alias("c"), sign(t).alias("s")))
-    raw = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.aggregate(F.filter(signed, lambda x: x["c"] == k), F.lit(0.0), lambda a, x: a + x["s"]))
-    if not normalize:
-        return raw.cast("array<float>")
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda a, x: a + x * x))
-    return F.when(norm > 0, F.transform(raw, lambda x: x / norm)).otherwise(raw).cast("array<float>")
+    """The default embedder: term counts by a hash of the term, with a sign, scaled to unit length.
+
+    Terms are hashed in the JVM; a batch of texts then becomes vectors in one pass over its terms.
+    """
+    code = lambda t: (F.pmod(F.xxhash64(t), F.lit(dims)) * 2 + F.pmod(F.xxhash64(t, F.lit("sign")), F.lit(2))).cast("int")
+
+    @F.arrow_udf("array<float>")
+    def vectors(codes: pa.Array) -> pa.Array:
+        flat, n = np.asarray(codes.flatten()), len(codes)
+        row = np.repeat(np.arange(n), np.asarray(codes.value_lengths()))
+        out = np.bincount(row * dims + flat // 2, 1.0 - 2.0 * (flat % 2), n * dims).astype(np.float64).reshape(n, dims)
+        out = (_unit(out) if normalize else out).astype(np.float32)
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * dims), pa.array(out.ravel()))
+
+    return vectors(F.transform(tokens(F.coalesce(text, F.lit(""))), code))
 
 
 def embed(chunks: DataFrame, encode: Callable[[list[str]], np.ndarray] | None = None, text: str = "chunk_text", dims: int = 384, model: str = "hashed-terms", batch: int = 32) -> DataFrame:

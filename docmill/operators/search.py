@@ -101,15 +101,23 @@ def _best(scores: np.ndarray, names: np.ndarray, k: int) -> list[int]:
     return sorted(np.flatnonzero(scores >= least).tolist(), key=lambda x: (-scores[x], names[x]))[:k]
 
 
-def build_index(docs: DataFrame, item: str = "item_id", text: str = "text") -> dict[str, DataFrame]:
-    """BM25 tables: postings (term, item_id, tf), lengths (item_id, length) and terms (term, df, idf)."""
+def build_index(docs: DataFrame, item: str = "item_id", text: str = "text", asked: DataFrame | None = None) -> dict[str, DataFrame]:
+    """BM25 tables: postings (term, item_id, tf), lengths (item_id, length) and terms (term, df, idf).
+
+    With `asked` (a column `query`), postings and terms hold the terms of these queries only, which are picked before
+    rows are moved; df and the mean idf are those of all terms.
+    """
     words = docs.select(F.col(item).alias("item_id"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
     lengths = words.select("item_id", F.size("_t").cast("long").alias("length"))
-    postings = words.select("item_id", F.explode("_t").alias("term")).groupBy("term", "item_id").agg(F.count(F.lit(1)).alias("tf"))
-    df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    every = words.select("item_id", F.explode("_t").alias("term"))
+    df = words.select(F.explode(F.array_distinct("_t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = lengths.agg(F.count(F.lit(1)).alias("n"))
     raw = df.join(F.broadcast(n)).withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))  # one row
     mean = raw.agg(F.avg("raw").alias("mean"))
+    if asked is not None:
+        wanted = asked.select(F.explode(tokens(F.coalesce("query", F.lit("")))).alias("term")).distinct()
+        every, raw = every.join(wanted, "term", "left_semi"), raw.join(wanted, "term", "left_semi")
+    postings = every.groupBy("term", "item_id").agg(F.count(F.lit(1)).alias("tf"))
     idf = F.when(F.col("raw") < 0, F.col("mean") * EPSILON).otherwise(F.col("raw"))
     terms = raw.join(F.broadcast(mean)).select("term", "df", idf.alias("idf"))  # one row
     return {"postings": postings, "lengths": lengths, "terms": terms}
@@ -145,6 +153,14 @@ def with_payload(fused: DataFrame, dense: DataFrame, sparse: DataFrame, columns:
     return out.withColumns({c: F.coalesce(f"_d_{c}", f"_s_{c}") for c in columns}).drop(*[f"_{x}_{c}" for x in "ds" for c in columns])
 
 
+def with_latency(found: DataFrame, embed_ms: float = 0.0, search_ms: float = 0.0, rerank_ms: float = 0.0) -> DataFrame:
+    """found with the milliseconds that a query took: a batch is answered at once, so each query has its share of them."""
+    steps = {"embed_ms": embed_ms, "search_ms": search_ms, "rerank_ms": rerank_ms}
+    n = found.agg(F.greatest(F.countDistinct("query_id"), F.lit(1)).alias("_n"))
+    out = found.join(F.broadcast(n)).withColumns({k: F.lit(float(v)) / F.col("_n") for k, v in steps.items()})  # one row
+    return out.withColumn("total_ms", F.col("embed_ms") + F.col("search_ms") + F.col("rerank_ms")).drop("_n")
+
+
 def lexical_score(query: Column, text: Column) -> Column:
     """The share of a query's distinct terms that a text has."""
     asked = F.array_distinct(tokens(F.coalesce(query, F.lit(""))))

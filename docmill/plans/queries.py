@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docmill.functions import html as H
 from docmill.functions import text as X
+from docmill.functions import tokenizers as T
 from docmill.functions import urls as U
 from docmill.operators import blocks as B
 from docmill.operators import chunks as K
@@ -19,7 +20,7 @@ from docmill.operators import embeddings as V
 from docmill.operators import evaluate as E
 from docmill.operators import search as S
 from docmill.plans.fixtures import EDGES, EVALUATION, markdown, select
-from docmill.sources.store import VectorStore
+from docmill.sources.store import VectorStore, metadata
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,7 +100,7 @@ def crawl_bfs(spark, sf_dir):
     pages = edges.select("url", F.array("a", "b", "c").alias("outgoing_links"))
     seeds = edges.where("n = 0").select("url")
     rules = U.UrlFilter(exclude_patterns=U.BINARY_PATTERNS)
-    return W.crawl(pages, seeds, rules, W.CrawlLimits(max_depth=6, max_pages=10**6, abort_pages=10**6)).select("url", "depth")
+    return W.crawl(pages, seeds, rules, W.CrawlLimits(max_depth=64, max_pages=10**6, abort_pages=10**6)).select("url", "depth")
 
 
 @query
@@ -223,6 +224,17 @@ def token_estimate(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", X.estimated_tokens(F.col("text")).alias("n_tokens"))
 
 
+@query
+def token_round_trip(spark, sf_dir):
+    """Whether the tokenizer's ids give each text back, by the vocabulary that the box offers."""
+    import public_tokenizers as P
+
+    ids = T.encode(F.col("text"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    back = T.decode(F.col("ids"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    rows = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), ids.alias("ids"))
+    return rows.select("doc_id", (back == F.col("text")).alias("exact"), (F.size("ids") > 0).alias("has_ids"))
+
+
 @query
 def token_budget(spark, sf_dir):
     n = X.estimated_tokens(F.col("text"))
@@ -266,7 +278,7 @@ def similarity_health(spark, sf_dir):
 @query
 def chunk_embeddings(spark, sf_dir):
     """The default embedder over the chunks, and its report."""
-    return V.embedding_report(V.embed(K.chunk_documents(markdown(spark, sf_dir)), dims=64), "token_count")
+    return V.embedding_report(V.embed(K.chunk_documents(markdown(spark, sf_dir))), "token_count")
 
 
 # ---- retrieval and evaluation
@@ -281,7 +293,8 @@ def _corpus(spark, sf_dir):
 
 
 def _sparse(spark, sf_dir):
-    return S.bm25_top(_asked(spark, sf_dir), S.build_index(_corpus(spark, sf_dir)), 5 * S.OVERFETCH)
+    asked = _asked(spark, sf_dir)
+    return S.bm25_top(asked, S.build_index(_corpus(spark, sf_dir), asked=asked), 5 * S.OVERFETCH)
 
 
 def _dense(spark, sf_dir, k):
@@ -417,17 +430,24 @@ def json_fence_strip(spark, sf_dir):
     return rows.select("doc_id", _md5("body").alias("body_md5"))
 
 
-@query
-def store_upsert(spark, sf_dir):
-    """Two loads into a new store: ids that are there keep their row."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="docmill-store-")
-    docs = markdown(spark, sf_dir)
-    rows = docs.select(
+def _stored_rows(spark, sf_dir):
+    return markdown(spark, sf_dir).select(
         F.col("doc").cast("string").alias("chunk_id"), F.array(F.col("doc").cast("float")).alias("embedding"), F.col("url").alias("source_url"), F.md5(F.col("url").cast("binary")).alias("source_document"), "title",
         F.lit("s").alias("section_title"), F.lit(0).alias("chunk_index"), F.lit(1).alias("total_chunks"), F.lit(1).alias("token_count"), F.lit("text").alias("content_type"), F.lit("v1").alias("document_version"),
         F.lit("v1").alias("chunk_version"), F.array("source", "lang").alias("heading_path"), F.lit("first").alias("chunk_text"), "doc",
     )
-    store = VectorStore(spark, f"{folder}/store-{spark.sparkContext.applicationId}-{id(docs)}")
+
+
+@query
+def store_upsert(spark, sf_dir):
+    """Two loads into a new store: ids that are there keep their row."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="docmill-store-")
+    rows = _stored_rows(spark, sf_dir)
+    store = VectorStore(spark, f"{folder}/store-{spark.sparkContext.applicationId}-{id(rows)}")
     store.load(rows.where("doc % 2 = 0"))
     store.load(rows.withColumn("chunk_text", F.lit("second")))
     return store.table().select(F.col("chunk_id").cast("long").alias("doc_id"), F.col("text").alias("batch"))
@@ -435,7 +455,7 @@ def store_upsert(spark, sf_dir):
 
 @query
 def metadata_flat(spark, sf_dir):
-    return markdown(spark, sf_dir).select("doc", F.to_json(F.array("source", "lang")).alias("heading_path"), "title", "url")
+    return _stored_rows(spark, sf_dir).select("doc", metadata().alias("m")).select("doc", "m.heading_path", "m.title", F.col("m.source_url").alias("url"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

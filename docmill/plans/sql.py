@@ -271,7 +271,7 @@ ORACLE_SQL: dict[str, str] = {
     "crawl_pages": with_(MARK) + rf"""SELECT count(*) AS attempted, count_if(ok) AS crawled, count_if(NOT ok) AS failed, coalesce(sum(CASE WHEN ok THEN w END), 0)::BIGINT AS total_words, round(avg(CASE WHEN ok THEN w END), 6)::DOUBLE AS average_page_words
         FROM (SELECT (regexp_extract(lower(html), '<html[^>]*\blang=["'']?([^"''\s>]+)', 1) = '' OR starts_with(regexp_extract(lower(html), '<html[^>]*\blang=["'']?([^"''\s>]+)', 1), 'en')) AND md <> '' AS ok, len({words('md')})::BIGINT AS w FROM marked) x""",
     "crawl_bfs": f"""WITH RECURSIVE e AS ({EDGES}), walk AS (
-        SELECT url, 0 AS depth FROM e WHERE n = 0 UNION SELECT t.url, w.depth + 1 FROM walk w JOIN e s ON s.url = w.url JOIN e t ON t.url IN (s.a, s.b) WHERE w.depth < 6
+        SELECT url, 0 AS depth FROM e WHERE n = 0 UNION SELECT t.url, w.depth + 1 FROM walk w JOIN e s ON s.url = w.url JOIN e t ON t.url IN (s.a, s.b) WHERE w.depth < 64
       ) SELECT url, CAST(min(depth) AS INTEGER) AS depth FROM walk GROUP BY url""",
     "sitemap_urls": with_(URLS) + "SELECT DISTINCT url FROM pages",
     "block_parse": ALL_BLOCKS + "SELECT doc, block_idx, md5(content) AS content_md5, content_hash, CASE WHEN is_code THEN 'code' WHEN is_heading THEN 'heading' WHEN is_table THEN 'table' WHEN is_list THEN 'list' ELSE 'text' END AS block_type FROM measured",
@@ -322,5 +322,6 @@ ORACLE_SQL: dict[str, str] = {
     "snippet": "SELECT doc_id, CASE WHEN length(text) > 300 THEN substr(text, 1, 300) || '...' ELSE text END AS snippet FROM documents",
     "json_fence_strip": f"SELECT doc_id, md5({strip('text')}) AS body_md5 FROM documents",
     "store_upsert": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'first' ELSE 'second' END AS batch FROM documents",
+    "token_round_trip": "SELECT doc_id, true AS exact, coalesce(text, '') <> '' AS has_ids FROM documents",
     "metadata_flat": f"WITH md AS ({MARKDOWN}) SELECT doc, to_json([source, lang]) AS heading_path, title, url FROM md",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.operators.search import build_index, dense_top_k
+from docmill.sources.readers import CORRUPT, read_embedded
 
 METADATA = ("source_url", "source_document", "title", "section_title", "chunk_index", "total_chunks", "token_count", "content_type", "document_version", "chunk_version")
 
@@ -51,6 +52,14 @@ class VectorStore:
         rows.write.mode("append").parquet(f"{self.path}/rows")
         return self.size() - before
 
+    def load_folder(self, path: str) -> tuple[int, int]:
+        """Appends the embedded chunks of a folder of JSON files; returns how many rows were new and how many were bad."""
+        rows = read_embedded(self.spark, path, keep_bad=True)
+        bad = F.col(CORRUPT).isNotNull() | F.col("chunk_id").isNull() | F.col("embedding").isNull()
+        # the column of bad records alone may not be asked of files, so the rows are counted with their ids
+        failed = rows.select("chunk_id", bad.alias("bad")).where("bad").count()
+        return self.load(rows.where(~bad).drop(CORRUPT)), failed
+
     def query(self, queries: DataFrame, k: int = 5) -> DataFrame:
         """The k nearest rows of each query (query_id, vector), with text and metadata."""
         vectors = self.table().select(F.col("chunk_id").alias("item_id"), F.col("embedding").alias("vector"))

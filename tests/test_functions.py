@@ -18,7 +18,7 @@ def value(spark, column, **inputs):
         ("HTTPS://Docs.Example.com/a/b?hl=en&x=1&x=2&y=#frag", "https://docs.example.com/a/b?x=1&x=2"),
         ("http://e.com:8080/p?b=2&a=1&b=3", "http://e.com:8080/p?b=2&b=3&a=1"),
         ("http://e.com/p;x=1?hl=de", "http://e.com/p"),
-        ("", ""),
+        ("", "://"),
     ],
 )
 def test_normalize(spark, url, expected):
@@ -88,3 +88,51 @@ def test_html(spark):
     assert value(spark, H.title(F.col("u"), F.col("m")), u="http://e.com/a/b/", m="text") == "b"
     assert value(spark, H.links(F.col("u"), F.col("m"), F.array(F.lit("http://q.org/"))), u="http://e.com/a", m="[x](/y) [z](/y) [w](http://k.org)") == ["http://e.com/y", "http://k.org", "http://q.org/"]
     assert value(spark, H.sitemap_urls(F.col("x")), x="<u><loc> a </loc><i:loc>b</i:loc><loc>a</loc><loc></loc></u>") == ["a", "b"]
+
+
+ODD_URLS = ["http://e.com/p?q=é", "http://e.com/p?q=a%41&b=%7E*~", "http://e.com/p?q=a+b%20c&r=%E9&s=100%", "/docs/a?x=1&&y&z=&=v", "//E.com/a?k=a=b&K=1&k=2", "http://e.com?a=1;b=2#f?x=1", "http://e.com/a;p=1/b;q?hl=x&a%3Db=c%26d", "mailto:x@e.com", "http://e.com/p?h%6C=en&x=1", "http://e.com/p?x=\u4e2d%2F%2f&y= z"]
+
+
+@pytest.mark.parametrize("url", ODD_URLS)
+def test_normalize_as_the_library_round_trip(spark, url):
+    from urllib.parse import parse_qsl, urlencode, urlparse
+
+    parts = urlparse(url.split("#")[0])
+    by_key = {}
+    for key, text in parse_qsl(parts.query):
+        by_key.setdefault(key, []).append(text)
+    by_key.pop("hl", None)
+    query = urlencode(by_key, doseq=True)
+    assert value(spark, U.normalize(F.col("u")), u=url) == f"{parts.scheme}://{parts.netloc.lower()}{parts.path}" + (f"?{query}" if query else "")
+
+
+@pytest.mark.parametrize("link", ["./x", "../x", "../../../x", "c/./d/../e", "..", ".", "/a/../b/./c", "../x?y=../z", "c/..#f", "...", "a/..b", "x/."])
+def test_resolve_folds_segments_as_the_library_does(spark, link):
+    from urllib.parse import urljoin
+
+    base = "http://e.com/a/b/c?q=1#old"
+    assert value(spark, U.resolve(F.col("b"), F.col("l")), b=base, l=link) == urljoin(base, link)
+
+
+def test_duplicates_by_place(spark):
+    rows = [(1, "http://e.com/file/long.pdf"), (2, "http://e.com/long/path#b"), (3, "http://E.com/long/path"), (4, "http://e.com/long/path?hl=de"), (5, "http://e.com/x")]
+    got = {r.seq: r.filter_reason for r in U.filter_urls(spark.createDataFrame(rows, "seq int, url string"), U.UrlFilter(exclude_patterns=U.BINARY_PATTERNS, min_path_length=2)).collect()}
+    assert got == {1: U.PATTERN, 2: None, 3: U.DUPLICATE, 4: U.DUPLICATE, 5: None}
+    default = {r.seq: r.filter_reason for r in U.filter_urls(spark.createDataFrame(rows, "seq int, url string")).collect()}
+    assert default[1] == U.PATTERN and default[5] == U.SHORT
+
+
+def test_tokenizer_counts_and_round_trips(spark):
+    import public_tokenizers as P
+
+    from docmill.functions import tokenizers as T
+
+    path, pattern = P.path("byte_bpe_50k.tiktoken"), P.PATTERN
+    texts = [None, "", "some words, é 中文\n\n  x", "a" * 3000]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").withColumn("ids", T.encode(F.col("text"), path, pattern))
+    got = rows.select("k", "ids", T.decode(F.col("ids"), path, pattern).alias("back"), T.token_count(F.col("text"), path, pattern).alias("n")).orderBy("k").collect()
+    want = [T.vocabulary(path, pattern).encode_ordinary(t or "") for t in texts]
+    assert [(r.ids, r.back, r.n) for r in got] == [(w, t or "", len(w)) for w, t in zip(want, texts, strict=True)]
+    with pytest.raises(ValueError, match="blanks"):
+        T.text_ids(" " * 200_000, path, pattern)
+    assert T.counter(path, pattern)("some words") == 2

@@ -238,3 +238,48 @@ def test_store_readers_and_streaming(spark, tmp_path):
     assert read_index(spark, str(tmp_path / "index"))["postings"].count() == 3
     vectors = spark.createDataFrame([(1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert write_embeddings(vectors, str(tmp_path / "e1"), 2) and not write_embeddings(vectors, str(tmp_path / "e2"), 3) and not (tmp_path / "e2" / "embeddings").exists()
+
+
+def test_index_of_asked_terms_gives_the_scores_of_the_whole_one(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"t{(k * j) % 7}" for j in range(k + 1))) for k in range(12)] + [(99, None)], "item_id long, text string")
+    queries = spark.createDataFrame([(1, "t1 t2 t2"), (2, "t0"), (3, None), (4, "none")], "query_id long, query string")
+    whole, some = (S.bm25_scores(queries, x).collect() for x in (S.build_index(docs), S.build_index(docs, asked=queries)))
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, some)) and whole
+    assert {r.term for r in S.build_index(docs, asked=queries)["terms"].collect()} == {"t0", "t1", "t2"}
+
+
+def test_sinks_and_a_store_from_a_folder(spark, tmp_path):
+    from docmill.operators import chunks as K
+    from docmill.operators import embeddings as V
+    from docmill.operators import evaluate as E
+    from docmill.sources import readers, writers
+    from docmill.sources.store import VectorStore
+
+    docs = spark.createDataFrame([(f"http://e.com/{k}", f"T{k}", f"# T{k}\n\n" + "some words here. " * 300) for k in range(3)], "url string, title string, markdown_content string")
+    chunks = K.chunk_documents(docs)
+    n = chunks.count()
+    writers.write_chunks(chunks, f"{tmp_path}/c", "v2", "v1", 3)
+    assert spark.read.json(f"{tmp_path}/c/chunking_manifest").head().asDict() == {"chunking_version": "v2", "source_processed_version": "v1", "total_documents": 3, "total_chunks": n}
+    assert readers.read_chunks(spark, f"{tmp_path}/c/chunks").count() == n
+    writers.write_chunk_stats(chunks, f"{tmp_path}/s")
+    report = spark.read.json(f"{tmp_path}/s").head()
+    assert report.stats.chunks == n and report.config.max_tokens == 800
+    embedded = V.embed(chunks, dims=8).withColumn("embedded_at", F.lit(None).cast("timestamp"))
+    writers.write_embedded_chunks(embedded, f"{tmp_path}/e")
+    files = [f for f in (tmp_path / "e").glob("part-*.json") if f.stat().st_size]
+    assert len(files) == n
+    (tmp_path / "e" / "bad.json").write_text("{ no json")
+    store = VectorStore(spark, f"file://{tmp_path}/store")
+    assert store.load_folder(f"{tmp_path}/e") == (n, 1) and store.load_folder(f"{tmp_path}/e") == (0, 1) and store.size() == n
+    queries = E.with_defaults(spark.createDataFrame([(1, "q", ["doc-1"])], "query_id long, query string, acceptable_documents array<string>"))
+    found = spark.createDataFrame([(1, 1, 7, "doc-1", "s", None)], "query_id long, rank int, item_id long, identifier string, section_title string, heading_path array<string>")
+    classified = E.classify(found, queries)
+    ranked = E.ranks(classified, queries).join(S.with_latency(found, search_ms=6.0).select("query_id", "total_ms"), "query_id")
+    writers.write_evaluation(ranked, classified, queries, f"{tmp_path}/v", "set", "store")
+    got = spark.read.json(f"{tmp_path}/v/evaluation_metrics").head()
+    assert got.recall_at_1 == 1.0 and got.avg_latency_ms == 6.0 and got.dataset_used == "set"
+    assert "- **Recall@1**: 1.00" in (r.value for r in spark.read.text(f"{tmp_path}/v/evaluation_summary").collect())
+    assert spark.read.json(f"{tmp_path}/v/benchmark_reliability_report").head().dataset_quality == "High"
+    for _ in range(2):
+        writers.append_queries(queries, f"{tmp_path}/q")
+    assert spark.read.json(f"{tmp_path}/q").count() == 2
