@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.tables import small_batches
 from docmill.llm.textbatch import slices
 
 RATE, UP, DOWN, HALF = 8000, 3, 4, 8
@@ -175,6 +176,7 @@ def audio_columns(docs: DataFrame) -> DataFrame:
     columns are not read.
     """
 
+    small_batches(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start_ms", pa.float64()), ("end_ms", pa.float64())]))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.binary(), span]

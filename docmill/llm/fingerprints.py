@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmill.llm.tables import partitions
+from docmill.llm.tables import partitions, small_batches
 from docmill.llm.textbatch import mix, slices, spans
 
 K, S = 16, 8
@@ -147,6 +147,7 @@ def with_next(docs: DataFrame, run, schema: str) -> DataFrame:
     Partitions are ranges between doc_ids that exist. Each also gets, as its last row, the first document of the range
     behind it (of the first range, for the last one), with `last` true. Rows of one doc_id are ordered by their texts.
     """
+    small_batches(docs.sparkSession)
     low = -(1 << 63)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("_key"))
     n = partitions(docs.sparkSession)

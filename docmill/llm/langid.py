@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docmill.llm.tables import small_batches
 from docmill.llm.textbatch import LOWER, Words, mix, slices, spans, trim
 
 PER_LANG = 150
@@ -281,6 +282,7 @@ def identify(docs: DataFrame, model: Model | None, with_words: bool = False) ->
     probabilities; score is the share. A text without a letter, or null, is `und` with score 0. Repeated rows stay. An
     empty table gives an empty table; further columns are not read. Without a model all are `und`.
     """
+    small_batches(docs.sparkSession)
     schema = "doc_id long, lang_pred string, score double" + ", runs array<struct<lang: string, words: int>>" * with_words
     cast = pickle.dumps(model)
     shared = docs.sparkSession.sparkContext.broadcast(cast)  # weights of 2**BITS + LEXICON features at most
@@ -303,6 +305,7 @@ def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> Data
     Null texts and texts without a letter go, and all rows where there is no model; repeated rows stay as they are. An
     empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmill.llm.tables import small_batches
 from docmill.llm.textbatch import mix, names, powers, slices, spans
 
 MODEL = "piece_bpe_32k.model"
@@ -311,6 +312,7 @@ def _path(path: str | None) -> str:
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and ids of each text. A null or empty text has no ids; repeated rows are kept."""
+    small_batches(docs.sparkSession)
     path = _path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,6 +348,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     A null or empty text has no ids and decodes to an empty one. Repeated rows are kept; an empty table gives an empty
     table; further columns are not read.
     """
+    small_batches(docs.sparkSession)
     path = _path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

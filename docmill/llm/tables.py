@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from docmill.llm.textbatch import trim
 
 CODEC = "zstd"
+#: Bytes of an Arrow batch on its way to or from Python; Spark's own bound holds tens of megabytes in each task twice.
+BATCH = 1 << 22
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 _kept: list[tuple[SparkSession, str]] = []
 
 
@@ -22,11 +25,19 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="docmill-")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by BATCH bytes in this session, unless it has a bound of its own."""
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, str(BATCH))
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
@@ -49,9 +60,11 @@ class Stored:
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/docmill-{uuid.uuid4().hex}"
         _kept.append((self.spark, self.path))
+        small_batches(self.spark)
         df.write.option("compression", CODEC).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
         trim()  # the driver's own memory, between steps
+        self.spark.sparkContext._jvm.System.gc()  # the shuffle files of finished steps go with the plans that held them
 
     def drop(self) -> None:
         _remove(self.spark, self.path)

@@ -73,6 +73,11 @@ def names(raw: np.ndarray, values: np.ndarray, starts: np.ndarray, ends: np.ndar
     return out
 
 
+def word_names(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of the words raw[starts:ends], as Words gives them."""
+    return names(raw, _BYTE[raw], starts, ends) if len(raw) else np.zeros(len(starts), np.uint64)
+
+
 @cache
 def _libc() -> ctypes.CDLL | None:
     try:
@@ -140,8 +145,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        raw = LOWER[self.bytes] if self.lower else self.bytes
-        return names(raw, _BYTE[raw], self.start, self.end)
+        return word_names(LOWER[self.bytes] if self.lower else self.bytes, self.start, self.end)
 
 
 def distinct(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

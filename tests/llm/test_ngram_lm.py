@@ -18,11 +18,14 @@ class Plain:
     """The same model with dictionaries and loops."""
 
     def __init__(self, texts):
-        self.c = Counter(w for t in texts for w in tokens(t))
-        self.c["end"] = len(texts)
-        self.c = +self.c
-        self.n = sum(self.c.values())
-        self.words = [w for w in self.c if w != "end"]
+        self.pairs = Counter(x for t in texts for x in zip(["begin", *tokens(t)], [*tokens(t), "end"], strict=True))
+        self.count = Counter(w for t in texts for w in [*tokens(t), "end"])
+        self.n = sum(self.count.values())
+        self.words = [w for w in self.count if w != "end"]
+        self.c = Counter(w for _, w in self.pairs)  # how many tokens each one follows
+        self.begun = defaultdict(list)
+        for (h, _), c in self.pairs.items():
+            self.begun[h].append(c)
         grams = Counter()
         for w in self.words:
             s = [BEGIN, BEGIN, *w, ENDS]
@@ -31,6 +34,7 @@ class Plain:
         self.levels.append(Counter(x[1:] for x in self.levels[1]))
         self.d = [discounts(np.array(list(x.values()), int)) for x in self.levels]
         self.dw = discounts(np.array(list(self.c.values()), int))
+        self.dp = discounts(np.array(list(self.pairs.values()), int))
 
     def symbol(self, gram):
         if not gram:
@@ -47,23 +51,29 @@ class Plain:
         s = [BEGIN, BEGIN, *word, ENDS]
         return math.prod(self.symbol(g) for g in zip(s, s[1:], s[2:], strict=False))
 
-    def p(self, word):
-        v = len(self.c)
+    def alone(self, word):
+        share = 1 / (len(self.count) + 2)
         if word == "end":
-            below = 1 / (v + 2)
+            below = share
         else:
-            below = (self.spelled(word) if word in self.c else 1 - sum(map(self.spelled, self.words))) * (1 - 1 / (v + 2))
+            below = (1 - 2 * share) * (self.spelled(word) if word in self.count else 1 - sum(map(self.spelled, self.words))) + share * (word not in self.count)
         if not self.n:
             return below
-        left = sum(self.dw[min(x, 3)] for x in self.c.values()) / self.n
-        c = self.c.get(word, 0)
-        return (c - self.dw[min(c, 3)]) / self.n + left * below
+        total, c = sum(self.c.values()), self.c.get(word, 0)
+        return (c - self.dw[min(c, 3)] + sum(self.dw[min(x, 3)] for x in self.c.values()) * below) / total
+
+    def p(self, history, word):
+        own = self.begun.get(history)
+        if not own:
+            return self.alone(word)
+        c = self.pairs.get((history, word), 0)
+        return (c - self.dp[min(c, 3)] + sum(self.dp[min(x, 3)] for x in own) * self.alone(word)) / sum(own)
 
     def row(self, doc, text):
         all_ = [*tokens(text), "end"]
         held = doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2
-        base = sum(math.log10((self.c.get(w, 0) + 1) / (self.n + len(self.c) + 1)) for w in all_)
-        return doc, held, len(all_), sum(w in self.c for w in all_), self.n, base, sum(math.log10(self.p(w)) for w in all_)
+        base = sum(math.log10((self.count.get(w, 0) + 1) / (self.n + len(self.count) + 1)) for w in all_)
+        return doc, held, len(all_), sum(w in self.count for w in all_), self.n, base, sum(math.log10(self.p(h, w)) for h, w in zip(["begin", *all_], all_, strict=False))
 
 
 def check(spark, rows, schema="doc_id long, text string"):
@@ -88,6 +98,8 @@ def test_against_the_plain_model(spark):
 
 def test_small_blocks_and_edge_cases(spark, monkeypatch):
     monkeypatch.setattr("docmill.llm.ngram_lm.BLOCK", 300)
+    monkeypatch.setattr("docmill.llm.ngram_lm.SHARD", 100)
+    monkeypatch.setattr("docmill.llm.ngram_lm.STEP", 90)
     check(spark, [(*r, "x") for r in corpus(50)] + [(1000, None, ""), (1001, "", ""), (1001, "", ""), (None, "the NULL id", ""), (1002, "x" * 400, ""), (1003, "long é " * 3000, "")], "doc_id long, text string, score string")
     held = [k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2]
     check(spark, [(held[0], "nothing was learnt"), (held[1], None)])
@@ -107,7 +119,17 @@ def test_spelling_is_a_distribution():
 
 def test_events_sum_to_one():
     model = Plain([t for _, t in corpus(20)])
-    assert sum(map(model.p, model.c)) + model.p(b"never seen") == pytest.approx(1)
+    for history in ("begin", b"never seen", *model.words[:20]):
+        assert sum(model.p(history, w) for w in model.count) + model.p(history, b"never seen either") == pytest.approx(1)
+
+
+def test_the_order_of_words_counts(spark):
+    texts = [t for _, t in corpus(150) if len(tokens(t)) > 5]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(1000 + k, " ".join(reversed(t.split()))) for k, t in enumerate(texts)]
+    held = {k for k, _ in rows if zlib.crc32(str(k).encode()) % 7 == 2}
+    got = {r.doc_id: r for r in score(spark.createDataFrame([r for r in rows if r[0] < 1000 or r[0] in held], "doc_id long, text string")).collect()}
+    both = [(got[k - 1000], got[k]) for k in held if k >= 1000 and k - 1000 not in held]
+    assert len(both) > 2 and all(a.n_known == b.n_known and a.score > b.score + 1 for a, b in both)
 
 
 def test_held_out_text_is_likelier_than_by_the_base(spark):
