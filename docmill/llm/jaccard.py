@@ -11,6 +11,10 @@ n - ceil(t * n) + 1 members in any common order, so a set goes to the blocks of
 common groups of hashes last (a sketch of bounded size counts them), which keeps blocks small. Sets of equal members
 are one class throughout.
 
+A block of many classes is cut twice: into bands of sizes, as only sets of one band or of neighbouring bands can be
+similar, and a band by a hash of the class. Two classes that share several large blocks are joined in the first of them:
+a row knows the larger blocks of its class.
+
 Blocks are joined in three sweeps. The first verifies each class against a few of the least classes of its blocks,
 and the two ends of each block against one another, which is all there is to a block of two classes. The second builds the trees of the blocks that still hold several components, one for all blocks of one least class, split
 where they are large, and verifies the likeliest pairs of each class. Both link large groups of near copies at a cost that grows with the group, not with its
@@ -43,8 +47,13 @@ MEMBERS = 1 << 20
 PIVOTS = 3
 #: Likeliest pairs of each class of a block that the second sweep verifies.
 NEAREST = 3
-#: Counters of the sketch of common n-grams, and bits of the filter of wanted documents.
-SKETCH, CHUNK, FILTER = 1 << 20, 1 << 12, 1 << 22
+#: Counters of the sketch of common n-grams.
+SKETCH, CHUNK = 1 << 20, 1 << 12
+#: Bits of a filter of wanted rows for each of them, and the most bits that are broadcast. Where more rows are wanted
+#: than that holds, there is no filter, and the join alone finds them.
+BITS, MOST_BITS = 16, 1 << 27
+#: A row of a block knows up to so many larger blocks of its class, of blocks with more than BIG classes.
+BEFORE, BIG = 8, 64
 _GRAM = 0xBF58476D1CE4E5B9
 
 
@@ -254,35 +263,44 @@ def _likely(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFra
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
 
 
-def _bits(keys: DataFrame) -> np.ndarray:
-    """A filter of FILTER bits that the hashes in column `bit` set; its size does not depend on the number of keys."""
-    cells = keys.select(F.pmod("bit", F.lit(FILTER)).alias("bit")).groupBy(F.floor(F.col("bit") / 32).alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 32).cast("int"))).alias("bits")).toArrow()
-    out = np.zeros(FILTER // 32, np.uint32)
-    out[cells["cell"].to_numpy()] = cells["bits"].to_numpy()
-    return out
+def _filter(keys: DataFrame):
+    """A broadcast filter of the hashes in column `bit`, or none if BITS for each would be more than MOST_BITS."""
+    n = keys.count()
+    if n * BITS > MOST_BITS:
+        return None
+    width = 1 << max(16, (n * BITS - 1).bit_length())
+    cells = keys.select(F.pmod("bit", F.lit(width)).alias("bit")).groupBy(F.floor(F.col("bit") / 32).alias("cell"))
+    found = cells.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 32).cast("int"))).alias("bits")).toArrow()
+    out = np.zeros(width // 32, np.uint32)
+    out[found["cell"].to_numpy()] = found["bits"].to_numpy()
+    return keys.sparkSession.sparkContext.broadcast(out)  # at most MOST_BITS
+
+
+def _passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes.view(np.uint64) & np.uint64(32 * len(table) - 1)
+    return (table[(bit >> np.uint64(5)).astype(np.int64)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1 > 0
 
 
-def _row_bit(doc_id: str, text_hash: str) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(F.col(doc_id), F.lit(0)), F.col(text_hash)), F.lit(FILTER))
+def _row_hash(doc_id: Column, text_hash: Column) -> Column:
+    return F.xxhash64(F.coalesce(doc_id, F.lit(0)), text_hash)
 
 
 def _bodies(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """digest and _body, a compressed text of the class, of each of the classes in nodes. docs has doc_id, text and text_hash."""
     rows = Stored(classes.join(nodes, "digest").select("digest", F.coalesce("row.doc_id", F.lit(0)).alias("_id"), F.col("row.doc_id").isNull().alias("_null"), F.col("row.text_hash").alias("_hash"))).df
-    bits = docs.sparkSession.sparkContext.broadcast(_bits(rows.select(_row_bit("_id", "_hash").alias("bit"))))  # FILTER bits
+    bits = _filter(rows.select(_row_hash(F.col("_id"), F.col("_hash")).alias("bit")))
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        pack, table = zstandard.ZstdCompressor(level=1), bits.value
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            bit = np.asarray(batch.column("bit"))
-            own = batch.filter(pa.array((table[bit // 32] >> (bit % 32).astype(np.uint32)) & 1 > 0))
+            own = batch.filter(pa.array(_passes(bits.value, np.asarray(batch.column("bit"))))) if bits else batch
             bodies = pa.array([pack.compress((t.as_py() or "").encode()) for t in own.column("text")], pa.binary())
             yield _batch([own.column("doc_id").fill_null(0), own.column("doc_id").is_null(), own.column("text_hash"), bodies], ["_id", "_null", "_hash", "_body"])
             trim()
 
-    found = docs.withColumn("bit", _row_bit("doc_id", "text_hash")).mapInArrow(bodies, "_id long, _null boolean, _hash long, _body binary")
+    found = docs.withColumn("bit", _row_hash(F.col("doc_id"), F.col("text_hash"))).mapInArrow(bodies, "_id long, _null boolean, _hash long, _body binary")
     return found.join(rows, ["_id", "_null", "_hash"]).groupBy("digest").agg(F.first("_body").alias("_body"))
 
 
@@ -324,18 +342,34 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     return Stored(both.mapInArrow(check, "a long, b long").distinct())
 
 
-def _block_pairs(rows: DataFrame, num: int, den: int, most: int | None) -> DataFrame:
-    """Pairs that the trees of the blocks and then the fine points let through. rows: key, digest, label, n, point, fine.
+def _cells(cuts: str, own: str) -> Column:
+    """The cells (i, j) of a block's cuts that a row of the cut `own` takes part in."""
+    return F.transform(F.sequence(F.lit(0), F.col(cuts) - 1), lambda x: F.struct(F.least(x, F.col(own)).alias("i"), F.greatest(x, F.col(own)).alias("j")))
+
+
+def _block_pairs(rows: DataFrame, classes: DataFrame, num: int, den: int, most: int | None) -> DataFrame:
+    """Pairs that the trees of the blocks and then the fine points let through. rows: key, digest, label.
 
     With `most`, each class of a block keeps those of its pairs whose bounds are the highest.
 
-    A block of more than SPLIT classes is cut by a hash of the class, and every two cuts meet in a task of their own.
+    A block of more than SPLIT classes is cut into bands of sizes, each of which also holds the next one's classes, and
+    a band of more than SPLIT by a hash of the class; then every two cuts meet in a task of their own. A pair that also
+    shares a larger block, by the up to BEFORE that its rows know, is left to that one.
     """
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_m"))
-    cuts = F.ceil(F.col("_m") / SPLIT).cast("int")
-    own = F.pmod(F.xxhash64("digest", F.lit("cut")), cuts).cast("int")
-    cells = F.transform(F.sequence(F.lit(0), F.col("_cuts") - 1), lambda x: F.struct(F.least(x, F.col("_own")).alias("i"), F.greatest(x, F.col("_own")).alias("j")))
-    dealt = rows.join(sizes, "key").withColumns({"_cuts": cuts, "_own": own}).withColumn("_cell", F.explode(cells)).select("key", "_cell.i", "_cell.j", "_own", "digest", "label", "n", "point", "fine")
+    narrow = Stored(rows.join(classes.select("digest", "n"), "digest")).df
+    sizes = Stored(narrow.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > min(BIG, SPLIT))).df
+    large = F.struct((-F.col("_m")).alias("m"), "key")
+    order = narrow.join(sizes, "key").groupBy("digest").agg(F.array_sort(F.collect_list(large)).alias("_order")).where(F.size("_order") > 1)
+    before = F.filter("_order", lambda x: x < large)
+    held = narrow.join(sizes, "key", "left").join(order, "digest", "left").withColumn("_before", F.transform(F.slice(before, 1, BEFORE), lambda x: x["key"]))
+    band = F.when(F.col("_m") > SPLIT, F.floor(F.log(F.col("n")) / np.log(den / num) + 1e-9).cast("int")).otherwise(0)
+    bands = F.when(F.col("_m") > SPLIT, F.array(F.struct(band.alias("band"), F.lit(False).alias("upper")), F.struct((band - 1).alias("band"), F.lit(True).alias("upper"))))
+    places = F.coalesce(bands, F.array(F.struct(F.lit(0).alias("band"), F.lit(False).alias("upper"))))
+    dealt = held.withColumn("_place", F.explode(places)).select("key", "_place.band", F.col("_place.upper").alias("_upper"), "_before", "digest", "label")
+    cuts = narrow.join(sizes.where(F.col("_m") > SPLIT), "key").select("key", F.explode(F.array(band, band - 1)).alias("band")).groupBy("key", "band").agg(F.ceil(F.count(F.lit(1)) / SPLIT).cast("int").alias("_cuts"))
+    dealt = dealt.join(cuts, ["key", "band"], "left").withColumn("_cuts", F.coalesce("_cuts", F.lit(1))).withColumn("_own", F.pmod(F.xxhash64("digest", F.lit("cut")), F.col("_cuts")).cast("int"))
+    dealt = dealt.withColumn("_cell", F.explode(_cells("_cuts", "_own"))).select("key", "band", "_cell.i", "_cell.j", "_own", "_upper", "_before", "digest", "label")
+    dealt = dealt.join(classes.select("digest", "n", "point", "fine"), "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen = None, set()
@@ -344,6 +378,7 @@ def _block_pairs(rows: DataFrame, num: int, den: int, most: int | None) -> DataF
             digest, label, n, part, i, j = (block.column(c).to_numpy() for c in ("digest", "label", "n", "_own", "i", "j"))
             vectors = np.frombuffer(b"".join(block.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
             fine = block.column("fine").combine_chunks()
+            upper, before = block.column("_upper").to_numpy(), [frozenset(x or ()) for x in block.column("_before").to_pylist()]
             alone = i[0] == j[0]
             left = np.arange(len(n)) if alone else np.flatnonzero(part == i[0])
             right = left if alone else np.flatnonzero(part == j[0])
@@ -351,6 +386,8 @@ def _block_pairs(rows: DataFrame, num: int, den: int, most: int | None) -> DataF
                 return
             tree = CountTree(vectors[left], n[left], label[left])
             for q, p in tree.pairs(vectors[right], n[right], label[right], num, den):
+                here = [k for k, (x, y) in enumerate(zip(left[p].tolist(), right[q].tolist(), strict=True)) if before[x].isdisjoint(before[y]) and not (upper[x] and upper[y])]
+                q, p = q[here], p[here]
                 a, b = digest[left[p]], digest[right[q]]
                 low, high = np.minimum(a, b), np.maximum(a, b)
                 fresh = [k for k, x in enumerate(zip(low.tolist(), high.tolist(), strict=True)) if x[0] != x[1] and x not in seen and not seen.add(x)]
@@ -373,7 +410,7 @@ def _block_pairs(rows: DataFrame, num: int, den: int, most: int | None) -> DataF
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]) if held is not None else table
-            cell = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
+            cell = np.stack([table.column(c).to_numpy() for c in ("key", "band", "i", "j")], axis=1)
             turns = np.flatnonzero((cell[1:] != cell[:-1]).any(axis=1)) + 1
             for a, b in zip(np.concatenate(([0], turns[:-1])), turns, strict=False):
                 if b - a > 1:
@@ -383,7 +420,7 @@ def _block_pairs(rows: DataFrame, num: int, den: int, most: int | None) -> DataF
         if held is not None and held.num_rows > 1:
             yield from join(held)
 
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return dealt.repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j").mapInArrow(run, "a long, b long").distinct()
 
 
 def link_counts(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -417,8 +454,7 @@ def _links(label: DataFrame, docs: DataFrame, classes: DataFrame, words: int, nu
     named = Stored(named.join(sizes, "label").select(F.col("node").alias("digest"), "label", "_m", "_cuts")).df
     more = named.where("_m > 2")
     own = F.pmod(F.xxhash64("digest", F.lit("cut")), F.col("_cuts")).cast("int")
-    cells = F.transform(F.sequence(F.lit(0), F.col("_cuts") - 1), lambda x: F.struct(F.least(x, F.col("_own")).alias("i"), F.greatest(x, F.col("_own")).alias("j")))
-    dealt = more.join(_bodies(more.select("digest"), docs, classes), "digest").withColumn("_own", own).withColumn("_cell", F.explode(cells)).select("label", "_cell.i", "_cell.j", "_own", "digest", "_body")
+    dealt = more.join(_bodies(more.select("digest"), docs, classes), "digest").withColumn("_own", own).withColumn("_cell", F.explode(_cells("_cuts", "_own"))).select("label", "_cell.i", "_cell.j", "_own", "digest", "_body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def tile(block: pa.Table) -> pa.RecordBatch:
@@ -488,8 +524,8 @@ def similar(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
         labelled = blocks.join(label.df, blocks.digest == label.df.node, "left").select("key", "digest", "low", "high", F.coalesce("label", "digest").alias("label"))
         open_ = labelled.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"), more.alias("_more")).where("_more AND _a <> _b").select("key")
         # blocks of one least class are joined as one: whoever meets in them meets there, once
-        members = labelled.join(open_, "key").select(F.col("low").alias("key"), "digest", "label").distinct().join(classes.select("digest", "n", "point", "fine"), "digest")
-        rest = Stored(_block_pairs(members, num, den, most).join(_all(tried), ["a", "b"], "left_anti"))
+        members = labelled.join(open_, "key").select(F.col("low").alias("key"), "digest", "label").distinct()
+        rest = Stored(_block_pairs(members, classes, num, den, most).join(_all(tried), ["a", "b"], "left_anti"))
         label.drop()
         found.append(_verified(rest.df, docs, classes, words, num, den).df)
         tried.append(rest.df)
@@ -510,34 +546,34 @@ def similar(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
 def one_of_each(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """docs, all columns, without the rows whose component has a lesser doc_id, and once each where rows are equal in doc_id and text.
 
-    Rows without a doc_id go if their component has one, else they stay. Only rows that a filter of FILTER bits does not
-    clear are shuffled.
+    Rows without a doc_id go if their component has one, else they stay. Columns of any name come back as they were. An
+    empty table gives an empty table. Only rows that a filter does not clear are shuffled.
     """
     rows = Stored(similar(docs, words, num, den, links=False).select("doc_id", "text_hash", "component_id")).df
     again = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("c"))
     gone = F.col("c").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") != F.col("c")))
     listed = Stored(again.where(gone | (F.col("n") > 1)).select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("doc_id").isNull().alias("_null"), F.col("text_hash").alias("_hash"), gone.alias("_gone"))).df
-    key = lambda d, h: F.pmod(F.xxhash64(d, h), F.lit(FILTER))
-    bits = docs.sparkSession.sparkContext.broadcast(_bits(listed.select(key(F.col("_id"), F.col("_hash")).alias("bit"))))
-    hashed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_null": F.col("doc_id").isNull(), "_hash": F.xxhash64(F.col("text").cast("string"))})
-    hashed = hashed.withColumn("_bit", key(F.col("_id"), F.col("_hash")))
+    bits = _filter(listed.select(_row_hash(F.col("_id"), F.col("_hash")).alias("bit")))
+    # the columns of docs travel by number, so none of theirs is hidden by one of ours
+    carried = [F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(docs.columns)]
+    doc_id, text_hash = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+    hashed = docs.select(*carried, F.coalesce(doc_id, F.lit(0)).alias("_id"), doc_id.isNull().alias("_null"), text_hash.alias("_hash"), _row_hash(doc_id, text_hash).alias("_bit"))
 
     def pick(wanted: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = bits.value
             for batch in batches:
-                bit = np.asarray(batch.column("_bit"))
-                yield batch.filter(pa.array(((table[bit // 32] >> (bit % 32).astype(np.uint32)) & 1 > 0) == wanted))
+                yield batch.filter(pa.array(_passes(bits.value, np.asarray(batch.column("_bit"))) == wanted))
                 trim()
 
         return run
 
-    clear, rest = hashed.mapInArrow(pick(False), hashed.schema), hashed.mapInArrow(pick(True), hashed.schema)
+    rest = hashed.mapInArrow(pick(True), hashed.schema) if bits else hashed
     rest = rest.join(listed, ["_id", "_null", "_hash"], "left").where("_gone IS NULL OR NOT _gone")
     # equal rows that stay: the first of each, which a group limit finds before the shuffle
     number = F.row_number().over(Window.partitionBy("_id", "_null", "_hash").orderBy("_bit"))
-    first = rest.withColumn("_row", F.when(F.col("_gone").isNull(), 1).otherwise(number)).where("_row = 1")
-    return clear.select(docs.columns).unionByName(first.select(docs.columns))
+    out = rest.withColumn("_row", F.when(F.col("_gone").isNull(), 1).otherwise(number)).where("_row = 1")
+    named = [F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)]
+    return hashed.mapInArrow(pick(False), hashed.schema).select(*named).unionByName(out.select(*named)) if bits else out.select(*named)
 
 
 def op4_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

@@ -149,13 +149,47 @@ def test_all_links_are_counted(spark, monkeypatch):
     check_links(spark, rows, 4, 85, 100)
 
 
-def test_one_of_each(spark):
-    rows = [(*r, f"s{k}") for k, r in enumerate(corpus())] + [(5000, "same text of six words here", "a"), (5000, "same text of six words here", "a"), (5001, "other text of six words there", "b"), (5001, None, "c"), (None, "other text of six words there", "d"), (None, "no id and no kin at all", "e")]
-    frame = spark.createDataFrame(rows, "doc_id long, text string, _id string")
+def check_one_of_each(spark, rows):
+    names = ["_id", "_null", "_hash", "_bit", "_gone", "_row", "_0", "a.b"]
+    frame = spark.createDataFrame([(*r, *[f"{r[2]}{n}" for n in names]) for r in rows], ", ".join(["doc_id long", "text string", "label string", *[f"`{n}` string" for n in names]]))
     got = one_of_each(frame.repartition(3), 5, 80, 100)
     assert got.columns == frame.columns
     want = {(d, t) for d, t, c in brute_components(rows) if c is None or d == c}
-    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    found = got.collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == sorted(want, key=str)
+    assert all(r[n] == f"{r.label}{n}" for r in found for n in names)
+
+
+def test_one_of_each(spark, monkeypatch):
+    rows = [(*r, f"s{k}") for k, r in enumerate(corpus())] + [(5000, "same text of six words here", "a"), (5000, "same text of six words here", "a"), (5001, "other text of six words there", "b"), (5001, None, "c"), (None, "other text of six words there", "d"), (None, "no id and no kin at all", "e")]
+    check_one_of_each(spark, rows)
+    monkeypatch.setattr("docmill.llm.jaccard.MOST_BITS", 0)  # as for so many rows that no filter is made
+    check_one_of_each(spark, rows)
+    empty = one_of_each(spark.createDataFrame([], "doc_id long, text string, _id long"))
+    assert empty.columns == ["doc_id", "text", "_id"] and empty.count() == 0
+
+
+def test_small_sets_with_many_neighbours(spark):
+    """Sets of 5 to 20 shingles, each of which shares single shingles with several others, and some near copies."""
+    r, rows = random.Random(11), []
+    for k in range(60):
+        words = [f"u{k}x{j}" for j in range(r.randint(8, 22))]
+        rows.append(words)
+        for at in r.sample(range(len(words) - 4), 3):
+            rows.append([f"v{k}y{j}z{at}" for j in range(r.randint(4, 10))] + words[at : at + 4])
+        for cut in (1, 2):
+            rows.append(words[cut:])
+            rows.append(words[:-cut])
+    check(spark, [(k, " ".join(w)) for k, w in enumerate(rows)], 4, 85, 100)
+
+
+def test_pairs_of_several_large_blocks_meet_once(spark, monkeypatch):
+    monkeypatch.setattr("docmill.llm.jaccard.BIG", 2)
+    monkeypatch.setattr("docmill.llm.jaccard.BEFORE", 2)
+    monkeypatch.setattr("docmill.llm.jaccard.SPLIT", 20)
+    monkeypatch.setattr("docmill.llm.jaccard._common", lambda docs, words: np.zeros(1 << 20, np.uint8))
+    check(spark, corpus(), 4, 60, 100)
+    check(spark, corpus(), 5, 80, 100)
 
 
 def brute_components(rows):
