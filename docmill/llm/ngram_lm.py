@@ -437,16 +437,22 @@ def score(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     small_batches(spark)
-    blocks = Stored(_blocks(docs)).df
+    first = Stored(_blocks(docs))
+    blocks = first.df
     n_pairs, ends = blocks.agg(F.sum("n_pairs"), F.sum(F.size(F.filter("held", lambda h: ~h)))).head()
     ends, shards = int(ends or 0), max(partitions(spark), -(-int(n_pairs or 0) // SHARD))
-    paired = Stored(_deal_pairs(blocks, shards).groupBy("shard").applyInArrow(_sum_pairs, _SUMMED)).df
+    dealt = Stored(_deal_pairs(blocks, shards).groupBy("shard").applyInArrow(_sum_pairs, _SUMMED))
+    paired = dealt.df
     pair_times = paired.where("block = -1").select(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(4)]).head()
     pair_back = paired.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "totals")).alias("found"))
     held = blocks.select("block", "doc_ids", "sizes", "held", "tokens", "words", "lengths", "counts")
-    whole = Stored(held.join(pair_back, "block")).df
+    second = Stored(held.join(pair_back, "block"))
+    whole = second.df
+    first.drop()
+    dealt.drop()
     begin = [int(x or 0) for x in _marks(whole).head()]
-    summed = Stored(_deal_words(whole, shards).groupBy("shard").applyInArrow(_sum_words, _SUMMED)).df
+    third = Stored(_deal_words(whole, shards).groupBy("shard").applyInArrow(_sum_words, _SUMMED))
+    summed = third.df
     told = summed.where("block = -1")
     words, types, follows, *times = (int(x or 0) for x in told.select(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(7)]).head())
     grams = told.select(F.explode(F.arrays_zip("codes", "n")).alias("x")).groupBy("x.codes").agg(F.sum("x.n").alias("n")).toArrow()  # at most 2**24 and a few rows
@@ -513,6 +519,8 @@ def score(docs: DataFrame) -> DataFrame:
     back = summed.where("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "totals")).alias("about"))
     joined = whole.join(back, "block", "left")
     sums = Stored(joined.mapInArrow(run, "doc_id long, held_out boolean, words long, known long, base double, sure double, owned double")).df
+    second.drop()
+    third.drop()
     spelt = sums.agg(F.sum("owned")).head()[0] or 0.0
     unknown = float(np.log10(left * (share + (1 - 2 * share) * max(1 - spelt, 0.0))))
     return sums.where("words IS NOT NULL").select(
