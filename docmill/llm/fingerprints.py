@@ -22,8 +22,6 @@ from docmill.llm.tables import partitions, small_batches
 from docmill.llm.textbatch import mix, slices, spans
 
 K, S = 16, 8
-#: No fingerprint is cut: this is more syncmers than a batch has characters.
-KEEP = 1 << 31
 #: Characters that are hashed at once, unless one text alone is longer.
 CHARS = 1 << 20
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
@@ -73,20 +71,18 @@ def _anchors(texts: list[str], k: int, s: int) -> list[Anchors]:
     ends = np.cumsum([len(t) for t in texts])
     starts = ends - [len(t) for t in texts]
     at = np.flatnonzero(closed(points, k, s))
-    names = spans(points, at, at + k, 0xA0761D6478BD642F) >> np.uint64(32) if len(at) else np.zeros(0, np.uint64)
-    # (hash, place in the batch) in one number; a batch has fewer than 2**31 characters
-    both = (names << np.uint64(32)) | at.astype(np.uint64)
+    names = spans(points, at, at + k, 0xA0761D6478BD642F) if len(at) else np.zeros(0, np.uint64)
     first, last = np.searchsorted(at, starts), np.searchsorted(at, np.maximum(ends - k + 1, starts))
     out = []
     for a, b, start, end in zip(first, last, starts, ends, strict=True):
         if a == b:
-            whole = spans(points[start:end], np.array([0]), np.array([end - start])) >> np.uint64(32) if end > start else np.zeros(0, np.uint64)
+            whole = spans(points[start:end], np.array([0]), np.array([end - start])) if end > start else np.zeros(0, np.uint64)
             out.append((whole, np.zeros(len(whole), np.int64)))
             continue
-        own = np.sort(both[a:b])
-        hashes = own >> np.uint64(32)
+        order = np.argsort(names[a:b], kind="stable")  # of equal hashes the first place leads
+        hashes, places = names[a:b][order], at[a:b][order]
         new = np.concatenate(([True], hashes[1:] != hashes[:-1]))
-        out.append((hashes[new], (own[new] & np.uint64(0xFFFFFFFF)).astype(np.int64) - int(start)))
+        out.append((hashes[new], places[new] - int(start)))
     return out
 
 
@@ -98,23 +94,26 @@ def fingerprints(texts: list[str], k: int = K, s: int = S) -> list[list[tuple[in
 def spelt(found: list[Anchors]) -> pa.Array:
     """Each fingerprint as text: hash@place, in hexadecimal digits and with commas between."""
     sizes = np.array([len(h) for h, _ in found], np.int64)
-    hashes, places = (np.concatenate([np.zeros(0, np.int64), *(x[c].astype(np.int64) for x in found)]) for c in (0, 1))
+    hashes = np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in found)])
+    places = np.concatenate([np.zeros(0, np.int64), *(p for _, p in found)])
     shifts = np.arange(28, -4, -4)
-    rows = np.full((len(hashes), 18), ord(","), np.uint8)
-    rows[:, :8] = _HEX[(hashes[:, None] >> shifts) & 15]
-    rows[:, 8] = ord("@")
-    rows[:, 9:17] = _HEX[(places[:, None] >> shifts) & 15]
+    rows = np.full((len(hashes), 26), ord(","), np.uint8)
+    # the hex digits of a hash, high byte first
+    digits = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    rows[:, 0:16:2], rows[:, 1:16:2] = _HEX[digits >> 4], _HEX[digits & 15]
+    rows[:, 16] = ord("@")
+    rows[:, 17:25] = _HEX[(places[:, None] >> shifts) & 15]
     used = np.ones(rows.shape, bool)
-    used[:, 9:16] = places[:, None] >> shifts[:7] > 0  # no zeros ahead
+    used[:, 17:24] = places[:, None] >> shifts[:7] > 0  # no zeros ahead
     ends = np.cumsum(sizes)
-    used[ends[sizes > 0] - 1, 17] = False
+    used[ends[sizes > 0] - 1, 25] = False
     length = np.concatenate(([0], np.cumsum(used.sum(axis=1))))
     offsets = length[np.concatenate(([0], ends))]
     return pa.LargeStringArray.from_buffers(len(found), pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(rows[used].tobytes())).cast(pa.string())
 
 
 def written(fingerprint: list[tuple[int, int]]) -> str:
-    return ",".join(f"{h:08x}@{p:x}" for h, p in fingerprint)
+    return ",".join(f"{h:016x}@{p:x}" for h, p in fingerprint)
 
 
 def alike(a: Anchors, b: Anchors) -> float:
@@ -137,8 +136,8 @@ def alike(a: Anchors, b: Anchors) -> float:
 
 def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
     """alike() of lists of (hash, place)."""
-    one, two = (np.array(x, np.int64).reshape(-1, 2).T for x in (a, b))
-    return alike((one[0], one[1]), (two[0], two[1]))
+    one, two = ((np.array([h for h, _ in x], np.uint64), np.array([p for _, p in x], np.int64)) for x in (a, b))
+    return alike(one, two)
 
 
 def with_next(docs: DataFrame, run, schema: str) -> DataFrame:
