@@ -180,20 +180,21 @@ def pack(found: list[Section], config: ChunkConfig) -> list[Chunk]:
     out: list[Chunk] = []
     for section in found:
         held: list[Block] = []
+        used = 0
 
         def flush(rest: list[Block], section: Section = section) -> None:
-            nonlocal held
+            nonlocal held, used
             out.append(Chunk(len(out), section, held))
-            held = rest
+            held, used = rest, sum(x.tokens for x in rest)
 
         for b in section.blocks:
-            used = sum(x.tokens for x in held)
             over = held and used + b.tokens > config.max_tokens
             if over and b.kind in (CODE, TABLE):
                 flush([])
             elif over and used + b.tokens > config.chunk_size:
                 flush(tail(held, config.overlap))
             held.append(b)
+            used += b.tokens
         if held:
             flush([])
     for c in out:
@@ -221,7 +222,8 @@ def merge(chunks: list[Chunk], config: ChunkConfig) -> list[Chunk]:
 
     def step(out: list[Chunk], b: Chunk) -> list[Chunk]:
         if not out or not _absorbs(out[-1], b, config):
-            return [*out, b]
+            out.append(b)
+            return out
         a = out[-1]
         if _bare(a) and len(b.path) > len(a.path):
             a.path, a.title = list(b.path), b.title
