@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from docmill.llm.sharding import Leaf, grow, place, shard_documents, topology
 
 ROWS = [(k, f"text {k} é" * (k % 5)) for k in range(3000)]
@@ -58,3 +60,31 @@ def test_nulls_repeats_empty_tables_and_extra_columns(spark):
         by[r.shard].append(r.slot)
     assert all(sorted(v) == list(range(len(v))) for v in by.values())
     assert shard_documents(docs(spark, []), topology(24)).count() == 0
+
+
+def test_descent_against_the_definition(spark):
+    """Each level drawn in plain Python: the child whose -ln(u) / weight is least, u from the hash of the key and the child's name."""
+    import math
+    import struct
+
+    import xxhash
+
+    def draw(key, node, weight):
+        seed = 42 if key is None else xxhash.xxh64(struct.pack("<q", key), seed=42).intdigest()
+        bits = xxhash.xxh64(node.encode(), seed=seed).intdigest() >> 11
+        return -math.log((bits + 0.5) / 2**53) / weight
+
+    def descend(key, leaves, level=0, name=""):
+        if level == 3:
+            return leaves[0].shard
+        groups = {}
+        for x in leaves:
+            groups.setdefault((x.region, x.rack, x.shard)[level], []).append(x)
+        live = {k: g for k, g in groups.items() if sum(x.weight for x in g) > 0}
+        best = min(live, key=lambda k: draw(key, f"{name}/{k}", sum(x.weight for x in live[k]))) if len(groups) > 1 else next(iter(groups))
+        return descend(key, groups[best], level + 1, f"{name}/{best}")
+
+    keys = [None, *range(-5, 400), 2**62]
+    for tree in (topology(24), grow(topology(24)), [Leaf(0, 0, 0, 3.0), Leaf(0, 1, 1, 0.5), Leaf(2, 0, 2, 1.0), Leaf(2, 0, 3, 0.0), Leaf(2, 0, 4, 7.0)]):
+        got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", place(F.col("k"), tree).alias("s")).collect()
+        assert {r.k: r.s for r in got} == {k: descend(k, tree) for k in keys}
