@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import time
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,12 +14,23 @@ from docmill.functions.html import content, is_english, links, title, to_markdow
 from docmill.functions.text import word_count
 from docmill.functions.urls import UrlFilter, filter_urls, normalize
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class CrawlLimits:
     max_depth: int = 3
     max_pages: int = 300
     abort_pages: int = 10000
+    soft_pages: int = 1000
+    warning_pages: int = 5000
+
+
+def progress(crawled: int, queued: int, seconds: float) -> str:
+    """Pages done and left, the mean time of a page, and the time that is left at this pace."""
+    each = seconds / crawled
+    left = queued * each
+    return f"crawled {crawled}, queued {queued}, {each:.2f} s a page, {left / 60:.1f} min left" if left < 3600 else f"crawled {crawled}, queued {queued}, {each:.2f} s a page, {left / 3600:.1f} h left"
 
 
 def parse_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -45,7 +58,7 @@ def crawl(pages: DataFrame, seeds: DataFrame, rules: UrlFilter, limits: CrawlLim
     front = filter_urls(seeds.select("url", F.lit(0).cast("long").alias("_from")), rules).where("filter_reason IS NULL")
     levels: list[DataFrame] = []
     visited = None
-    left = min(limits.max_pages, limits.abort_pages)
+    left, done, began = min(limits.max_pages, limits.abort_pages), 0, time.time()
     for depth in range(limits.max_depth + 1):
         one = F.row_number().over(Window.partitionBy("norm_url").orderBy("_from", "url"))
         front = front.withColumn("_n", one).where("_n = 1")
@@ -60,11 +73,18 @@ def crawl(pages: DataFrame, seeds: DataFrame, rules: UrlFilter, limits: CrawlLim
             break
         levels.append(level)
         left -= n
+        # a level passes a threshold once, as pages come by levels
+        for name, most, say in (("soft", limits.soft_pages, log.info), ("warning", limits.warning_pages, log.warning)):
+            if done < most <= done + n:
+                say("%s limit of %d pages reached", name, most)
+        done += n
         visited = level.select("norm_url") if visited is None else visited.unionByName(level.select("norm_url"))
         if left <= 0:
             break
         found = level.select(F.explode("outgoing_links").alias("url"), F.col("order").cast("long").alias("_from"))
         front = filter_urls(found, rules).where("filter_reason IS NULL")
+        if log.isEnabledFor(logging.INFO):
+            log.info(progress(done, level.agg(F.sum(F.size("outgoing_links"))).head()[0] or 0, time.time() - began))
     if not levels:
         return spark.createDataFrame([], "url string, depth int, order int")
     return reduce(DataFrame.unionByName, [x.select("url", "depth", "order") for x in levels])

@@ -283,3 +283,59 @@ def test_sinks_and_a_store_from_a_folder(spark, tmp_path):
     for _ in range(2):
         writers.append_queries(queries, f"{tmp_path}/q")
     assert spark.read.json(f"{tmp_path}/q").count() == 2
+
+
+def test_callbacks(spark):
+    from docmill.operators import callbacks as B
+
+    def fetch(url):
+        if url.endswith("bad"):
+            raise OSError("no route")
+        return (200, "<html lang='en'><p>some text</p></html>") if url.endswith("a") else (404, "")
+
+    pages = B.fetch_pages(spark.createDataFrame([("http://e.com/a",), ("http://e.com/a",), ("http://e.com/b",), ("http://e.com/bad",)], "url string"), fetch, pause=0.0, tasks=2)
+    assert {r.url[13:]: (r.status_code, r.error) for r in pages.collect()} == {"a": (200, None), "b": (404, None), "bad": (None, "OSError: no route")}
+    assert {r.url[13:]: r.failure for r in W.parse_pages(pages).collect()} == {"a": None, "b": "HTTP 404", "bad": "HTTP ?"}
+
+    def ask(prompt):
+        assert prompt.startswith("Ask about: ")
+        if "two" in prompt:
+            return "no json"
+        if "three" in prompt:
+            raise ValueError("bad key")
+        return '```json\n{"query": "What {x}?", "difficulty": "hard"}\n```'
+
+    chunks = spark.createDataFrame([("u1", ["H"], "one"), ("u2", None, "two"), ("u3", None, "three")], "source_url string, heading_path array<string>, chunk_text string")
+    got = {r.acceptable_documents[0]: r for r in B.generate_questions(chunks, ask, "Ask about: {text}", pause=0.0).collect()}
+    assert (got["u1"].query, got["u1"].expected_topic, got["u1"].difficulty, got["u1"].acceptable_headings, got["u1"].error) == ("What {x}?", "Unknown", "hard", ["H"], None)
+    assert got["u2"].query is None and "JSONDecodeError" in got["u2"].error and got["u3"].error == "ValueError: bad key"
+
+
+def test_a_call_over_the_quota_is_tried_again():
+    from docmill.operators.callbacks import QUOTA, paced
+
+    calls = []
+
+    def call(x):
+        calls.append(x)
+        if len(calls) < 3:
+            raise RuntimeError("429 too many")
+        return x
+
+    assert paced(call, 0.0, 0.0, 5, lambda e: QUOTA[0] in e)(7) == 7 and len(calls) == 3
+    calls.clear()
+    import pytest
+
+    with pytest.raises(RuntimeError):
+        paced(call, 0.0, 0.0, 5, lambda e: False)(7)
+
+
+def test_crawl_says_thresholds_and_progress(spark, caplog):
+    import logging
+
+    pages = spark.createDataFrame([("http://e.com/0", ["http://e.com/1", "http://e.com/2"]), ("http://e.com/1", []), ("http://e.com/2", [])], "url string, outgoing_links array<string>")
+    with caplog.at_level(logging.INFO, "docmill.operators.crawl"):
+        W.crawl(pages, pages.select("url").limit(1), UrlFilter(), W.CrawlLimits(soft_pages=2, warning_pages=3))
+    said = [r.getMessage() for r in caplog.records]
+    assert "soft limit of 2 pages reached" in said and "warning limit of 3 pages reached" in said and any("queued 2" in x for x in said)
+    assert W.progress(10, 7200, 10.0).endswith("2.0 h left")
