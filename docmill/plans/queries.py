@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -123,8 +124,13 @@ def _measured(spark, sf_dir):
     return B.measure_blocks(B.split_blocks(markdown(spark, sf_dir)))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """df computed once for several readers: a checkpoint where the session has a folder for it, else Spark's cache."""
+    return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _scored(spark, sf_dir):
-    return C.score_blocks(_measured(spark, sf_dir), markdown(spark, sf_dir).count())
+    return C.score_blocks(_kept(_measured(spark, sf_dir)), _table(spark, sf_dir, "documents").count())
 
 
 def _processed(spark, sf_dir):
