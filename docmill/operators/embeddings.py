@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 from docmill.functions.text import tokens
 
 ZERO = 1e-5
-#: Vectors of a tile; two tiles meet in one task.
-TILE = 1024
+#: Vectors of a tile, two of which meet in one task, at most; and of the part of it that is multiplied at once. Where there
+#: are few vectors, tiles are smaller, down to a part, as long as that gives all cores work.
+TILE, PART = 1 << 13, 1 << 10
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -104,7 +106,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.99, top: int = 100,
     `top` best pairs only, as no more of them can be among the best of all.
     """
     n = vectors.count()
-    tiles = max(1, -(-n // TILE))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    tiles = max(1, -(-n // TILE), min(-(-n // PART), math.ceil(math.sqrt(2 * cores))))
     own = F.pmod(F.xxhash64(key), F.lit(tiles)).cast("int")
     cells = F.transform(F.sequence(F.lit(0), F.lit(tiles - 1)), lambda x: F.struct(F.least(x, F.col("_own")).alias("i"), F.greatest(x, F.col("_own")).alias("j")))
     dealt = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"), own.alias("_own")).withColumn("_cell", F.explode(cells)).select("_cell.i", "_cell.j", "_own", "id", "v")
@@ -112,15 +115,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.99, top: int = 100,
     def meet(table: pa.Table) -> pa.Table:
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         own, ids = table.column("_own").to_numpy(), table.column("id").to_numpy()
-        v = _unit(np.array(table.column("v").to_pylist(), np.float64))
+        v = _unit(np.asarray(table.column("v").combine_chunks().flatten(), np.float64).reshape(len(ids), -1))
         a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        scores = v[a] @ v[b].T
-        x, y = np.nonzero(scores > threshold)
-        s, x, y = scores[x, y], ids[a[x]], ids[b[y]]
-        keep = x < y if i == j else x != y
-        s, low, high = s[keep], np.minimum(x, y)[keep], np.maximum(x, y)[keep]
-        best = np.lexsort((high, low, -np.round(s, 4)))[:top]
-        return pa.table({"id_a": low[best], "id_b": high[best], "similarity": np.round(s[best], 4)})
+        right, kept = v[b].T, (ids[:0], ids[:0], np.zeros(0))
+        for at in range(0, len(a), PART):
+            part = a[at : at + PART]
+            scores = v[part] @ right
+            x, y = np.nonzero(scores > threshold)
+            s, x, y = np.round(scores[x, y], 4), ids[part[x]], ids[b[y]]
+            keep = x < y if i == j else x != y
+            both = (np.minimum(x, y)[keep], np.maximum(x, y)[keep], s[keep])
+            low, high, s = (np.concatenate(z) for z in zip(kept, both, strict=True))
+            best = np.lexsort((high, low, -s))[:top]
+            kept = low[best], high[best], s[best]
+        return pa.table({"id_a": kept[0], "id_b": kept[1], "similarity": kept[2]})
 
     kind = dict(vectors.dtypes)[key]
     pairs = dealt.groupBy("i", "j").applyInArrow(meet, f"id_a {kind}, id_b {kind}, similarity double")
