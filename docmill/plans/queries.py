@@ -347,11 +347,11 @@ def _evaluated(spark, sf_dir):
 
 
 def _grams(c: Column, n: int = 8) -> Column:
-    """The runs of n words inside a text, without its first and last word, which a longer text may continue."""
-    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    runs = lambda w: F.transform(F.sequence(F.lit(2), F.size(w) - n), lambda k: F.array_join(F.slice(w, k, n), " "))
+    """Hashes of the runs of n words inside a text, without its first and last word, which a longer text may continue."""
+    names = F.transform(F.filter(F.split(c, r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    runs = lambda h: F.transform(F.sequence(F.lit(1), F.size(h) - n - 1), lambda k: F.xxhash64(*[F.get(h, k + i) for i in range(n)]))
     # an array of one binds the words, which a lambda would split again for every run
-    bound = F.transform(F.array(words), lambda w: F.when(F.size(w) >= n + 2, runs(w)).otherwise(F.array().cast("array<string>")))
+    bound = F.transform(F.array(names), lambda h: F.when(F.size(h) >= n + 2, runs(h)).otherwise(F.array().cast("array<bigint>")))
     return F.get(bound, F.lit(0))
 
 
