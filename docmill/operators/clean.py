@@ -43,33 +43,28 @@ def score_blocks(measured: DataFrame, n_docs: Column | int) -> DataFrame:
     out = out.withColumn("_near", near)
     df, density, words, links, ratio, unique = (F.col(c) for c in ("document_frequency", "link_density", "word_count", "link_count", "position_ratio", "unique_word_ratio"))
 
-    def entry(points: float | Column, signal: str | None, reason: Column) -> Column:
-        return F.struct((points if isinstance(points, Column) else F.lit(points)).cast("double").alias("points"), F.lit(signal).cast("string").alias("signal"), reason.alias("reason"))
-
     percent = lambda text: F.format_string(f"{text} (%.0f%%)", F.bround(df * 100, 0))
     two = lambda text, c: F.format_string(f"{text} (%.2f)", c)
-    found = F.array(
-        _first([(df > t, entry(p, s, percent(r))) for s, t, p, r in FREQUENCY]),
-        _first([((ratio < 0.1) | (ratio > 0.9), entry(1.5, "edge_position", two(EDGE, ratio)))]),
-        _first([(density > t, entry(p, s, two(r, density))) for s, t, p, r in DENSITY]),
-        _first([((words < 10) & (links > 0), entry(2.0, "info_density_low", F.lit(LOW_INFO))), ((words > 30) & (density < 0.1), entry(-3.0, None, F.lit(HIGH_INFO)))]),
-        _first([((words > 5) & (unique < 0.5), entry(2.0, "diversity_low", two(DIVERSITY, unique)))]),
-        _first([(F.col("_near") > 0, entry(F.col("_near"), "context_penalty", F.concat(F.lit(f"{CONTEXT} (+"), F.col("_near").cast("double").cast("string"), F.lit(")"))))]),
+    # the families of signals, each as (condition, points, signal, reason) in order of precedence
+    families = (
+        [(df > t, F.lit(p), s, percent(r)) for s, t, p, r in FREQUENCY],
+        [((ratio < 0.1) | (ratio > 0.9), F.lit(1.5), "edge_position", two(EDGE, ratio))],
+        [(density > t, F.lit(p), s, two(r, density)) for s, t, p, r in DENSITY],
+        [((words < 10) & (links > 0), F.lit(2.0), "info_density_low", F.lit(LOW_INFO)), ((words > 30) & (density < 0.1), F.lit(-3.0), None, F.lit(HIGH_INFO))],
+        [((words > 5) & (unique < 0.5), F.lit(2.0), "diversity_low", two(DIVERSITY, unique))],
+        [(F.col("_near") > 0, F.col("_near").cast("double"), "context_penalty", F.concat(F.lit(f"{CONTEXT} (+"), F.col("_near").cast("double").cast("string"), F.lit(")")))],
     )
+    points = sum((F.coalesce(_first([(c, p) for c, p, _, _ in f]), F.lit(0.0)) for f in families), F.lit(0.0))
+    signals = F.array(*[_first([(c, F.lit(s).cast("string")) for c, _, s, _ in f]) for f in families])
     guarded = F.col("is_code") | F.col("is_table") | F.col("is_heading")
-    out = out.withColumn("_found", F.when(guarded, F.filter(found, lambda x: F.lit(False))).otherwise(F.filter(found, lambda x: x.isNotNull())))
-    out = out.withColumns(
-        {
-            "boilerplate_score": F.aggregate("_found", F.lit(0.0), lambda a, x: a + x["points"]),
-            "triggered_signals": F.filter(F.transform("_found", lambda x: x["signal"]), lambda s: s.isNotNull()),
-        }
-    )
+    out = out.withColumns({"boilerplate_score": F.when(guarded, 0.0).otherwise(points), "triggered_signals": F.when(guarded, F.array().cast("array<string>")).otherwise(F.array_compact(signals))})
     score = F.col("boilerplate_score")
-    families = F.size(F.array_distinct(F.transform("triggered_signals", lambda s: F.substring_index(s, "_", 1))))
-    tier = _first([((df > 0.95) & (words < 15), F.lit(TIERS[0])), ((score >= 6.0) & (families >= 2), F.lit(TIERS[1])), ((density > 0.9) & (df > 0.2), F.lit(TIERS[2]))])
+    kinds = F.size(F.array_distinct(F.transform("triggered_signals", lambda s: F.substring_index(s, "_", 1))))
+    tier = _first([((df > 0.95) & (words < 15), F.lit(TIERS[0])), ((score >= 6.0) & (kinds >= 2), F.lit(TIERS[1])), ((density > 0.9) & (df > 0.2), F.lit(TIERS[2]))])
     out = out.withColumn("_tier", F.when(~guarded & (score > -1.0), tier))
-    reasons = F.concat(F.transform("_found", lambda x: x["reason"]), F.array("_tier"))
-    return out.withColumns({"is_removed": F.col("_tier").isNotNull(), "removal_reason": F.when(F.col("_tier").isNotNull(), F.array_join(reasons, " | "))}).drop("_near", "_found", "_tier")
+    # written for removed blocks alone
+    reason = F.when(F.col("_tier").isNotNull(), F.concat_ws(" | ", *[_first([(c, r) for c, _, _, r in f]) for f in families], "_tier"))
+    return out.withColumns({"is_removed": F.col("_tier").isNotNull(), "removal_reason": reason}).drop("_near", "_tier")
 
 
 def repeated_blocks(blocks: DataFrame, n_docs: Column | int, top: int = 100) -> DataFrame:
