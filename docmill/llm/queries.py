@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docmill.llm.audio import op10_audio_features
+from docmill.llm.divergence import ORACLE as DIVERGENCE_SQL
+from docmill.llm.divergence import op11_source_divergence
 from docmill.llm.fingerprints import op8_fingerprints
 from docmill.llm.jaccard import op4_ngram_jaccard
 from docmill.llm.langid import op6_language_id
@@ -29,5 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_audio_features": op10_audio_features,
+    "op11_source_divergence": op11_source_divergence,
 }
-ORACLE_SQL: dict[str, str] = {"op9_token_counts": TOKEN_COUNTS_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_token_counts": TOKEN_COUNTS_SQL, "op11_source_divergence": DIVERGENCE_SQL}
