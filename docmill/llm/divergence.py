@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.llm.tables import Stored, partitions, small_batches, stored
-from docmill.llm.textbatch import LOWER, slices, utf8
+from docmill.llm.textbatch import LOWER, digits, slices, utf8
 
 TOP = 10
 LEAST = 10
@@ -62,15 +62,8 @@ def terms_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return LOWER[raw], start, end, np.searchsorted(offsets, start, "right") - 1
 
 
-def _digit(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The first eight bytes of raw[start:end] as a big-endian number; a term holds no zero byte, so zeros mean its end."""
-    at = start[:, None] + np.arange(8)
-    there = at < end[:, None]
-    return np.where(there, raw[np.where(there, at, 0)], 0).astype(np.uint8).view(">u8")[:, 0].astype(np.uint64)
-
-
 def leaves(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The leaf of each word in the trie of all of them, and a word of each leaf.
+    """The leaf of each word in the trie of all of them, and a word of each leaf. Words hold no zero byte.
 
     The words stand at nodes; level by level those that have bytes left go along the edge of their next eight bytes. An
     edge is a pair of a node and a number; equal pairs are one edge.
@@ -78,8 +71,8 @@ def leaves(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     node, n_nodes = np.zeros(len(start), np.int64), 1
     active = np.arange(len(start))
     for level in range(DEPTH):
-        digits, label = np.unique(_digit(raw, start[active] + 8 * level, end[active]), return_inverse=True)
-        _, edge = np.unique(node[active] * len(digits) + label, return_inverse=True)
+        edges, label = np.unique(digits(raw, start[active] + 8 * level, end[active]), return_inverse=True)
+        _, edge = np.unique(node[active] * len(edges) + label, return_inverse=True)
         node[active] = n_nodes + edge
         n_nodes += int(edge.max(initial=-1)) + 1
         active = active[end[active] > start[active] + 8 * (level + 1)]

@@ -12,6 +12,7 @@ from docmill.llm.divergence import op11_source_divergence
 from docmill.llm.fingerprints import op8_fingerprints
 from docmill.llm.jaccard import op4_ngram_jaccard
 from docmill.llm.langid import op6_language_id
+from docmill.llm.licenses import op12_license_scan
 from docmill.llm.ngram_lm import op5_lm_score
 from docmill.llm.packing import op2_packing
 from docmill.llm.recompression import op7_substring_dedup
@@ -32,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_audio_features": op10_audio_features,
     "op11_source_divergence": op11_source_divergence,
+    "op12_license_scan": op12_license_scan,
 }
 ORACLE_SQL: dict[str, str] = {"op9_token_counts": TOKEN_COUNTS_SQL, "op11_source_divergence": DIVERGENCE_SQL}

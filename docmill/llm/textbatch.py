@@ -78,6 +78,13 @@ def word_names(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return names(raw, _BYTE[raw], starts, ends) if len(raw) else np.zeros(len(starts), np.uint64)
 
 
+def digits(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The first eight bytes of raw[start:end] as a big-endian number, with zeros behind its end."""
+    at = start[:, None] + np.arange(8)
+    there = at < end[:, None]
+    return np.where(there, raw[np.where(there, at, 0)], 0).astype(np.uint8).view(">u8")[:, 0].astype(np.uint64)
+
+
 @cache
 def _libc() -> ctypes.CDLL | None:
     try:
