@@ -307,14 +307,17 @@ def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> Data
     """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    # columns go by number, as their names may be of any kind
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    text = f"c{docs.columns.index('text')}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pickle.loads(shared.value)
-        for batch in slices(batches, STEP):
-            preds, score, _ = _predict(batch.column("text"), model, False)
+        for batch in slices(batches, STEP, text):
+            preds, score, _ = _predict(batch.column(text), model, False)
             yield batch.filter(pa.array([p != UNKNOWN and s >= least for p, s in zip(preds, score, strict=True)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
 
 
 def held_out(doc_id, parts: int, part: int):

@@ -78,6 +78,9 @@ def test_accepted_keeps_columns(spark):
     frame = spark.createDataFrame([(1, prose("aa", 20, 1), "x", 1), (1, prose("aa", 20, 1), "x", 1), (2, None, "y", 2), (3, "12 -", "z", 3)], "doc_id long, text string, lang_pred string, score int")
     got = accepted(frame, model)
     assert got.schema == frame.schema and [r.doc_id for r in got.collect()] == [1, 1]
+    dotted = frame.selectExpr("score AS `a.b`", "*", "text AS `c 0`")
+    got = accepted(dotted, model)
+    assert got.schema == dotted.schema and [(r["a.b"], r["doc_id"]) for r in got.collect()] == [(1, 1), (1, 1)]
     assert accepted(frame.limit(0), model).count() == 0 and accepted(frame, None).count() == 0
 
 

@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import defaultdict
 
@@ -94,6 +95,14 @@ def test_very_long_runs():
         assert encode(text, PATHS) == exact.encode(text, add_special_tokens=False).ids
 
 
+def test_many_runs_under_the_bound_take_linear_time():
+    text = ("x" + " " * 99_998) * 50  # 5 MB
+    start = time.time()
+    got = encode(text, PATHS)
+    assert time.time() - start < 20
+    assert got == Tokenizer.from_file(PATHS[0]).encode(text, add_special_tokens=False).ids
+
+
 def test_a_run_of_blanks_in_a_table(spark):
     got = pack_documents(spark.createDataFrame([(1, " " * 1_500_000 + "x"), (2, "y")], "doc_id long, text string")).collect()
     assert {r.doc_id for r in got} == {1, 2} and max(r.length for r in got) <= 1024
