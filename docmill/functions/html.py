@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from functools import reduce
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,7 +71,20 @@ def rendered(title: Column, url: Column, markdown: Column) -> Column:
     return F.concat(F.lit("# "), title, F.lit("\n\n**Source:** "), url, F.lit("\n\n"), markdown)
 
 
+def _locations(xml: str | None) -> list[str]:
+    try:
+        root = ElementTree.fromstring(xml or "")
+    except ElementTree.ParseError:
+        return []
+    found = ((e.text or "").strip() for e in root.iter() if isinstance(e.tag, str) and e.tag.rpartition("}")[2] == "loc")
+    return list(dict.fromkeys(u for u in found if u))
+
+
 def sitemap_urls(xml: Column) -> Column:
-    """The text of every loc element of any namespace, trimmed, once each."""
-    found = F.regexp_extract_all(xml, F.lit(r"(?is)<(?:[\w.-]+:)?loc\b[^>]*>\s*(.*?)\s*</(?:[\w.-]+:)?loc\s*>"), F.lit(1))
-    return F.array_distinct(F.filter(found, lambda u: u != ""))
+    """The text of every loc element of any namespace, trimmed, once each; none for text that is not XML."""
+
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([_locations(x.as_py()) for x in texts], pa.list_(pa.string()))
+
+    return run(xml)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmill.functions.text import tokens
+from docmill.operators.vectors import METRICS, best, common_size, cut, matrix, similarities, usable, values
 
 # The constants of BM25 and of fusion, and how many times k is fetched before either.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -17,8 +18,10 @@ RRF = 60
 OVERFETCH = 4
 #: Queries that are scored at once against the vectors of a task.
 BLOCK = 256
-#: Bytes of query vectors that are sent to every task; more go in several passes.
+#: Bytes of query vectors that are sent to every task, at most.
 MOST = 64 << 20
+#: Queries of a block and vectors of a part, where queries are more.
+PART = 1 << 13
 
 
 def similarity(distance: Column) -> Column:
@@ -33,72 +36,73 @@ def top_k(rows: DataFrame, k: int, query: str = "query_id", score: str = "score"
 
 
 def dense_top_k(queries: DataFrame, vectors: DataFrame, k: int = 5, metric: str = "cosine") -> DataFrame:
-    """(query_id, rank, item_id, score) of the nearest vectors. queries: query_id, vector; vectors: item_id, vector.
+    """(query_id, rank, item_id, score) of the nearest vectors, by a scan of all. queries: query_id, vector; vectors: item_id, vector.
 
-    The queries are a stated set against all vectors: they go to every task in passes of bounded size, and a task
-    returns its k nearest to each.
+    Queries of up to MOST bytes, counted beforehand, go to every task, which returns its k nearest to each; more are
+    dealt to blocks that each meet every part of the vectors. Rows without an id, null vectors and vectors with nulls or
+    of another length than most queries have no score. For many searches of one table see sources.vector_index.
     """
-    if metric not in ("cosine", "ip", "l2"):
+    if metric not in METRICS:
         raise ValueError(f"unknown metric {metric}")
     kinds = f"query_id {dict(queries.dtypes)['query_id']}, item_id {dict(vectors.dtypes)['item_id']}, score double"
     spark = vectors.sparkSession
-    rows = vectors.select("item_id", F.col("vector").cast("array<double>").alias("vector"))
-    found = []
-    local = queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")).toLocalIterator()
-
-    def search(part: list) -> DataFrame:
-        shared = spark.sparkContext.broadcast(([r["query_id"] for r in part], np.array([r["vector"] for r in part], np.float64)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, q = shared.value
-            best_id: list[np.ndarray] = [np.zeros(0, object)] * len(ids)
-            best: list[np.ndarray] = [np.zeros(0)] * len(ids)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                items = np.array(batch.column("item_id").to_pylist(), object)
-                v = np.array(batch.column("vector").to_pylist(), np.float64)
-                for at in range(0, len(ids), BLOCK):
-                    some = q[at : at + BLOCK]
-                    product = some @ v.T
-                    if metric == "cosine":
-                        scale = np.linalg.norm(some, axis=1)[:, None] * np.linalg.norm(v, axis=1)[None]
-                        distance = 1 - np.divide(product, scale, out=np.zeros_like(product), where=scale > 0)
-                    elif metric == "ip":
-                        distance = 1 - product
-                    else:
-                        distance = (some**2).sum(axis=1)[:, None] + (v**2).sum(axis=1)[None] - 2 * product
-                    scores = np.round(np.where(distance <= 1, 1 - distance, 0.0), 6)
-                    for j, row in enumerate(scores, at):
-                        every, names = np.concatenate((best[j], row)), np.concatenate((best_id[j], items))
-                        keep = sorted(range(len(every)), key=lambda x: (-every[x], names[x]))[:k] if len(every) <= 4 * k else _best(every, names, k)
-                        best[j], best_id[j] = every[keep], names[keep]
-            out_q = [ids[j] for j in range(len(ids)) for _ in best[j]]
-            yield pa.RecordBatch.from_arrays([pa.array(out_q), pa.array(np.concatenate(best_id).tolist() if out_q else []), pa.array(np.concatenate(best) if out_q else [], pa.float64())], names=["query_id", "item_id", "score"])
-
-        return rows.mapInArrow(run, kinds)
-
-    part, size = [], 0
-    for r in local:
-        part.append(r)
-        size += 8 * len(r["vector"])
-        if size >= MOST:
-            found.append(search(part))
-            part, size = [], 0
-    if part:
-        found.append(search(part))
-    if not found:
-        return spark.createDataFrame([], f"{kinds}, rank int").select("query_id", "rank", "item_id", "score")
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    return top_k(every, k).select("query_id", "rank", "item_id", "score")
-
-
-def _best(scores: np.ndarray, names: np.ndarray, k: int) -> list[int]:
-    """The places of the k best, ties by name: all that reach the k-th score are sorted."""
-    least = np.partition(scores, len(scores) - k)[len(scores) - k]
-    return sorted(np.flatnonzero(scores >= least).tolist(), key=lambda x: (-scores[x], names[x]))[:k]
+    dims = common_size(queries)
+    rows = vectors.where(F.col("item_id").isNotNull() & usable(F.col("vector"), dims)).select("item_id", "vector")
+    asked = queries.where(F.col("query_id").isNotNull() & usable(F.col("vector"), dims)).select("query_id", "vector")
+    n = asked.count()
+    if n * dims * 8 > MOST:
+        return top_k(_meet(asked, rows, n, dims, k, metric, kinds), k).select("query_id", "rank", "item_id", "score")
+    local = asked.toArrow()  # MOST bytes
+    shared = spark.sparkContext.broadcast((local.column("query_id"), matrix(local.column("vector"), dims)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = shared.value
+        held, kind = None, None  # query, item and score of the best so far
+        for batch in batches:
+            kind = batch.column("item_id").type
+            if not batch.num_rows or not len(ids):
+                continue
+            items, v = values(batch.column("item_id")), matrix(batch.column("vector"), dims)
+            found = [held] if held else []
+            for at in range(0, len(ids), BLOCK):
+                query, item, score = best(similarities(q[at : at + BLOCK], v, metric), items, k)
+                found.append((query + at, item, score))
+            query, item, score = (np.concatenate(x) for x in zip(*found, strict=True))
+            keep = cut(query, item, score, k)
+            held = query[keep], item[keep], score[keep]
+        if held:
+            yield _found(ids, *held, kind)
+
+    return top_k(rows.mapInArrow(run, kinds), k).select("query_id", "rank", "item_id", "score")
+
+
+def _found(ids: pa.ChunkedArray, query: np.ndarray, item: np.ndarray, score: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([ids.combine_chunks().take(pa.array(query)), pa.array(item, kind), pa.array(score)], names=["query_id", "item_id", "score"])
+
+
+def meet_groups(dims: int, k: int, metric: str):
+    """For cogrouped tables of queries and vectors: the k best of each query."""
+
+    def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        found = [(np.zeros(0, np.int64), values(rows.column("item_id"))[:0], np.zeros(0))]
+        if rows.num_rows and asked.num_rows:
+            q, v, items = matrix(asked.column("vector"), dims), matrix(rows.column("vector"), dims), values(rows.column("item_id"))
+            for at in range(0, len(q), BLOCK):
+                query, item, score = best(similarities(q[at : at + BLOCK], v, metric), items, k)
+                found.append((query + at, item, score))
+        return pa.Table.from_batches([_found(asked.column("query_id"), *(np.concatenate(x) for x in zip(*found, strict=True)), rows.column("item_id").type)])
+
+    return run
+
+
+def _meet(asked: DataFrame, rows: DataFrame, n: int, dims: int, k: int, metric: str, kinds: str) -> DataFrame:
+    """Every block of queries with every part of the vectors, each pair in a task of its own."""
+    blocks, parts = -(-n // PART), -(-rows.count() // PART)
+    every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(max(m, 1) - 1)))
+    dealt = lambda c, m: F.pmod(F.xxhash64(c), F.lit(max(m, 1))).cast("int")
+    one = asked.withColumn("i", dealt("query_id", blocks)).withColumn("j", every(parts))
+    two = rows.withColumn("j", dealt("item_id", parts)).withColumn("i", every(blocks))
+    return one.groupBy("i", "j").cogroup(two.groupBy("i", "j")).applyInArrow(meet_groups(dims, k, metric), kinds)
 
 
 def build_index(docs: DataFrame, item: str = "item_id", text: str = "text", asked: DataFrame | None = None) -> dict[str, DataFrame]:

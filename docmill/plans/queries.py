@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -22,6 +23,7 @@ from docmill.operators import evaluate as E
 from docmill.operators import search as S
 from docmill.plans.fixtures import EDGES, EVALUATION, markdown, select
 from docmill.sources.store import VectorStore, metadata
+from docmill.sources.vector_index import VectorIndex
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +34,16 @@ def query(f: Query) -> Query:
     return f
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    """A folder that no other call has, where driver and executors see the same files."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="docmill-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -106,8 +118,11 @@ def crawl_bfs(spark, sf_dir):
 
 @query
 def sitemap_urls(spark, sf_dir):
-    escaped = F.concat(F.lit("<url xmlns:s='x'><s:loc> "), F.col("url"), F.lit("\n</s:loc></url>"))
-    maps = _table(spark, sf_dir, "pages").select(escaped.alias("xml"))
+    url = F.col("url")
+    escaped = F.replace(F.replace(url, F.lit("&"), F.when(F.col("page_id") % 3 == 0, "&#38;").otherwise("&amp;")), F.lit("<"), F.lit("&lt;"))
+    location = F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("<![CDATA["), url, F.lit("]]>"))).otherwise(escaped)
+    parts = [F.lit("<url xmlns:s='x'><!-- <s:loc>http://gone.example.com/</s:loc> --><s:loc> "), location, F.lit("\n</s:loc></url>")]
+    maps = _table(spark, sf_dir, "pages").select(F.concat(*parts).alias("xml"))
     return maps.select(F.explode(H.sitemap_urls(F.col("xml"))).alias("url")).distinct()
 
 
@@ -265,6 +280,13 @@ def embed_validate(spark, sf_dir):
     return V.validate(_table(spark, sf_dir, "embeddings"), 64).select("total", "dimensions", "zero_vectors", "reason")
 
 
+@query
+def embed_validate_failed(spark, sf_dir):
+    """The check of a table where the batches of one label failed."""
+    rows = _table(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("label") != 3, F.col("embedding")))
+    return V.validate(rows, 64).select("is_valid", "total", "dimensions", "null_vectors", "zero_vectors", "reason")
+
+
 @query
 def norm_audit(spark, sf_dir):
     return V.norm_audit(_table(spark, sf_dir, "embeddings"))
@@ -275,6 +297,13 @@ def near_duplicates(spark, sf_dir):
     return V.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.3)
 
 
+@query
+def near_duplicate_report(spark, sf_dir):
+    """The closest pairs with the section of both sides."""
+    rows = _table(spark, sf_dir, "embeddings").withColumn("section", F.concat(F.lit("section "), F.col("label")))
+    return V.near_duplicates(rows, threshold=0.3, top=50, payload=("section",))
+
+
 @query
 def similarity_health(spark, sf_dir):
     rows = _table(spark, sf_dir, "embeddings").withColumns({"doc": F.col("label") % 2, "section": F.col("label")})
@@ -319,6 +348,14 @@ def dense_topk(spark, sf_dir):
     return _dense(spark, sf_dir, 5)
 
 
+@query
+def dense_topk_index(spark, sf_dir):
+    """As dense_topk, by an index in a new folder: only the cells that can hold one of the nearest are read."""
+    vectors = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector"))
+    queries = _asked(spark, sf_dir).join(vectors.withColumnRenamed("item_id", "query_id"), "query_id").select("query_id", "vector")
+    return VectorIndex.build(vectors, _new_folder(spark, "vectors")).query(queries, 5)
+
+
 @query
 def hybrid_rrf(spark, sf_dir):
     return S.fuse(_dense(spark, sf_dir, 5 * S.OVERFETCH), _sparse(spark, sf_dir), 5)
@@ -447,13 +484,8 @@ def _stored_rows(spark, sf_dir):
 @query
 def store_upsert(spark, sf_dir):
     """Two loads into a new store: ids that are there keep their row."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="docmill-store-")
     rows = _stored_rows(spark, sf_dir)
-    store = VectorStore(spark, f"{folder}/store-{spark.sparkContext.applicationId}-{id(rows)}")
+    store = VectorStore(spark, _new_folder(spark, "store"))
     store.load(rows.where("doc % 2 = 0"))
     store.load(rows.withColumn("chunk_text", F.lit("second")))
     return store.table().select(F.col("chunk_id").cast("long").alias("doc_id"), F.col("text").alias("batch"))

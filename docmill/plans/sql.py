@@ -295,6 +295,12 @@ ORACLE_SQL: dict[str, str] = {
     "token_estimate": f"SELECT doc_id, {_COUNT.format('text')} AS n_tokens FROM documents",
     "token_budget": f"""WITH t AS (SELECT doc_id, {_COUNT.format('text')} AS n FROM documents) SELECT doc_id, n <= 600 AS fits, greatest(0, 600 - n)::BIGINT AS remaining, n >= 600 AS should_start, least(125, n)::BIGINT AS overlap, 475::BIGINT AS new_content FROM t""",
     "word_counts": f"SELECT doc_id, len({words('text')})::BIGINT AS n_words FROM documents",
+    "embed_validate_failed": """WITH e AS (SELECT CASE WHEN label <> 3 THEN embedding END AS v FROM embeddings)
+        SELECT false AS is_valid, count(*) AS total, CAST(max(len(v)) AS INTEGER) AS dimensions, count_if(v IS NULL) AS null_vectors, count_if(list_dot_product(CAST(v AS DOUBLE[]), CAST(v AS DOUBLE[])) < 1e-5) AS zero_vectors, 'null vectors' AS reason FROM e""",
+    "near_duplicate_report": """WITH v AS (SELECT vec_id, concat('section ', label) AS section, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+        SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(list_cosine_similarity(a.v, b.v), 4) AS similarity, a.section AS section_a, b.section AS section_b FROM v a JOIN v b ON a.vec_id < b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) > 0.3 ORDER BY similarity DESC, id_a, id_b LIMIT 50""",
+    "dense_topk_index": with_(DENSE) + "SELECT query_id, rank, item_id, score FROM dense WHERE rank <= 5",
     "embed_validate": "WITH n AS (SELECT len(embedding) AS d, list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) AS q FROM embeddings) SELECT count(*) AS total, CAST(max(d) AS INTEGER) AS dimensions, count_if(q < 1e-5) AS zero_vectors, CASE WHEN count(*) = 0 THEN 'empty' WHEN min(d) <> 64 OR max(d) <> 64 THEN 'dimension mismatch' WHEN count_if(q < 1e-5) > 0 THEN 'zero vectors' END AS reason FROM n",
     "norm_audit": "WITH n AS (SELECT sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM embeddings) SELECT count(*) AS total, count_if(n = 0) AS zero_vectors, count_if(n < 1e-5) AS near_zero_vectors, round(min(n), 4) AS min_norm, round(max(n), 4) AS max_norm, round(avg(n), 4) AS avg_norm, round(median(n), 4) AS median_norm, round(coalesce(stddev_samp(n), 0), 4) AS stdev_norm FROM n",
     "near_duplicates": "SELECT * FROM (SELECT a.vec_id AS id_a, b.vec_id AS id_b, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 4) AS similarity FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) > 0.3) x ORDER BY similarity DESC, id_a, id_b LIMIT 100",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docmill.operators.search import build_index, dense_top_k
 from docmill.sources.readers import CORRUPT, read_embedded
+from docmill.sources.vector_index import VectorIndex
 
 METADATA = ("source_url", "source_document", "title", "section_title", "chunk_index", "total_chunks", "token_count", "content_type", "document_version", "chunk_version")
 
@@ -50,8 +51,22 @@ class VectorStore:
         if before:
             rows = rows.join(self.table().select("chunk_id"), "chunk_id", "left_anti")
         rows.write.mode("append").parquet(f"{self.path}/rows")
+        if (index := self.index()) is not None:
+            # whatever the index lacks, so that a load that was stopped is made up for
+            index.add(self._vectors().join(index.vectors().select("item_id"), "item_id", "left_anti"))
         return self.size() - before
 
+    def _vectors(self) -> DataFrame:
+        return self.table().select(F.col("chunk_id").alias("item_id"), F.col("embedding").alias("vector"))
+
+    def index(self) -> VectorIndex | None:
+        """The index of the rows, if there is one."""
+        return VectorIndex(self.spark, f"{self.path}/index") if self._fs.exists(self._path(f"{self.path}/index/cells/_SUCCESS")) else None
+
+    def build_index(self, cells: int | None = None) -> VectorIndex:
+        """Indexes all rows; later loads are added, and queries read only the cells they need."""
+        return VectorIndex.build(self._vectors(), f"{self.path}/index", self.metric, cells)
+
     def load_folder(self, path: str) -> tuple[int, int]:
         """Appends the embedded chunks of a folder of JSON files; returns how many rows were new and how many were bad."""
         rows = read_embedded(self.spark, path, keep_bad=True)
@@ -60,10 +75,13 @@ class VectorStore:
         failed = rows.select("chunk_id", bad.alias("bad")).where("bad").count()
         return self.load(rows.where(~bad).drop(CORRUPT)), failed
 
-    def query(self, queries: DataFrame, k: int = 5) -> DataFrame:
-        """The k nearest rows of each query (query_id, vector), with text and metadata."""
-        vectors = self.table().select(F.col("chunk_id").alias("item_id"), F.col("embedding").alias("vector"))
-        found = dense_top_k(queries, vectors, k, self.metric)
+    def query(self, queries: DataFrame, k: int = 5, exact: bool = True) -> DataFrame:
+        """The k nearest rows of each query (query_id, vector), with text and metadata: by the index if there is one, else by a scan.
+
+        exact=False: with an index, only the cells of nearest centroids are read (see VectorIndex.calibrate).
+        """
+        index = self.index()
+        found = index.query(queries, k, exact=exact) if index else dense_top_k(queries, self._vectors(), k, self.metric)
         return found.join(self.table().select(F.col("chunk_id").alias("item_id"), "text", "metadata"), "item_id")
 
 

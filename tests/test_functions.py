@@ -87,7 +87,10 @@ def test_html(spark):
     assert value(spark, H.title(F.col("u"), F.col("m")), u="http://e.com/a/b/", m="text\n# The # Title \nmore") == "The Title"
     assert value(spark, H.title(F.col("u"), F.col("m")), u="http://e.com/a/b/", m="text") == "b"
     assert value(spark, H.links(F.col("u"), F.col("m"), F.array(F.lit("http://q.org/"))), u="http://e.com/a", m="[x](/y) [z](/y) [w](http://k.org)") == ["http://e.com/y", "http://k.org", "http://q.org/"]
-    assert value(spark, H.sitemap_urls(F.col("x")), x="<u><loc> a </loc><i:loc>b</i:loc><loc>a</loc><loc></loc></u>") == ["a", "b"]
+    urls = lambda x: value(spark, H.sitemap_urls(F.col("x")), x=x)
+    assert urls("<u xmlns:i='n'><loc> a </loc><i:loc>b</i:loc><loc>a</loc><loc></loc><location>c</location></u>") == ["a", "b"]
+    assert urls("<?xml version='1.0' encoding='UTF-8'?><s xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'><loc>http://e/?a=1&amp;b=2&#x26;c</loc><!-- <loc>gone</loc> --><loc><![CDATA[http://e/?x&y]]></loc></s>") == ["http://e/?a=1&b=2&c", "http://e/?x&y"]
+    assert urls("<s><loc>a</s>") == [] and urls("") == [] and urls("<s><i:loc>a</i:loc></s>") == []
 
 
 ODD_URLS = ["http://e.com/p?q=é", "http://e.com/p?q=a%41&b=%7E*~", "http://e.com/p?q=a+b%20c&r=%E9&s=100%", "/docs/a?x=1&&y&z=&=v", "//E.com/a?k=a=b&K=1&k=2", "http://e.com?a=1;b=2#f?x=1", "http://e.com/a;p=1/b;q?hl=x&a%3Db=c%26d", "mailto:x@e.com", "http://e.com/p?h%6C=en&x=1", "http://e.com/p?x=\u4e2d%2F%2f&y= z"]
@@ -133,6 +136,8 @@ def test_tokenizer_counts_and_round_trips(spark):
     got = rows.select("k", "ids", T.decode(F.col("ids"), path, pattern).alias("back"), T.token_count(F.col("text"), path, pattern).alias("n")).orderBy("k").collect()
     want = [T.vocabulary(path, pattern).encode_ordinary(t or "") for t in texts]
     assert [(r.ids, r.back, r.n) for r in got] == [(w, t or "", len(w)) for w, t in zip(want, texts, strict=True)]
-    with pytest.raises(ValueError, match="blanks"):
-        T.text_ids(" " * 200_000, path, pattern)
+    for text in (" " * 1_000_000 + "a b", ("x" + " " * 99_998) * 20, "a " + "\n" * 150_000 + " don't"):
+        assert T.vocabulary(path, pattern).decode(T.text_ids(text, path, pattern)) == text
+    mixed = "Some words, don't 123 stop\n\n  x" * 200 + " \t é漢字 "
+    assert T.text_ids(mixed + " " * 100_000, path, pattern)[:500] == T.vocabulary(path, pattern).encode_ordinary(mixed)[:500]
     assert T.counter(path, pattern)("some words") == 2
