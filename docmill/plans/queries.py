@@ -22,6 +22,7 @@ from docmill.operators import embeddings as V
 from docmill.operators import evaluate as E
 from docmill.operators import search as S
 from docmill.plans.fixtures import EDGES, EVALUATION, markdown, select
+from docmill.sources.bm25_index import Bm25Index
 from docmill.sources.store import VectorStore, metadata
 from docmill.sources.vector_index import VectorIndex
 
@@ -343,6 +344,12 @@ def bm25_topk(spark, sf_dir):
     return _sparse(spark, sf_dir)
 
 
+@query
+def bm25_topk_index(spark, sf_dir):
+    """As bm25_topk, by a stored index in a new folder: blocks that cannot reach the k-th score are not read."""
+    return Bm25Index.build(_corpus(spark, sf_dir), _new_folder(spark, "bm25")).top(_asked(spark, sf_dir), 5 * S.OVERFETCH)
+
+
 @query
 def dense_topk(spark, sf_dir):
     return _dense(spark, sf_dir, 5)

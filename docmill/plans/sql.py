@@ -308,6 +308,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CASE WHEN q.part <> v.part THEN 2 WHEN q.label = v.label THEN 0 ELSE 1 END AS b, list_cosine_similarity(q.v, v.v) AS s FROM q JOIN v ON q.vec_id <> v.vec_id)
         SELECT round(avg(CASE WHEN b = 0 THEN s END), 6) AS same_section, round(avg(CASE WHEN b = 1 THEN s END), 6) AS same_document, round(avg(CASE WHEN b = 2 THEN s END), 6) AS different_document, avg(CASE WHEN b = 0 THEN s END) >= avg(CASE WHEN b = 1 THEN s END) AND avg(CASE WHEN b = 1 THEN s END) >= avg(CASE WHEN b = 2 THEN s END) AS holds FROM p""",
     "bm25_topk": with_(BM25) + "SELECT * FROM sparse",
+    "bm25_topk_index": with_(BM25) + "SELECT * FROM sparse",
     "dense_topk": with_(DENSE) + "SELECT query_id, rank, item_id, score FROM dense WHERE rank <= 5",
     "hybrid_rrf": with_(BM25, DENSE) + """SELECT query_id, rank, item_id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM (
         SELECT query_id, item_id, round(sum(1.0::DOUBLE / (60 + rank)), 8) AS score FROM (SELECT query_id, item_id, rank FROM sparse UNION ALL SELECT query_id, item_id, rank FROM dense) u GROUP BY 1, 2) f) r WHERE rank <= 5""",
