@@ -17,7 +17,6 @@ PAGINATION = "Pagination URL excluded"
 KEYWORDS = "Missing required path keywords"
 SHORT = "Path too short (likely top-level navigation)"
 BINARY_PATTERNS = (r".*\.pdf$", r".*\.jpg$", r".*\.png$", r".*\.gif$", r".*\.(zip|gz|tar)$")
-CONFIG_PATTERNS = (r".*\.pdf$", r".*\.jpg$", r".*\.png$", r".*\?page=")
 PAGINATION_KEYS = ("page", "offset", "start", "page_num", "pagenum")
 DROPPED_KEYS = ("hl",)
 

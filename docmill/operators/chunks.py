@@ -24,7 +24,11 @@ CODE, TABLE, TEXT, MIXED = "code", "table", "text", "mixed"
 
 @dataclass(frozen=True)
 class ChunkConfig:
-    """chunk_size matters only where it is above max_tokens: below, a block that fits max_tokens is kept."""
+    """chunk_size matters only where it is above max_tokens: below, a block that fits max_tokens is kept.
+
+    With split_oversized, text of more than max_tokens is cut (see split_text), overlaps and merges respect max_tokens, and
+    so only code and tables, which stay whole, can be oversized.
+    """
 
     chunk_size: int = 600
     overlap: int = 125
@@ -32,6 +36,7 @@ class ChunkConfig:
     max_tokens: int = 800
     document_version: str = "v1"
     chunk_version: str = "v1"
+    split_oversized: bool = False
 
 
 # ---- expressions
@@ -52,18 +57,19 @@ def sections(docs: DataFrame, doc: str = "doc", text: str = "markdown_content")
 
 
 def heading_paths(docs: DataFrame, doc: str = "doc", text: str = "markdown_content") -> DataFrame:
-    """(doc, section, heading_path): the headings that are open at each heading, by a fold over those before it."""
-    heads = docs.select(F.col(doc).alias("doc"), F.split(F.col(text), "\n").alias("_lines"))
-    item = F.struct(F.lit(0).alias("level"), F.lit("").alias("title"))
-    found = F.transform(
-        F.filter("_lines", lambda x: x.rlike("(?U)" + HEADING)),
-        lambda x: F.struct(F.length(F.regexp_extract(x, "(?U)" + HEADING, 1)).alias("level"), strip(F.regexp_extract(x, "(?U)" + HEADING, 2)).alias("title")),
-    )
-    heads = heads.select("doc", found.alias("_heads"))
-    empty = F.filter(F.array(item), lambda x: F.lit(False))
-    stack = lambda upto: F.aggregate(F.slice("_heads", F.lit(1), upto), empty, lambda acc, x: F.concat(F.filter(acc, lambda h: h["level"] < x["level"]), F.array(x)))
-    numbered = heads.select("doc", F.explode(F.when(F.size("_heads") > 0, F.sequence(F.lit(1), F.size("_heads")))).alias("section"), "_heads")
-    return numbered.select("doc", "section", F.transform(stack(F.col("section")), lambda h: h["title"]).alias("heading_path"))
+    """(doc, section, heading_path): the headings that are open at each heading.
+
+    Of each level, a running window has the last heading so far; it is open if none of a lower level has come since.
+    """
+    lines = docs.select(F.col(doc).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line")).where(F.col("line").rlike("(?U)" + HEADING))
+    heads = lines.select("doc", "pos", F.length(F.regexp_extract("line", "(?U)" + HEADING, 1)).alias("level"), strip(F.regexp_extract("line", "(?U)" + HEADING, 2)).alias("title"))
+    by = Window.partitionBy("doc").orderBy("pos")
+    past = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = {f"_l{k}": F.last(F.when(F.col("level") == k, F.struct("pos", "title")), ignorenulls=True).over(past) for k in range(1, 7)}
+    heads = heads.withColumns({"section": F.row_number().over(by), **last})
+    since = lambda k: F.coalesce(F.greatest(F.lit(-1), F.lit(-1), *[F.col(f"_l{i}.pos") for i in range(1, k)]), F.lit(-1))
+    path = F.array_compact(F.array(*[F.when(F.col(f"_l{k}.pos") > since(k), F.col(f"_l{k}.title")) for k in range(1, 7)]))
+    return heads.select("doc", "section", path.alias("heading_path"))
 
 
 def section_blocks(parts: DataFrame) -> DataFrame:
@@ -165,6 +171,80 @@ def parse(text: str, count: Callable[[str], int]) -> list[Section]:
     return out
 
 
+_ATOM = re.compile(r"\s*\S.*?(?:\n\s*|(?<=[.!?\u3002])\s+|\Z)", re.S)
+#: What a cut costs behind a line, a sentence, and inside a sentence. Fewer pieces come first, whatever they cost.
+LINE, SENTENCE, WORDS = 0, 1, 4
+
+
+def _words(text: str, most: int, count: Callable[[str], int]) -> list[str]:
+    """A sentence of too many tokens in runs of words, as many as fit in each; a word of too many is halved."""
+    out: list[str] = []
+    used = 0
+    for word in re.findall(r"\s*\S+\s*", text):
+        n = count(word)
+        if n > most and len(word) > 1:
+            out += [*_words(word[: len(word) // 2], most, count), *_words(word[len(word) // 2 :], most, count)]
+            used = most
+        elif out and used + n <= most:
+            out[-1] += word
+            used += n
+        else:
+            out.append(word)
+            used = n
+    return out
+
+
+def split_text(text: str, most: int, count: Callable[[str], int], room: int | None = None) -> list[str]:
+    """text in pieces of at most `most` tokens, by cuts of least cost: the fewest pieces, then cuts behind lines, sentences and words.
+
+    Sentences that are too long are cut into runs of words first. Of equal costs the pieces of most equal size win. A
+    single character of more tokens stays. Where counts do not add up, a piece that comes out too long is cut again with
+    less room for the sum of its parts.
+    """
+    if count(text) <= most or len(text) < 2 or text.isspace():
+        return [text]
+    room = most if room is None else room
+    if room < 1:
+        return [q for half in (text[: len(text) // 2], text[len(text) // 2 :]) for q in split_text(half, most, count)]
+    atoms: list[tuple[str, int, int]] = []  # text, tokens, cost of a cut behind it
+    for m in _ATOM.finditer(text):
+        runs = _words(m[0], room, count) if count(m[0]) > room else [m[0]]
+        end = LINE if re.search(r"\n\s*\Z", m[0]) else SENTENCE
+        atoms += [(r, count(r), WORDS) for r in runs[:-1]] + [(runs[-1], count(runs[-1]), end)]
+    best: list[tuple[tuple[int, int, int], int]] = [((0, 0, 0), 0)]  # cost of the first k atoms, and where the last piece begins
+    for k in range(1, len(atoms) + 1):
+        size, found = 0, None
+        for at in range(k - 1, -1, -1):
+            size += atoms[at][1]
+            if size > room and at < k - 1:
+                break
+            pieces, cuts, uneven = best[at][0]
+            cost = (pieces + 1, cuts + (atoms[at - 1][2] if at else 0), uneven + size * size)
+            if found is None or cost < found[0]:
+                found = cost, at
+        best.append(found)
+    ends = [len(atoms)]
+    while ends[-1]:
+        ends.append(best[ends[-1]][1])
+    ends.reverse()
+    out = ["".join(a[0] for a in atoms[x:y]) for x, y in zip(ends[:-1], ends[1:], strict=True)]
+    return [q for p in out for q in split_text(p, most, count, min(room - 1, room * most // max(count(p), 1)))]
+
+
+def cut_blocks(found: list[Section], config: ChunkConfig, count: Callable[[str], int]) -> list[Section]:
+    """The sections with their oversized text blocks in pieces."""
+    for section in found:
+        blocks: list[Block] = []
+        for b in section.blocks:
+            at = b.start
+            for piece in split_text(b.text, config.max_tokens, count) if b.kind == TEXT else [b.text]:
+                if piece.strip():
+                    blocks.append(replace(b, text=piece.strip(), tokens=count(piece.strip()), start=at))
+                at += len(piece)
+        section.blocks = blocks
+    return found
+
+
 def tail(blocks: list[Block], limit: int) -> list[Block]:
     """The last text blocks that together stay within the limit."""
     out: list[Block] = []
@@ -191,8 +271,8 @@ def pack(found: list[Section], config: ChunkConfig) -> list[Chunk]:
             over = held and used + b.tokens > config.max_tokens
             if over and b.kind in (CODE, TABLE):
                 flush([])
-            elif over and used + b.tokens > config.chunk_size:
-                flush(tail(held, config.overlap))
+            elif over and (config.split_oversized or used + b.tokens > config.chunk_size):
+                flush(tail(held, min(config.overlap, config.max_tokens - b.tokens) if config.split_oversized else config.overlap))
             held.append(b)
             used += b.tokens
         if held:
@@ -214,7 +294,8 @@ def _bare(a: Chunk) -> bool:
 def _absorbs(a: Chunk, b: Chunk, config: ChunkConfig) -> bool:
     clash = a.kind == b.kind and a.kind in (CODE, TABLE)
     small = (a.tokens < 40 or a.tokens < config.min_tokens or b.tokens < config.min_tokens) and a.tokens + b.tokens <= config.max_tokens
-    return not clash and _related(a.path, b.path) and (_bare(a) or small)
+    bare = _bare(a) and (not config.split_oversized or a.tokens + b.tokens <= config.max_tokens)
+    return not clash and _related(a.path, b.path) and (bare or small)
 
 
 def merge(chunks: list[Chunk], config: ChunkConfig) -> list[Chunk]:
@@ -253,7 +334,8 @@ def chunk_documents(docs: DataFrame, config: ChunkConfig | None = None, count: C
             for k in range(0, batch.num_rows, 64):
                 rows: list[dict] = []
                 for r in batch.slice(k, 64).to_pylist():
-                    chunks = merge(pack(parse(r["text"], count), config), config)
+                    found = parse(r["text"], count)
+                    chunks = merge(pack(cut_blocks(found, config, count) if config.split_oversized else found, config), config)
                     for index, c in enumerate(chunks):
                         rows.append({
                             "chunk_id": f"{r['doc']}_chunk_{c.number:03d}", "source_url": r["url"], "source_document": r["doc"], "title": r["title"], "heading_path": c.path, "section_title": c.title,

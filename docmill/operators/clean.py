@@ -83,6 +83,12 @@ def signal_histogram(scored: DataFrame) -> DataFrame:
     return scored.select(F.explode("triggered_signals").alias("signal")).groupBy("signal").agg(F.count(F.lit(1)).alias("n"))
 
 
+def signal_report(scored: DataFrame) -> DataFrame:
+    """One row: the number of all blocks, and of the blocks with each signal."""
+    signals = [s for s, *_ in (*FREQUENCY, *DENSITY)] + ["edge_position", "info_density_low", "diversity_low", "context_penalty"]
+    return scored.agg(F.count(F.lit(1)).alias("total_blocks"), *[F.count_if(F.array_contains("triggered_signals", s)).alias(s) for s in signals])
+
+
 # What counts as a heading of each level, a fence and a table line in the statistics of a text.
 HEADINGS = tuple(rf"(?mU)^{'#' * k}\s+.*$" for k in range(1, 5))
 FENCES = r"(?m)^```"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import logging
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,9 +21,11 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class CrawlLimits:
-    max_depth: int = 3
-    max_pages: int = 300
-    abort_pages: int = 10000
+    """None: without a limit."""
+
+    max_depth: int | None = 3
+    max_pages: int | None = 300
+    abort_pages: int | None = 10000
     soft_pages: int = 1000
     warning_pages: int = 5000
 
@@ -44,6 +48,16 @@ def parse_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     return out.withColumns({"failure": failure, "title": title(u, m), "word_count": word_count(m), "outgoing_links": links(u, F.coalesce(m, F.lit("")))}).drop("_english")
 
 
+def _numbered(reached: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """reached with its order by (_from, url), from 1: places inside ranges, behind the sizes of the ranges before."""
+    ranged = cut(reached.repartitionByRange("_from", "url").withColumn("_part", F.spark_partition_id()))
+    sizes = sorted((r["_part"], r["count"]) for r in ranged.groupBy("_part").count().collect())  # a row per partition
+    before = dict(zip([p for p, _ in sizes], itertools.accumulate((n for _, n in sizes), initial=0), strict=False))
+    offset = F.element_at(F.create_map(*[F.lit(x) for pair in before.items() for x in pair]), F.col("_part")) if before else F.lit(0)
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_from", "url"))
+    return ranged.withColumn("order", (place + offset).cast("int")).drop("_part")
+
+
 def crawl(pages: DataFrame, seeds: DataFrame, rules: UrlFilter, limits: CrawlLimits | None = None) -> DataFrame:
     """(url, depth, order) of the pages that are reached. pages: url, outgoing_links; seeds: url.
 
@@ -58,28 +72,28 @@ def crawl(pages: DataFrame, seeds: DataFrame, rules: UrlFilter, limits: CrawlLim
     front = filter_urls(seeds.select("url", F.lit(0).cast("long").alias("_from")), rules).where("filter_reason IS NULL")
     levels: list[DataFrame] = []
     visited = None
-    left, done, began = min(limits.max_pages, limits.abort_pages), 0, time.time()
-    for depth in range(limits.max_depth + 1):
+    most = [n for n in (limits.max_pages, limits.abort_pages) if n is not None]
+    left, done, began = min(most) if most else None, 0, time.time()
+    for depth in itertools.count() if limits.max_depth is None else range(limits.max_depth + 1):
         one = F.row_number().over(Window.partitionBy("norm_url").orderBy("_from", "url"))
         front = front.withColumn("_n", one).where("_n = 1")
         if visited is not None:
             front = front.join(visited, "norm_url", "left_anti")
         reached = front.join(known, "url").select("url", "norm_url", "_from", "outgoing_links")
-        # at most max_pages rows are ranked by one task, which the limit makes small first
-        best = reached.orderBy("_from", "url").limit(left)
-        level = cut(best.withColumn("order", F.row_number().over(Window.orderBy("_from", "url"))).withColumn("depth", F.lit(depth)))
+        level = _numbered(reached, cut).withColumn("depth", F.lit(depth))
+        level = cut(level if left is None else level.where(F.col("order") <= left))
         n = level.count()
         if not n:
             break
         levels.append(level)
-        left -= n
+        left = None if left is None else left - n
         # a level passes a threshold once, as pages come by levels
-        for name, most, say in (("soft", limits.soft_pages, log.info), ("warning", limits.warning_pages, log.warning)):
-            if done < most <= done + n:
-                say("%s limit of %d pages reached", name, most)
+        for name, mark, say in (("soft", limits.soft_pages, log.info), ("warning", limits.warning_pages, log.warning)):
+            if done < mark <= done + n:
+                say("%s limit of %d pages reached", name, mark)
         done += n
         visited = level.select("norm_url") if visited is None else visited.unionByName(level.select("norm_url"))
-        if left <= 0:
+        if left is not None and left <= 0:
             break
         found = level.select(F.explode("outgoing_links").alias("url"), F.col("order").cast("long").alias("_from"))
         front = filter_urls(found, rules).where("filter_reason IS NULL")

@@ -121,11 +121,6 @@ def reliability_report(integrity_row: DataFrame) -> DataFrame:
     return integrity_row.select(high[0], high[1], F.when(F.col("ok"), "High").otherwise("Medium").alias("dataset_quality"), high[2], notes)
 
 
-def reliability(total: int) -> str:
-    """At 50 queries or more the set's quality is called High, else Medium."""
-    return "High" if total >= 50 else "Medium"
-
-
 def question_candidates(chunks: DataFrame, n: int, key: str = "chunk_id", text: str = "chunk_text", words: int = 40) -> DataFrame:
     """n chunks of more than `words` words, those of least md5 of the key: what questions are written from."""
     from docmill.functions.text import word_count

@@ -114,7 +114,7 @@ def crawl_bfs(spark, sf_dir):
     pages = edges.select("url", F.array("a", "b", "c").alias("outgoing_links"))
     seeds = edges.where("n = 0").select("url")
     rules = U.UrlFilter(exclude_patterns=U.BINARY_PATTERNS)
-    return W.crawl(pages, seeds, rules, W.CrawlLimits(max_depth=64, max_pages=10**6, abort_pages=10**6)).select("url", "depth")
+    return W.crawl(pages, seeds, rules, W.CrawlLimits(max_depth=None, max_pages=None, abort_pages=None)).select("url", "depth")
 
 
 @query
@@ -185,6 +185,11 @@ def signal_histogram(spark, sf_dir):
     return C.signal_histogram(_scored(spark, sf_dir))
 
 
+@query
+def signal_report(spark, sf_dir):
+    return C.signal_report(_scored(spark, sf_dir))
+
+
 @query
 def processing_stats(spark, sf_dir):
     sides = [f"{n}_{s}" for s in ("before", "after") for n in ("words", "h1", "h2", "h3", "h4", "code_blocks", "tables")]
@@ -231,6 +236,13 @@ def chunk_pack(spark, sf_dir):
     return K.chunk_documents(markdown(spark, sf_dir))
 
 
+@query
+def chunk_split(spark, sf_dir):
+    """Chunks of at most 120 tokens: text that is longer is cut behind lines, sentences or words."""
+    config = K.ChunkConfig(chunk_size=100, overlap=20, min_tokens=30, max_tokens=120, split_oversized=True)
+    return K.chunk_documents(markdown(spark, sf_dir), config)
+
+
 @query
 def chunk_stats(spark, sf_dir):
     return K.chunk_stats(K.chunk_documents(markdown(spark, sf_dir)))
@@ -374,6 +386,17 @@ def rerank_lexical(spark, sf_dir):
     return S.rerank(pairs, 5).select("query_id", "rank", "item_id", "score")
 
 
+@query
+def hybrid_rerank(spark, sf_dir):
+    """Both rankings fetch sixteen times as many items as asked for, the fused one four times, and the reranker cuts."""
+    n = 5 * S.OVERFETCH * S.OVERFETCH
+    asked = _asked(spark, sf_dir)
+    sparse = S.bm25_top(asked, S.build_index(_corpus(spark, sf_dir), asked=asked), n)
+    fused = S.fuse(_dense(spark, sf_dir, n), sparse, 5 * S.OVERFETCH)
+    pairs = fused.join(asked, "query_id").join(_corpus(spark, sf_dir), "item_id")
+    return S.rerank(pairs, 5).select("query_id", "rank", "item_id", "score")
+
+
 def _evaluated(spark, sf_dir):
     """The evaluation set: a document that holds the passage is acceptable, by a word-level index of both and a check of the text."""
     asked, docs = _asked(spark, sf_dir), _table(spark, sf_dir, "documents").select("doc_id", "text")

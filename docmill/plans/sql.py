@@ -279,6 +279,7 @@ ORACLE_SQL: dict[str, str] = {
     "repeated_blocks": ALL_BLOCKS + "SELECT content_hash, n_docs, round(n_docs * 100.0 / (SELECT count(*) FROM documents), 6)::DOUBLE AS percent FROM dfs ORDER BY n_docs DESC, content_hash LIMIT 100",
     "clean_scores": ALL_BLOCKS + "SELECT doc, block_idx, round(df, 6) AS document_frequency, round(score, 6) AS boilerplate_score, array_to_string(signals, ',') AS signals, tier > 0 AS is_removed FROM scored",
     "clean_removed": ALL_BLOCKS + f"SELECT doc, block_idx, translate(substr(content, 1, 100), chr(10), ' ') AS preview, {_case([(f'tier = {k}', quoted(t)) for k, t in enumerate(C.TIERS, 1)], 'NULL')} AS tier FROM scored WHERE tier > 0",
+    "signal_report": ALL_BLOCKS + "SELECT count(*) AS total_blocks, " + ", ".join(f"count_if(list_contains(signals, '{x}')) AS {x}" for x in ("frequency_high", "frequency_med", "frequency_low", "link_density_high", "link_density_med", "edge_position", "info_density_low", "diversity_low", "context_penalty")) + " FROM scored",
     "signal_histogram": ALL_BLOCKS + "SELECT signal, count(*) AS n FROM (SELECT unnest(signals) AS signal FROM scored) x GROUP BY signal",
     "processing_stats": ALL_BLOCKS.rstrip() + ",\n" + PROCESSED + "SELECT *, round(CASE WHEN words_before > 0 THEN words_after * 100.0 / words_before ELSE 0 END, 6)::DOUBLE AS retention FROM processed",
     "page_category": ALL_BLOCKS.rstrip() + ",\n" + PROCESSED + "SELECT page_category, count(*) AS n_docs, CAST(sum(blocks_retained) AS BIGINT) AS blocks_retained FROM processed GROUP BY page_category",
@@ -312,6 +313,11 @@ ORACLE_SQL: dict[str, str] = {
     "dense_topk": with_(DENSE) + "SELECT query_id, rank, item_id, score FROM dense WHERE rank <= 5",
     "hybrid_rrf": with_(BM25, DENSE) + """SELECT query_id, rank, item_id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM (
         SELECT query_id, item_id, round(sum(1.0::DOUBLE / (60 + rank)), 8) AS score FROM (SELECT query_id, item_id, rank FROM sparse UNION ALL SELECT query_id, item_id, rank FROM dense) u GROUP BY 1, 2) f) r WHERE rank <= 5""",
+    "hybrid_rerank": with_(BM25.replace("rank <= 20", "rank <= 80"), DENSE.replace("rank <= 20", "rank <= 80")) + f"""SELECT query_id, rank, item_id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM (
+        SELECT s.query_id, s.item_id, round(len(list_filter(list_distinct({_TERMS.format('b.text')}), lambda t: list_contains(c.ts, t))) / len(list_distinct({_TERMS.format('b.text')}))::DOUBLE, 6) AS score
+        FROM (SELECT query_id, item_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS r FROM (
+          SELECT query_id, item_id, round(sum(1.0::DOUBLE / (60 + rank)), 8) AS score FROM (SELECT query_id, item_id, rank FROM sparse UNION ALL SELECT query_id, item_id, rank FROM dense) u GROUP BY 1, 2) g) h WHERE r <= 20) s
+        JOIN benchmark b ON b.item_id = s.query_id JOIN corpus c ON c.item_id = s.item_id) f) r WHERE rank <= 5""",
     "rerank_lexical": with_(BM25) + f"""SELECT query_id, rank, item_id, score FROM (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS INTEGER) AS rank FROM (
         SELECT s.query_id, s.item_id, round(len(list_filter(list_distinct({_TERMS.format('b.text')}), lambda t: list_contains(c.ts, t))) / len(list_distinct({_TERMS.format('b.text')}))::DOUBLE, 6) AS score
         FROM sparse s JOIN benchmark b ON b.item_id = s.query_id JOIN corpus c ON c.item_id = s.item_id) f) r WHERE rank <= 5""",

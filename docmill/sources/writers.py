@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmill.functions.html import rendered
-from docmill.functions.urls import processed_file_name, raw_file_name
-from docmill.operators.clean import corpus_report, removed_report, repeated_blocks, review_set, signal_histogram
+from docmill.functions.urls import DEFAULT_RULES, UrlFilter, processed_file_name, raw_file_name
+from docmill.operators.clean import corpus_report, removed_report, repeated_blocks, review_set, signal_histogram, signal_report
 from docmill.operators.chunks import ChunkConfig, chunk_stats
+from docmill.operators.crawl import CrawlLimits
 from docmill.operators.embeddings import validate
 from docmill.operators.evaluate import evidence, integrity, metrics, metrics_by, reliability_report, review_sample
 
@@ -30,19 +32,23 @@ def write_json(rows: DataFrame, path: str) -> None:
 
 
 def write_reports(processed: DataFrame, scored: DataFrame, n_docs: int, path: str) -> None:
-    """The five reports of a cleaning run, each a folder of JSON lines."""
+    """The reports of a cleaning run, each a folder of JSON lines."""
     reports = {
         "manifest": corpus_report(processed),
         "repeated_blocks": repeated_blocks(scored, n_docs),
         "removed_blocks": removed_report(scored),
         "signals": signal_histogram(scored),
+        "detection": signal_report(scored),
         "review_set": review_set(processed, scored),
     }
     for name, rows in reports.items():
         write_json(rows, f"{path}/{name}")
 
 
-def write_crawl_summary(parsed: DataFrame, report: DataFrame, metrics: DataFrame, path: str) -> None:
+def write_crawl_summary(parsed: DataFrame, report: DataFrame, metrics: DataFrame, path: str, limits: CrawlLimits | None = None, rules: UrlFilter = DEFAULT_RULES) -> None:
+    """The settings of a crawl, what it did, what it took and failed to take, and what the rules held back."""
+    settings = {"limits": asdict(limits or CrawlLimits()), "rules": {k: list(v) if isinstance(v, tuple) else v for k, v in vars(rules).items() if k != "extra"}}
+    write_json(parsed.sparkSession.createDataFrame([(json.dumps(settings),)], "settings string").coalesce(1), f"{path}/config")
     write_json(metrics, f"{path}/metrics")
     write_json(parsed.where("failure IS NULL").select("url", F.lit("success").alias("status")), f"{path}/manifest")
     write_json(parsed.where("failure IS NOT NULL").select("url", F.col("failure").alias("error")), f"{path}/failures")

@@ -14,7 +14,7 @@ def con():
 
 
 def test_sql_has_queries():
-    assert set(ORACLE_SQL) <= set(QUERIES) and set(QUERIES) - set(ORACLE_SQL) == {"chunk_pack", "chunk_stats", "chunk_report", "chunk_embeddings"}
+    assert set(ORACLE_SQL) <= set(QUERIES) and set(QUERIES) - set(ORACLE_SQL) == {"chunk_pack", "chunk_split", "chunk_stats", "chunk_report", "chunk_embeddings"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
