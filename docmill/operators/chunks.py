@@ -6,13 +6,14 @@ blocks in order, so they run as one Arrow function on whole documents, without a
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docmill.functions.text import FENCE, estimated_tokens, strip
@@ -324,6 +325,32 @@ CHUNK_SCHEMA = (
 _ARROW = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
 
 
+def chunk_rows(doc: str, url: str, title: str, text: str, config: ChunkConfig, count: Callable[[str], int]) -> list[dict]:
+    """The chunks of one document, as rows of CHUNK_SCHEMA."""
+    found = parse(text, count)
+    chunks = merge(pack(cut_blocks(found, config, count) if config.split_oversized else found, config), config)
+    return [{
+        "chunk_id": f"{doc}_chunk_{c.number:03d}", "source_url": url, "source_document": doc, "title": title, "heading_path": c.path, "section_title": c.title,
+        "chunk_index": index, "total_chunks": len(chunks), "chunk_text": c.text, "token_count": c.tokens, "char_start": c.start, "char_end": c.end, "starts_with_heading": c.heading is not None,
+        "heading": c.heading, "contains_code": c.code, "code_languages": c.languages, "contains_table": c.table, "content_type": c.kind, "document_version": config.document_version,
+        "chunk_version": config.chunk_version, "table_chunk": c.kind == TABLE, "oversized_chunk": c.oversized, "tiny_chunk_merged": c.merged,
+    } for index, c in enumerate(chunks)]
+
+
+def register_chunks(spark: SparkSession, name: str = "chunks_of", config: ChunkConfig | None = None, count: Callable[[str], int] = estimate) -> None:
+    """A table function for SQL: SELECT c.* FROM docs d, LATERAL chunks_of(d.url, d.title, d.text) c gives what chunk_documents gives."""
+    settings, fields = config or ChunkConfig(), [f.split(" ")[0] for f in CHUNK_SCHEMA.split(", ")]
+
+    class Chunks:
+        def eval(self, url: str | None, title: str | None, text: str | None):
+            if title is not None and (text or "").strip():
+                own = "unknown" if url is None else url
+                for row in chunk_rows(hashlib.md5(own.encode()).hexdigest(), own, title, text, settings, count):
+                    yield tuple(row[f] for f in fields)
+
+    spark.udtf.register(name, F.udtf(Chunks, returnType=CHUNK_SCHEMA))
+
+
 def chunk_documents(docs: DataFrame, config: ChunkConfig | None = None, count: Callable[[str], int] = estimate, url: str = "url", title: str = "title", text: str = "markdown_content") -> DataFrame:
     """The chunks of every document that has a title and text. source_document is the md5 of the URL."""
     config = config or ChunkConfig()
@@ -334,15 +361,7 @@ def chunk_documents(docs: DataFrame, config: ChunkConfig | None = None, count: C
             for k in range(0, batch.num_rows, 64):
                 rows: list[dict] = []
                 for r in batch.slice(k, 64).to_pylist():
-                    found = parse(r["text"], count)
-                    chunks = merge(pack(cut_blocks(found, config, count) if config.split_oversized else found, config), config)
-                    for index, c in enumerate(chunks):
-                        rows.append({
-                            "chunk_id": f"{r['doc']}_chunk_{c.number:03d}", "source_url": r["url"], "source_document": r["doc"], "title": r["title"], "heading_path": c.path, "section_title": c.title,
-                            "chunk_index": index, "total_chunks": len(chunks), "chunk_text": c.text, "token_count": c.tokens, "char_start": c.start, "char_end": c.end, "starts_with_heading": c.heading is not None,
-                            "heading": c.heading, "contains_code": c.code, "code_languages": c.languages, "contains_table": c.table, "content_type": c.kind, "document_version": config.document_version,
-                            "chunk_version": config.chunk_version, "table_chunk": c.kind == TABLE, "oversized_chunk": c.oversized, "tiny_chunk_merged": c.merged,
-                        })
+                    rows += chunk_rows(r["doc"], r["url"], r["title"], r["text"], config, count)
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([(n, _ARROW[t]) for n, t in fields]))
 
     rows = docs.select(F.coalesce(F.col(url), F.lit("unknown")).alias("url"), F.col(title).alias("title"), F.col(text).alias("text")).where(F.col("title").isNotNull() & (strip(F.col("text")) != ""))

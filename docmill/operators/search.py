@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ MOST = 64 << 20
 PART = 1 << 13
 
 
+Step = Callable[[DataFrame], DataFrame]
+
+
 def similarity(distance: Column) -> Column:
     """1 - d up to a distance of 1, else 0."""
     return F.when(distance <= 1, 1 - distance).otherwise(0.0)
@@ -165,6 +169,22 @@ def with_latency(found: DataFrame, embed_ms: float = 0.0, search_ms: float = 0.0
     return out.withColumn("total_ms", F.col("embed_ms") + F.col("search_ms") + F.col("rerank_ms")).drop("_n")
 
 
+def measured(queries: DataFrame, search: Step, embed: Step | None = None, rerank: Step | None = None) -> DataFrame:
+    """What the steps find, with the milliseconds that each of them took.
+
+    A step takes the rows of the one before (embed, search, rerank). Its rows are kept and computed before the next one
+    begins, so that the time between is its own.
+    """
+    rows, took = queries, {}
+    for name, step in (("embed_ms", embed), ("search_ms", search), ("rerank_ms", rerank)):
+        if step is not None:
+            began = time.perf_counter()
+            rows = step(rows).persist()
+            rows.write.format("noop").mode("overwrite").save()
+            took[name] = 1000 * (time.perf_counter() - began)
+    return with_latency(rows, **took)
+
+
 def lexical_score(query: Column, text: Column) -> Column:
     """The share of a query's distinct terms that a text has."""
     asked = F.array_distinct(tokens(F.coalesce(query, F.lit(""))))

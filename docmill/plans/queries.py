@@ -422,15 +422,16 @@ def _grams(c: Column, n: int = 8) -> Column:
     return F.get(bound, F.lit(0))
 
 
-def _classified(spark, sf_dir):
+def _classified(spark, sf_dir, evaluated=None):
     found = _sparse(spark, sf_dir).where("rank <= 5").join(_corpus(spark, sf_dir).select("item_id", "source"), "item_id")
     title = F.concat(F.lit("Source "), F.replace(F.col("source"), F.lit("src"), F.lit("")))
     rows = found.select("query_id", "rank", "item_id", F.concat(F.lit("doc-"), F.col("item_id").cast("string")).alias("identifier"), title.alias("section_title"), F.lit(None).cast("array<string>").alias("heading_path"))
-    return E.classify(rows, _evaluated(spark, sf_dir))
+    return E.classify(rows, _evaluated(spark, sf_dir) if evaluated is None else evaluated)
 
 
 def _ranked(spark, sf_dir):
-    return E.ranks(_classified(spark, sf_dir), _evaluated(spark, sf_dir))
+    evaluated = _kept(_evaluated(spark, sf_dir))
+    return E.ranks(_classified(spark, sf_dir, evaluated), evaluated)
 
 
 _METRICS = ("recall_at_1", "recall_at_3", "recall_at_5", "mrr")
@@ -463,7 +464,8 @@ def eval_integrity(spark, sf_dir):
 
 @query
 def eval_evidence(spark, sf_dir):
-    return E.evidence(_classified(spark, sf_dir), _evaluated(spark, sf_dir)).select("query_id", "item_id", "match_type", "matched_target", "reason")
+    evaluated = _kept(_evaluated(spark, sf_dir))
+    return E.evidence(_classified(spark, sf_dir, evaluated), evaluated).select("query_id", "item_id", "match_type", "matched_target", "reason")
 
 
 @query
