@@ -25,6 +25,7 @@ from docmill.plans.fixtures import EDGES, EVALUATION, markdown, select
 from docmill.sources.bm25_index import Bm25Index
 from docmill.sources.store import VectorStore, metadata
 from docmill.sources.vector_index import VectorIndex
+from docmill.streaming.frequencies import BlockFrequencies
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,6 +170,17 @@ def repeated_blocks(spark, sf_dir):
     return C.repeated_blocks(_measured(spark, sf_dir), markdown(spark, sf_dir).count()).select("content_hash", "n_docs", *_six("percent"))
 
 
+@query
+def repeated_blocks_updated(spark, sf_dir):
+    """As repeated_blocks, from changes: older versions of two fifths of the documents come first, the others in two batches."""
+    docs = markdown(spark, sf_dir).select("doc", "markdown_content")
+    older = docs.where("doc % 5 < 2").withColumn("markdown_content", F.concat(F.lit("An older line\n"), F.replace("markdown_content", F.lit("## See also"), F.lit("## Links"))))
+    kept = BlockFrequencies(spark, _new_folder(spark, "frequencies"))
+    for n, batch in enumerate((older.unionByName(docs.where("doc % 5 = 2")), docs.where("doc % 5 IN (0, 3)"), docs.where("doc % 5 IN (1, 4)"))):
+        kept.take(batch, n)
+    return kept.repeated(kept.documents()).select("content_hash", "n_docs", *_six("percent"))
+
+
 @query
 def clean_scores(spark, sf_dir):
     return _scored(spark, sf_dir).select("doc", "block_idx", "is_removed", F.array_join("triggered_signals", ",").alias("signals"), *_six("document_frequency", "boilerplate_score"))

@@ -338,3 +338,4 @@ ORACLE_SQL: dict[str, str] = {
     "token_round_trip": "SELECT doc_id, true AS exact, coalesce(text, '') <> '' AS has_ids FROM documents",
     "metadata_flat": f"WITH md AS ({MARKDOWN}) SELECT doc, to_json([source, lang]) AS heading_path, title, url FROM md",
 }
+ORACLE_SQL["repeated_blocks_updated"] = ORACLE_SQL["repeated_blocks"]
