@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmill.llm.tables import partitions, small_batches
@@ -140,34 +142,59 @@ def likeness(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
     return alike(one, two)
 
 
+def _dealt(key: Column, tie: Column, quantiles: list[int], first: int) -> tuple[Column, list[int]]:
+    """The range of a row, from 0, in ascending order of (key, tie), and the keys that fill more than one range.
+
+    Ranges start at the quantiles. A key that is a quantile several times gets as many ranges, by equal slices of the tie.
+    """
+    times = Counter([*dict.fromkeys([first, *quantiles]), *(q for q, n in Counter(quantiles).items() for _ in range(n - 1))])
+    cuts = sorted(times)
+    hot = [c for c in cuts if times[c] > 1]
+    above = F.aggregate(F.array(*map(F.lit, cuts[1:])), F.lit(0), lambda k, c: k + (key >= c).cast("int")) if len(cuts) > 1 else F.lit(0)
+    if not hot:
+        return above, hot
+    last = list(accumulate(times[c] for c in cuts))  # a cut's ranges end here; keys up to the next cut are in the last one
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), above + 1)
+    unsigned = F.shiftright(tie, 32) + (1 << 31)
+    piece = F.shiftright(unsigned * pick([times[c] for c in cuts]), 32).cast("int")
+    return F.when(key.isin(hot), pick(last) - pick([times[c] for c in cuts]) + piece).otherwise(pick(last) - 1), hot
+
+
 def with_next(docs: DataFrame, run, schema: str) -> DataFrame:
-    """Applies run to the partitions of (last, doc_id, text) in ascending order of doc_id, nulls first.
+    """Applies run to the partitions of (part, last, doc_id, text) in ascending order of doc_id, nulls first.
 
-    Partitions are ranges between doc_ids that exist. Each also gets, as its last row, the first document of the range
-    behind it (of the first range, for the last one), with `last` true. Rows of one doc_id are ordered by their texts.
+    Partitions are ranges of (doc_id, hash of the text). A doc_id that holds more than a partition's share of the rows,
+    null included, is cut by the hash, so only rows of one doc_id and one text must stay together. Each partition also
+    gets, as its last row, the first one of the partition behind it (of the first, for the last one), with `last` true.
+    Rows of one doc_id are ordered by the hashes of their texts, then by the texts, however many partitions there are.
     """
     small_batches(docs.sparkSession)
     low = -(1 << 63)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(low)).alias("_key"))
-    n = partitions(docs.sparkSession)
+    n, key, tie = partitions(docs.sparkSession), F.col("_key"), F.xxhash64("text")
     quantiles = F.percentile_approx("_key", [k / n for k in range(1, n)], 100 * n) if n > 1 else F.array()
     bounds, first = rows.agg(quantiles, F.min("_key")).head()  # as many values as partitions
-    bounds = sorted({x for x in bounds or [] if x != first})
-    part = F.aggregate(F.array(*map(F.lit, bounds)), F.lit(0), lambda k, b: k + (F.col("_key") >= b).cast("int")) if bounds else F.lit(0)
-    rows = rows.withColumn("_part", part)
-    before = F.when(F.col("_part") > 0, F.col("_part") - 1).otherwise(F.lit(len(bounds)))
-    opens = F.col("_key").isin([first, *bounds]) if first is not None else F.lit(False)
-    own = F.struct(F.col("_part").alias("part"), F.lit(False).alias("last"))
-    places = F.when(opens, F.array(own, F.struct(before.alias("part"), F.lit(True).alias("last")))).otherwise(F.array(own))
-    dealt = rows.withColumn("_place", F.explode(places)).select("doc_id", "text", "_key", "_place.*")
-    dealt = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "last", "_key", "text")
+    part, hot = _dealt(key, tie, list(bounds or []), low if first is None else first)
+    # the hash, and with it the text, is read here only where a doc_id is cut
+    split = F.when(key.isin(hot), tie) if hot else F.lit(None).cast("long")
+    rows = rows.withColumns({"part": part.cast("int"), "_split": split})
+    # a row per partition; a partition has rows of one cut doc_id at most, and then these come first
+    opens = sorted((r[0], r[1], r[2] if r[1] in hot else None) for r in rows.groupBy("part").agg(F.min("_key"), F.min("_split")).collect())
+    before = [x[0] for x in opens[-1:] + opens[:-1]]
+    firsts = docs.sparkSession.createDataFrame([(to, k, s) for to, (_, k, s) in zip(before, opens, strict=True)], "_to int, _k long, _s long")
+    # rows of the same doc_id and hash as a partition's first one: of these the least is its guest
+    guests = rows.join(F.broadcast(firsts), (key == F.col("_k")) & F.col("_split").eqNullSafe(F.col("_s"))).groupBy("_to", "_k").agg(F.min(F.struct(tie.alias("tie"), "text")).alias("least"))
+    guests = guests.select(F.col("_to").alias("part"), F.lit(True).alias("last"), F.lit(None).cast("long").alias("doc_id"), F.col("least.text").alias("text"), F.col("_k").alias("_key"))
+    dealt = rows.select("part", F.lit(False).alias("last"), "doc_id", "text", "_key").unionByName(guests)
+    dealt = dealt.repartitionById(max((x[0] for x in opens), default=0) + 1, F.col("part")).sortWithinPartitions("part", "last", "_key", tie, "text")
     return dealt.select("part", "last", "doc_id", "text").mapInArrow(run, schema)
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """Fingerprints of each text and of its edited form, whose last quarter is the start of the next text.
 
-    A null text is empty. A single document is its own next. Equal texts have equal fingerprints. An empty table gives
+    A null text is empty. A single document is its own next; of rows of one doc_id, ordered by the hashes of their
+    texts, each is followed by the next one. Equal texts have equal fingerprints. An empty table gives
     an empty table; further columns are not read.
     """
 

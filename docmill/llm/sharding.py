@@ -19,8 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docmill.llm.tables import partitions, stored
+
 LAW = "key"
-#: Rows of a shard are numbered in so many parts, each sorted by itself; a parameter of number_slots.
+#: Rows of a shard are numbered in at least so many parts, each sorted by itself; a parameter of number_slots.
 SLOT_PARTS = 256
 
 
@@ -101,13 +103,17 @@ def shard_documents(docs: DataFrame, tree: Sequence[Leaf], grown: Sequence[Leaf]
     Returns doc_id, size, text_crc32, law, shard, slot, grown_shard. Law: doc_id and the tree decide. A null text has
     size 8 and the checksum of an empty text; a null doc_id is a key like others. Repeated rows keep one shard and
     get slots of their own. An empty table gives an empty table; further columns of docs are not read.
+
+    Texts are read once, into a stored table of narrow rows. Slots are dealt by a hash of all columns, so the rows of
+    one doc_id, a frequent null included, are numbered in many tasks.
     """
     text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 8).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"), F.lit(LAW).alias("law")
     )
     rows = rows.withColumns({"shard": place(F.col("doc_id"), tree), "grown_shard": place(F.col("doc_id"), grown or grow(tree))})
-    return number_slots(rows, "shard", ["doc_id"], ["size", "text_crc32"]).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    parts = max(SLOT_PARTS, partitions(docs.sparkSession))
+    return number_slots(stored(rows), "shard", ["doc_id", "size", "text_crc32"], [], parts=parts).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def op1_sharding(spark, sf_dir: str) -> DataFrame:

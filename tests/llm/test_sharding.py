@@ -88,3 +88,12 @@ def test_descent_against_the_definition(spark):
     for tree in (topology(24), grow(topology(24)), [Leaf(0, 0, 0, 3.0), Leaf(0, 1, 1, 0.5), Leaf(2, 0, 2, 1.0), Leaf(2, 0, 3, 0.0), Leaf(2, 0, 4, 7.0)]):
         got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", place(F.col("k"), tree).alias("s")).collect()
         assert {r.k: r.s for r in got} == {k: descend(k, tree) for k in keys}
+
+
+def test_rows_of_one_id_are_numbered_apart(spark):
+    """100,000 rows without an id: one shard, gapless slots, and no part of the numbering that holds many of them."""
+    rows = shard_documents(spark.range(100_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")), topology(24))
+    got = rows.agg(F.count_distinct("shard"), F.count_distinct("slot"), F.min("slot"), F.max("slot")).head()
+    assert tuple(got) == (1, 100_000, 0, 99_999)
+    key = F.pmod(F.xxhash64("doc_id", "size", "text_crc32", F.lit("slot")), F.lit(256))
+    assert rows.groupBy(key).count().agg(F.max("count")).head()[0] < 1000
