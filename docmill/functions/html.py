@@ -1,41 +1,28 @@
-"""From HTML to Markdown, links, titles and languages, as a cascade of replacements inside Catalyst."""
+"""Markdown, links, titles and languages of HTML pages, and the URLs of sitemaps."""
 
 from __future__ import annotations
 
-from functools import reduce
 from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docmill.functions.text import FENCE, strip
+from docmill.functions.markdown import markdown
+from docmill.functions.text import strip
 from docmill.functions.urls import path, resolve
 
-#: (pattern, replacement) in order. Scripts go first, as they may hold tags.
-STEPS = (
-    (r"(?is)<(script|style|head|template)\b[^>]*>.*?</\1\s*>", ""),
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<pre\b[^>]*>(.*?)</pre>", f"\n{FENCE}\n$1\n{FENCE}\n"),
-    *((rf"(?is)<h{k}\b[^>]*>(.*?)</h{k}>", f"\n{'#' * k} $1\n") for k in range(1, 7)),
-    (r"(?is)<a\b[^>]*?\bhref=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>", r"[$2]($1)"),
-    (r"(?is)<li\b[^>]*>", "\n- "),
-    (r"(?is)</t[dh]>\s*(?=<t[dh]\b)", " | "),
-    (r"(?is)<tr\b[^>]*>\s*<t[dh]\b[^>]*>", "\n| "),
-    (r"(?is)</t[dh]>\s*</tr>", " |\n"),
-    (r"(?is)<br\s*/?>", "\n"),
-    (r"(?is)</?(p|div|ul|ol|article|nav|footer|header|section|table|blockquote)\b[^>]*>", "\n\n"),
-    (r"(?s)<[^>]*>", ""),
-    *((e, c) for e, c in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))),
-    (r"[ \t]+\n", "\n"),
-    (r"\n{3,}", "\n\n"),
-)
-
 LINK = r"\[.+?\]\((.+?)\)"
 
 
 def to_markdown(html: Column) -> Column:
-    return strip(reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), STEPS, html))
+    """A page as Markdown, see docmill.functions.markdown; null for a null page."""
+
+    @F.arrow_udf("string")
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else markdown(x) for x in pages.to_pylist()], pa.string())
+
+    return run(html)
 
 
 def language(html: Column) -> Column:

@@ -57,9 +57,28 @@ REASONS = rf"""reasons AS (
 
 # ---- HTML
 
+#: The library reads pages tag by tag; SQL, by replacements in this order. Both agree on pages without nested or inline marks.
+STEPS = (
+    (r"(?is)<(script|style|head|template)\b[^>]*>.*?</\1\s*>", ""),
+    (r"(?s)<!--.*?-->", ""),
+    (r"(?is)<pre\b[^>]*>(.*?)</pre>", "\n```\n$1\n```\n"),
+    *((rf"(?is)<h{k}\b[^>]*>(.*?)</h{k}>", f"\n{'#' * k} $1\n") for k in range(1, 7)),
+    (r"(?is)<a\b[^>]*?\bhref=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>", r"[$2]($1)"),
+    (r"(?is)<li\b[^>]*>", "\n- "),
+    (r"(?is)</t[dh]>\s*(?=<t[dh]\b)", " | "),
+    (r"(?is)<tr\b[^>]*>\s*<t[dh]\b[^>]*>", "\n| "),
+    (r"(?is)</t[dh]>\s*</tr>", " |\n"),
+    (r"(?is)<br\s*/?>", "\n"),
+    (r"(?is)</?(p|div|ul|ol|article|nav|footer|header|section|table|blockquote)\b[^>]*>", "\n\n"),
+    (r"(?s)<[^>]*>", ""),
+    *((e, c) for e, c in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))),
+    (r"[ \t]+\n", "\n"),
+    (r"\n{3,}", "\n\n"),
+)
+
 
 def _cascade(x: str) -> str:
-    for pattern, to in H.STEPS:
+    for pattern, to in STEPS:
         to = to.replace("$1", "\\1").replace("$2", "\\2")
         head = pattern.replace(r"</\1\s*>", r"</(?:script|style|head|template)\s*>").replace(r"</t[dh]>\s*(?=<t[dh]\b)", r"</t[dh]>\s*<t[dh]\b")
         if head != pattern and "<t[dh]" in head:
