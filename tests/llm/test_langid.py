@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -119,3 +120,71 @@ def test_query(spark):
     got = op6_language_id(spark, "/root/testdata/sf0.001").join(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert sum(r.lang == r.lang_pred for r in got) > 0.97 * len(got)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+
+
+def by_definition(text, model):
+    """lang_pred and score of one text, word by word in plain Python from the model's numbers."""
+    langs, base = model.langs, 1 << 64
+
+    def mixed(h):
+        h ^= h >> 31
+        h = h * 0xBF58476D1CE4E5B9 % base
+        h ^= h >> 29
+        h = h * 0x94D049BB133111EB % base
+        return h ^ h >> 32
+
+    def state(word):
+        """The weights of the word's n-grams of bytes, borders included, and of the word itself."""
+        padded = b" " + word + b" "
+        ids = [mixed(int.from_bytes(padded[k : k + n], "big") ^ n << 56) >> 48 for n in (1, 2, 3, 4) for k in range(len(padded) - n + 1)]
+        name = Words(pa.array([word.decode()]), lower=True).hashes()[0]
+        ids += [(1 << 16) + k for k in np.flatnonzero(model.lexicon == name)]
+        return model.weights[ids].astype(float).sum(axis=0) / len(ids) ** 0.5
+
+    if text is None or not any(map(str.isalpha, text)):
+        return "und", 0.0
+    data = text.encode()
+    data = bytes(c + 32 if 65 <= c <= 90 else c for c in data)
+    found = list(re.finditer(rb"[^\x20\x09-\x0d]+", data))
+    runs = []
+    for k, m in enumerate(found):
+        if not k or re.search(rb"[.!?\n]", data[found[k - 1].end() - 1 : m.start()]):
+            runs.append([])
+        runs[-1].append(m[0])
+    total = dict.fromkeys(range(len(langs)), 0.0)
+    for run in runs:
+        scores = [state(w) for w in run]
+        ahead, back = [model.begin + scores[0]], [np.zeros(len(langs))]
+        for s in scores[1:]:
+            ahead.append(s + np.logaddexp.reduce(ahead[-1][:, None] + model.transitions, axis=0))
+        for s in scores[:0:-1]:
+            back.append(np.logaddexp.reduce(model.transitions + s + back[-1], axis=1))
+        for word, a, b in zip(run, ahead, back[::-1], strict=True):
+            p = np.exp(a + b - np.logaddexp.reduce(a + b))
+            letters = sum(97 <= c <= 122 or c >= 128 for c in word)
+            for y in total:
+                total[y] += letters * p[y]
+    best = max(total, key=total.get)
+    return langs[best], total[best] / sum(total.values())
+
+
+def test_the_query_against_its_definition(spark, tmp_path):
+    """op6 over a table of mixed, odd and repeated rows: every language and score as the definition gives them."""
+    r = random.Random(3)
+    mixes = [" ".join(prose(r.choice(list(SOUNDS)), r.randint(1, 9), k) + r.choice((" ", ". ", "\n", "? ", " .. ")) for k in range(seed, seed + 5)) for seed in range(60)]
+    odd = [None, "", " \t\n", "12 - 34", "é", "Ä1", "٣", "KATO mira. Mi!", "x", "ka" * 3000, "☃ ka ☃", "a.b.c ?"]
+    rows = [*corpus(200), *((1000 + k, t, None) for k, t in enumerate(mixes)), *((2000 + k, t, "aa") for k, t in enumerate(odd)), (None, "schung", "bb"), (1, mixes[0], "cc"), (1, mixes[0], "cc")]
+    path = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(f"{path}/documents.parquet")
+    got = op6_language_id(spark, path).collect()
+    out = zlib.crc32
+    learned = spark.createDataFrame([x for x in rows if x[0] is None or out(str(x[0]).encode()) % 4 != 2], "doc_id long, text string, lang string")
+    model = fit(learned)
+    want = {}
+    for doc, text, _ in rows:
+        want.setdefault(doc, []).append(by_definition(text, model))
+    assert len(got) == len(rows)
+    for doc in want:
+        mine = sorted((x.score, x.lang_pred) for x in got if x.doc_id == doc)
+        for (score, lang), (truth, share) in zip(mine, sorted(want[doc], key=lambda x: x[1]), strict=True):
+            assert lang == truth and abs(score - share) < 1e-4, doc
