@@ -127,3 +127,29 @@ def test_a_stream_takes_what_is_new_and_restarts(spark, tmp_path):
     assert len({r[:2] for r in third}) == len(third) == sum(min(5, len(u)) for u in sites.values())
     fetched = [line for f in (tmp_path / "log").iterdir() for line in f.read_text().splitlines()]
     assert len(fetched) == len(set(fetched))
+
+
+def test_a_stream_stops_where_a_listing_fails(spark, tmp_path):
+    """Nothing is passed over: the query fails, and its pages come once the host answers again."""
+    up = str(tmp_path / "up")
+
+    def listing(host, start, end):
+        with open(up):
+            return [f"http://{host}/{k}" for k in range(4)][start:end]
+
+    spark.dataSource.register(page_source(listing, lambda u: (200, u), lambda host: 4, name="pages_down"))
+
+    def run():
+        read = spark.readStream.format("pages_down").options(hosts="a b", pause=0).load()
+        query = read.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "mark")).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    with pytest.raises(Exception, match="up"):
+        run()
+    (tmp_path / "up").write_text("")
+    run()
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.url for r in got) == [f"http://{h}/{k}" for h in "ab" for k in range(4)]
