@@ -1,14 +1,14 @@
 """Best-fit packing of documents into sequences of a fixed capacity, in bulk-synchronous steps.
 
-Documents and gaps are range-sorted by size. As sizes are whole numbers up to the capacity, the sorted order is a list
-of runs: a run of documents has one length and consecutive ranks, a run of gaps one size and consecutive sequences,
-and there are at most `capacity` runs of documents however many documents there are. A step takes the longest run that
-is left: the sweep over the gaps finds the successor of its length, the documents of lower rank get the gaps of lower
-number, the surplus sweeps on to the next larger gaps and then to fresh sequences, and the gaps are updated. The steps
-repeat until no run is left, which is exact best-fit decreasing. The steps themselves are a loop on the driver: its
-state, the runs, is bounded by the capacity and not by the documents, so a distributed sweep would have at most as many
-rows to sort as there are lengths. Ranks (a distributed sort) and the final lookup of each document's rank among the
-steps' matches touch rows; both run on the executors.
+A step sorts documents and gaps by size into one order, in which a gap follows the documents that it holds, and sweeps
+over it. The height of a place is the number of documents less the number of gaps up to it. On each level of height
+documents and gaps alternate, and the gap behind a document on its level is its successor: the nearest one in size that no
+document between them, larger and so of higher rank, takes. Surplus documents reach on to larger gaps or stay. A gap with
+room for several of the longest documents that are left counts as that many. Gaps are updated, and the step is repeated.
+Fresh sequences are opened when none of the longest documents found a gap: as many as these fill.
+
+A step needs one shuffle, which deals rows to lanes of bounded size by a hash that changes with the step;
+the windows of a lane run in that partition. A lane's level is crossed at most twice for each size.
 """
 
 from __future__ import annotations
@@ -16,17 +16,15 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docmill.llm.sharding import number_slots
 from docmill.llm.tables import stored
 from docmill.llm.textbatch import slices
 
@@ -38,6 +36,10 @@ SPECIAL = "<|endoftext|>"
 #: and more go to tokenizers.
 BLANK = 100_000
 _BLANK = re.compile(rf"(?<!\s)\s{{{BLANK}}}")  # tried once a run
+#: Rows of a lane, which one task sorts.
+LANE = 1 << 19
+#: Up to this many of the longest documents to a sequence, fresh sequences are counted by them, beyond it by volume.
+FEW = 3
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -95,54 +97,82 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, paths: tup
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
 
 
-def match(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """(length, first rank, ranks, first sequence, offset) of each match of a run of documents with a run of gaps.
+def sweep(docs: DataFrame, gaps: DataFrame, longest: int, most: int, lanes: int, turn: int, capacity: int) -> DataFrame:
+    """One step. docs: id, size of documents of at most `longest`; gaps: id, size. Ids are distinct in each.
 
-    counts: documents by length. At most `capacity` lengths go in, and each step splits one run of gaps.
+    Returns rows of documents that stay (gap is false: id, size) and of gaps (gap is true): slot 1 of each gap has in size
+    what is left of it; slots that got a document have its id in doc and its offset in offset. A gap has a slot for each
+    document of the greatest length that it holds, at least one and at most `most`.
     """
-    out: list[tuple[int, int, int, int, int]] = []
-    gaps: list[tuple[int, int, int]] = []  # size, first sequence, sequences; sorted
-    fresh = 0
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        while left:
-            k = bisect_left(gaps, (length, -1, -1))
-            if k < len(gaps):
-                size, first, n = gaps.pop(k)
-            else:
-                fit = capacity // length
-                # as many as hold what is left; a last one that is not full is a run of its own
-                size, first, n = capacity, fresh, left // fit or 1
-                fresh += n
-            take = min(n, left)
-            out.append((length, rank, take, first, capacity - size))
-            if take < n:
-                insort(gaps, (size, first + take, n - take))
-            if size > length:
-                insort(gaps, (size - length, first, take))
-            rank, left = rank + take, left - take
-    return out
-
-
-def pack(sized: DataFrame, capacity: int = CAPACITY, key: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
-    """Adds sequence_id and offset to rows that have a length from 1 to capacity. sized must be stored: it is read twice.
-
-    No sequence exceeds the capacity, offsets are gapless from 0. Ties are broken by the key columns; repeated rows
-    get places of their own; an empty table gives an empty table.
+    slots = F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.floor(F.col("size") / longest), F.lit(most))).cast("int"))
+    rows = docs.select("id", "size", F.lit(False).alias("gap"), F.lit(0).alias("slot")).unionByName(
+        gaps.select("id", "size", F.lit(True).alias("gap"), slots.alias("slot")).withColumn("slot", F.explode("slot"))
+    )
+    order = ("size", "gap", "id", "slot")
+    rows = rows.withColumn("lane", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(lanes)))
+    height = F.sum(F.when(F.col("gap"), -1).otherwise(1)).over(Window.partitionBy("lane").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("level", height + F.col("gap").cast("int"))
+    level, own = Window.partitionBy("lane", "level").orderBy(*order), Window.partitionBy("lane", "gap", "id")
+    rows = rows.select("*", F.lead("id").over(level).alias("next"), F.lag("id").over(level).alias("doc"), F.lag("size").over(level).alias("taken"))
+    taken = F.coalesce("taken", F.lit(0))
+    before = F.coalesce(F.sum(taken).over(own.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.select(
+        "gap", "id", "slot", F.when(F.col("gap"), F.col("size") - F.sum(taken).over(own)).otherwise(F.col("size")).alias("size"),
+        F.when(F.col("gap"), F.col("doc")).alias("doc"), (capacity - F.col("size") + before).alias("offset"), "next",
+    ).where("IF(gap, slot = 1 OR doc IS NOT NULL, next IS NULL)").drop("next")
+
+
+def _fresh(docs: dict[int, int], before: dict[int, int] | None, gaps: int, capacity: int) -> int:
+    """Sequences to open for documents by size, where `before` tells how many there were ahead of the last step."""
+    fit = capacity // max(docs)
+    if fit > FEW:
+        return 0 if gaps and before != docs else max(1, sum(size * n for size, n in docs.items()) // capacity)
+    like = [sum(n for size, n in table.items() if size * (fit + 1) > capacity) for table in (docs, before or docs)]
+    return 0 if gaps and like[0] < like[1] else -(-like[0] // fit)
+
+
+def places(docs: DataFrame, capacity: int) -> DataFrame:
+    """id, sequence_id and offset for each row of docs (id, size from 1 to capacity). docs must be stored: it is read twice.
+
+    What the driver sees of a step is the number of documents and gaps by size, at most twice the capacity of rows.
     """
-    spark = sized.sparkSession
-    counts = {r["length"]: r["n"] for r in sized.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity rows
-    if counts and not 1 <= min(counts) <= max(counts) <= capacity:
-        raise ValueError(f"lengths from {min(counts)} to {max(counts)} do not fit 1 to {capacity}")
-    matches = spark.createDataFrame(match(counts, capacity), "_length long, _first long, _n long, _sequence long, offset long")
-    ranked = number_slots(sized, "length", key, (), out="_rank")
-    at = (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_first") + F.col("_n"))
-    # the matches depend on the capacity, not on the number of documents
-    return ranked.join(F.broadcast(matches), at).withColumn("sequence_id", F.col("_sequence") + F.col("_rank") - F.col("_first")).drop("_length", "_first", "_n", "_sequence", "_rank")
+    spark = docs.sparkSession
+    done: list[DataFrame] = []
+    gaps, rooms, before, opened = spark.createDataFrame([], "id long, size long"), {}, None, 0
+    left = dict(map(tuple, docs.groupBy("size").agg(F.count(F.lit(1))).collect()))
+    if left and not 1 <= min(left) <= max(left) <= capacity:
+        raise ValueError(f"lengths from {min(left)} to {max(left)} do not fit 1 to {capacity}")
+    while left:
+        if new := _fresh(left, before, len(rooms), capacity):
+            gaps = gaps.unionByName(spark.range(opened, opened + new).select("id", F.lit(capacity).cast("long").alias("size")))
+            rooms[capacity], opened = rooms.get(capacity, 0) + new, opened + new
+        n, longest = sum(left.values()), max(left)
+        most = max(capacity // longest, -(-2 * n // sum(rooms.values())))
+        lanes = 1 + (n + sum(max(1, min(size // longest, most)) * k for size, k in rooms.items())) // LANE
+        step = stored(sweep(docs, gaps, longest, most, lanes, len(done), capacity))
+        done.append(step.where("gap AND doc IS NOT NULL").select(F.col("doc").alias("id"), F.col("id").alias("sequence_id"), "offset"))
+        docs, gaps = step.where("NOT gap").select("id", "size"), step.where("gap AND slot = 1").select("id", "size")
+        counts = step.where("slot < 2").groupBy("gap", "size").agg(F.count(F.lit(1))).collect()
+        before, left = left, {size: k for gap, size, k in counts if not gap}
+        shortest = min(left, default=capacity)
+        rooms = {size: k for gap, size, k in counts if gap and size >= shortest}
+        gaps = gaps.where(F.col("size") >= shortest)
+    return reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], "id long, sequence_id long, offset long")
+
+
+def pack(sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Adds sequence_id and offset to rows that have a length from 1 to capacity and no such columns, nor one called _row.
+
+    No sequence exceeds the capacity, offsets are gapless from 0. Repeated rows get places of their own; an empty table
+    gives an empty table. Rows are numbered once and stored, so a lost executor changes nothing.
+    """
+    rows = stored(sized.withColumn("_row", F.monotonically_increasing_id()))
+    placed = places(rows.select(F.col("_row").alias("id"), F.col("length").cast("long").alias("size")), capacity)
+    return rows.join(placed.withColumnRenamed("id", "_row"), "_row").drop("_row")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    return pack(stored(pieces(docs, capacity)), capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(pieces(docs, capacity), capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op2_packing(spark, sf_dir: str) -> DataFrame:

@@ -1,14 +1,17 @@
+import random
 import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from docmill.llm.packing import JSON, RANKS, cuts, encode, match, pack_documents
+from docmill.llm import packing
+from docmill.llm.packing import JSON, RANKS, cuts, encode, pack, pack_documents
 
 PATHS = (P.path(JSON), P.path(RANKS), P.PATTERN)
 
@@ -25,29 +28,58 @@ def best_fit_decreasing(lengths, capacity):
     return len(gaps)
 
 
-@settings(deadline=None, max_examples=200)
-@given(st.lists(st.integers(1, 20), max_size=60))
-def test_matches_are_as_few_as_best_fit(lengths):
-    counts = {n: lengths.count(n) for n in set(lengths)}
-    filled, placed = defaultdict(list), defaultdict(int)
-    for length, first, n, sequence, offset in match(counts, 20):
-        assert first == placed[length]
-        placed[length] += n
-        for k in range(n):
-            filled[sequence + k].append((offset, length))
-    assert placed == counts
+def packed(spark, lengths, capacity):
+    """Sequences as sorted (offset, length), each checked to be gapless and within the capacity."""
+    rows = spark.createDataFrame([(k, n) for k, n in enumerate(lengths)], "doc_id long, length long")
+    got = pack(rows, capacity).collect()
+    assert sorted((r.doc_id, r.length) for r in got) == list(enumerate(lengths))
+    filled = defaultdict(list)
+    for r in got:
+        filled[r.sequence_id].append((r.offset, r.length))
     for spans in filled.values():
         at = 0
         for offset, length in sorted(spans):
             assert offset == at
             at += length
-        assert at <= 20
-    assert len(filled) <= best_fit_decreasing(lengths, 20) + 1
+        assert at <= capacity
+    return filled
+
+
+CASES = {
+    "few": (20, lambda r: [r.randint(1, 20) for _ in range(60)]),
+    "any": (1024, lambda r: [r.randint(1, 1024) for _ in range(2000)]),
+    "mostly short": (1024, lambda r: [min(1024, int(r.expovariate(1 / 300)) + 1) for _ in range(2000)]),
+    "pairs": (1024, lambda r: [r.randint(300, 600) for _ in range(2000)]),
+    "triples": (1024, lambda r: [r.randint(200, 340) for _ in range(2000)]),
+    "ones": (1024, lambda r: [1] * 5000),
+    "full": (1024, lambda r: [1024] * 50),
+    "two lengths": (1024, lambda r: [r.choice((600, 5)) for _ in range(2000)]),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_sequences_are_as_few_as_best_fit(spark, case):
+    capacity, make = CASES[case]
+    lengths = make(random.Random(case))
+    assert len(packed(spark, lengths, capacity)) <= best_fit_decreasing(lengths, capacity) + 1
+
+
+def test_lanes_lose_nothing_and_stay_near_best_fit(spark, monkeypatch):
+    monkeypatch.setattr(packing, "LANE", 400)
+    lengths = CASES["any"][1](random.Random(1))
+    assert len(packed(spark, lengths, 1024)) <= best_fit_decreasing(lengths, 1024) * 1.02
+
+
+@settings(deadline=None, max_examples=6)
+@given(st.lists(st.integers(1, 20), max_size=60))
+def test_any_lengths(spark, lengths):
+    assert len(packed(spark, lengths, 20)) <= best_fit_decreasing(lengths, 20) + 1
 
 
-def test_match_is_quick_on_huge_counts():
-    got = match({n: 10**9 for n in range(1, 1025)}, 1024)
-    assert len(got) < 20000
+def test_lengths_beyond_the_capacity_are_refused(spark):
+    for bad in (0, 21):
+        with pytest.raises(ValueError):
+            packed(spark, [1, bad], 20)
 
 
 @settings(deadline=None, max_examples=200)
