@@ -172,6 +172,12 @@ def pack(sized: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """A row per piece of each document with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    A null or empty text is one piece of the end id; a text of more than the capacity is cut into full pieces behind a
+    shorter first one. Repeated rows and rows without a doc_id are packed each by itself. An empty table gives an empty
+    table; further columns, of any name, are not read. Which of equally long pieces gets which place is not defined.
+    """
     return pack(pieces(docs, capacity), capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -138,3 +138,11 @@ def test_many_runs_under_the_bound_take_linear_time():
 def test_a_run_of_blanks_in_a_table(spark):
     got = pack_documents(spark.createDataFrame([(1, " " * 1_500_000 + "x"), (2, "y")], "doc_id long, text string")).collect()
     assert {r.doc_id for r in got} == {1, 2} and max(r.length for r in got) <= 1024
+
+
+def test_rows_without_an_id_and_columns_of_the_steps(spark):
+    rows = [(None, "same", 1, 2, 3)] * 50 + [(7, None, None, None, None)] * 3
+    got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string, _row long, id long, size long")).collect()
+    places = {(r.sequence_id, r.offset) for r in got}
+    assert len(got) == len(places) == 53 and {r.sequence_id for r in got} == {got[0].sequence_id}
+    assert sorted(r.length for r in got)[:3] == [1, 1, 1] and sum(r.doc_id is None for r in got) == 50
