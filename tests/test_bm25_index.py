@@ -58,3 +58,20 @@ def test_text_ids_and_ties(spark, tmp_path):
     index = Bm25Index.build(docs, f"{tmp_path}/index", item="doc", text="body", chunk=1)
     got = index.top(spark.createDataFrame([("q", "x")], "query_id string, query string"), 1, probe=1).collect()
     assert [(r["query_id"], r["rank"], r["item_id"]) for r in got] == [("q", 1, "a")]
+
+
+def moved(spark):
+    """Rows that stages of the session have shuffled."""
+    context, new = spark.sparkContext, spark.sparkContext._gateway.new_array
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = context._jsc.sc().statusStore().stageList(spark._jvm.java.util.ArrayList(), False, False, new(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+    return {stages.apply(k).stageId(): stages.apply(k).shuffleWriteRecords() for k in range(stages.size())}
+
+
+def test_no_row_per_posting_moves(spark, tmp_path):
+    passages = [(k, " ".join(WORDS[k:] + WORDS[:k])) for k in range(20)]
+    docs, queries = tables(spark, corpus(3, 1500), passages)
+    before = moved(spark)
+    found = Bm25Index.build(docs, f"{tmp_path}/index").top(queries, 5).collect()
+    rows = sum(n for stage, n in moved(spark).items() if stage not in before)
+    assert found and rows < sum(len(set(t.split())) for _, t in corpus(3, 1500))
