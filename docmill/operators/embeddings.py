@@ -14,8 +14,10 @@ from docmill.functions.text import tokens
 from docmill.operators.vectors import angles, common_size, fit_centroids, matrix, unit, usable, values
 
 ZERO = 1e-5
-#: Vectors of a part of a cell, two of which meet in one task, at most; and vectors for each pivot, and multiplied at once.
+#: Vectors of a part of a cell, two of which meet in one task, at most; and vectors for each pivot where cells can exclude others.
 TILE, PART = 1 << 13, 1 << 10
+#: Angles or products that a task holds at once, and vectors of an Arrow batch that it makes.
+HELD, MADE = 1 << 20, 1 << 12
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -131,22 +133,28 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.99, top: int = 100,
     A vector belongs to the cell of its nearest pivot. By the triangle inequality of angles it can have a partner in
     another cell only if the angle to that cell's pivot exceeds the one to its own by at most twice the threshold's angle,
     and the cell's radius by at most once; to such cells, of greater number, it goes as a guest, so that a pair meets once.
-    A cell's vectors are cut into parts of at most TILE, and each two parts meet in a task that keeps `top` pairs. Of equal
-    vectors only the top + 1 of least ids can be in the result. payload: columns of both sides to add, as <name>_a and
+    A cell's vectors are cut into parts of at most TILE, and each two parts meet in a task that keeps `top` pairs. Where twice
+    the threshold's angle is a right one or more, hardly a cell is excluded, so cells are as large as parts. Of equal vectors only the top + 1 of least ids can be in the result. payload: columns of both sides to add, as <name>_a and
     <name>_b. Zero vectors, null ones and those of another length than most have no partner.
     """
     if threshold < 0:
         raise ValueError("the threshold has to be 0 or more")
     dims = common_size(vectors, vector)
-    rows = vectors.where(F.col(key).isNotNull() & usable(F.col(vector), dims)).select(F.col(key).alias("item_id"), F.col(vector).cast("array<double>").alias("vector")).where(F.exists("vector", lambda x: x != 0))
+    shape = "array<float>" if dict(vectors.dtypes)[vector] == "array<float>" else "array<double>"  # floats travel as they are
+    rows = vectors.where(F.col(key).isNotNull() & usable(F.col(vector), dims)).select(F.col(key).alias("item_id"), F.col(vector).cast(shape).alias("vector")).where(F.exists("vector", lambda x: x != 0))
     number = F.dense_rank().over(Window.partitionBy("vector").orderBy("item_id"))
     rows = rows.withColumn("_n", number).where(F.col("_n") <= top + 1).drop("_n").distinct().persist()
     kind, spark = dict(vectors.dtypes)[key], vectors.sparkSession
-    pivots = fit_centroids(rows, max(1, -(-rows.count() // PART)), steps=2)
     wide = math.acos(min(1.0, threshold)) + 1e-6
+    pivots = fit_centroids(rows, max(1, -(-rows.count() // (PART if 2 * wide < math.pi / 2 else TILE))), steps=2)
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            for at in range(0, batch.num_rows, step := max(1, HELD // max(1, len(pivots)))):
+                yield batch.slice(at, step)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
             far = angles(matrix(batch.column("vector"), dims), pivots)
             home = far.argmin(axis=1) if len(far) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(far[np.arange(len(home)), home])], names=["cell", "gap"])
@@ -156,20 +164,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.99, top: int = 100,
     radius[[r["cell"] for r in sizes]] = [r["radius"] for r in sizes]
 
     def visits(batches: Iterator[pa.RecordBatch], whole: bool = True) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             far = angles(matrix(batch.column("vector"), dims), pivots)
             home = far.argmin(axis=1) if len(far) else np.zeros(0, np.int64)
             gap = far[np.arange(len(home)), home]
             near = (far <= gap[:, None] + 2 * wide) & (far <= radius[None] + wide) & (np.arange(len(pivots))[None] > home[:, None])
             near[np.arange(len(home)), home] = True
-            at, cell = np.nonzero(near)
-            some = batch.take(pa.array(at))
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(home[at] == cell), *([some.column("item_id"), some.column("vector")] if whole else [])], names=["cell", "own", "item_id", "vector"][: 4 if whole else 2])
+            every, cells = np.nonzero(near)
+            for k in range(0, len(every), MADE):
+                at, cell = every[k : k + MADE], cells[k : k + MADE]
+                some = batch.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(home[at] == cell), *([some.column("item_id"), some.column("vector")] if whole else [])], names=["cell", "own", "item_id", "vector"][: 4 if whole else 2])
 
     counts = {(r["cell"], r["own"]): r["count"] for r in rows.mapInArrow(lambda b: visits(b, False), "cell long, own boolean").groupBy("cell", "own").count().collect()}  # two rows per pivot
     parts = [(c, -(-counts[c, True] // TILE), -(-counts.get((c, False), 0) // TILE)) for c in sorted({c for c, own in counts if own})]
-    shape = spark.createDataFrame(parts, "cell long, parts int, others int")
-    dealt = rows.mapInArrow(visits, f"cell long, own boolean, item_id {kind}, vector array<double>").join(F.broadcast(shape), "cell")  # a row per pivot
+    sizes = spark.createDataFrame(parts, "cell long, parts int, others int")
+    dealt = rows.mapInArrow(visits, f"cell long, own boolean, item_id {kind}, vector {shape}").join(F.broadcast(sizes), "cell")  # a row per pivot
     part = F.when(F.col("own"), F.pmod(F.xxhash64("item_id"), F.col("parts"))).otherwise(F.col("parts") + F.pmod(F.xxhash64("item_id"), F.greatest("others", F.lit(1)))).cast("int")
     tile = lambda x: F.struct(F.least(x, F.col("part")).alias("i"), F.greatest(x, F.col("part")).alias("j"))
     partners = F.sequence(F.lit(0), F.when(F.col("own"), F.col("parts") + F.col("others")).otherwise(F.col("parts")) - 1)
@@ -181,10 +191,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.99, top: int = 100,
         v = unit(matrix(table.column("vector"), dims))
         a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
         right, kept = v[b].T, (ids[:0], ids[:0], np.zeros(0))
-        for at in range(0, len(a), PART):
-            some = a[at : at + PART]
+        for at in range(0, len(a), step := max(1, HELD // max(1, len(b)))):
+            some = a[at : at + step]
             scores = v[some] @ right
-            x, y = np.nonzero(scores > threshold)
+            # once there are `top` pairs, only those that round to the least of them or more
+            x, y = np.nonzero(scores > (max(threshold, kept[2][-1] - 1e-4) if len(kept[2]) == top else threshold))
             s, x, y = np.round(scores[x, y], 4), ids[some[x]], ids[b[y]]
             keep = x < y if i == j else x != y
             x, y = x[keep], y[keep]

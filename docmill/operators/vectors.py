@@ -13,6 +13,8 @@ METRICS = ("cosine", "ip", "l2")
 #: Centroids are fitted on about this many vectors for each.
 PER_CELL = 256
 MOST_CELLS = 4096
+#: Gaps that a task holds at once.
+HELD = 1 << 20
 
 
 def usable(vector: Column, dims: int) -> Column:
@@ -110,7 +112,8 @@ def fit_centroids(vectors: DataFrame, cells: int, metric: str = "cosine", steps:
     def sums(centroids: np.ndarray):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total, count = np.zeros_like(centroids), np.zeros(len(centroids), np.int64)
-            for batch in batches:
+            step = max(1, HELD // len(centroids))
+            for batch in (b.slice(at, step) for b in batches for at in range(0, b.num_rows, step)):
                 v = matrix(batch.column("vector"), dims)
                 v = unit(v) if metric == "cosine" else v
                 home = gaps(v, centroids, metric).argmin(axis=1) if len(v) else np.zeros(0, np.int64)

@@ -207,3 +207,20 @@ def test_audits_leave_bad_vectors_out(spark):
     good, bad = (frame(spark, r).selectExpr("item_id AS vec_id", "vector AS embedding", "item_id % 3 AS doc", "item_id % 2 AS section") for r in (rows, rows + BAD[:3]))
     assert V.norm_audit(good).drop("total").head() == V.norm_audit(frame(spark, rows + BAD[:1]).withColumnRenamed("vector", "embedding")).drop("total").head()
     assert np.allclose(*[list(V.similarity_health(x).select("same_section", "same_document", "different_document").head()) for x in (good, bad)])
+
+
+def test_low_thresholds_have_large_cells_and_floats_travel_as_they_are(spark, monkeypatch):
+    import random
+
+    from docmill.operators import embeddings
+
+    draw, seen, fit = random.Random(5), [], embeddings.fit_centroids
+    monkeypatch.setattr(embeddings, "fit_centroids", lambda rows, cells, **more: seen.append((cells, dict(rows.dtypes)["vector"])) or fit(rows, cells, **more))
+    rows = spark.createDataFrame([(k, [draw.gauss(0, 1) for _ in range(6)]) for k in range(1500)], "vec_id long, embedding array<float>")
+    low = embeddings.near_duplicates(rows, threshold=0.3, top=20).collect()
+    monkeypatch.setattr(embeddings, "HELD", 1000)
+    monkeypatch.setattr(embeddings, "MADE", 7)
+    monkeypatch.setattr(embeddings, "TILE", 128)
+    assert embeddings.near_duplicates(rows, threshold=0.3, top=20).collect() == low and len(low) == 20
+    embeddings.near_duplicates(rows, threshold=0.99, top=20).count()
+    assert seen == [(1, "array<float>"), (12, "array<float>"), (2, "array<float>")]
