@@ -5,18 +5,20 @@ from __future__ import annotations
 from xml.etree import ElementTree
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.functions.markdown import markdown
 from docmill.functions.text import strip
 from docmill.functions.urls import path, resolve
+from docmill.session import small_batches
 
 LINK = r"\[.+?\]\((.+?)\)"
 
 
 def to_markdown(html: Column) -> Column:
     """A page as Markdown, see docmill.functions.markdown; null for a null page."""
+    small_batches(SparkSession.active())
 
     @F.arrow_udf("string")
     def run(pages: pa.Array) -> pa.Array:

@@ -7,9 +7,11 @@ import re
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from docmill.session import small_batches
+
 #: The library's own split dies in a run of a million blanks; a text with a run of so many is split here.
 BLANK = 100_000
 _BLANK = re.compile(rf"(?<!\s)\s{{{BLANK}}}")  # tried once a run
@@ -42,6 +44,8 @@ def counter(path: str, pattern: str):
 
 
 def encode(text: Column, path: str, pattern: str) -> Column:
+    small_batches(SparkSession.active())
+
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([text_ids(t.as_py(), path, pattern) for t in texts], pa.list_(pa.int32()))
@@ -51,6 +55,7 @@ def encode(text: Column, path: str, pattern: str) -> Column:
 
 def decode(ids: Column, path: str, pattern: str) -> Column:
     """The text of each list of ids; empty for a null one."""
+    small_batches(SparkSession.active())
 
     @F.arrow_udf("string")
     def run(lists: pa.Array) -> pa.Array:
@@ -60,6 +65,8 @@ def decode(ids: Column, path: str, pattern: str) -> Column:
 
 
 def token_count(text: Column, path: str, pattern: str) -> Column:
+    small_batches(SparkSession.active())
+
     @F.arrow_udf("long")
     def run(texts: pa.Array) -> pa.Array:
         return pa.array([len(text_ids(t.as_py(), path, pattern)) for t in texts], pa.int64())

@@ -141,3 +141,18 @@ def test_tokenizer_counts_and_round_trips(spark):
     mixed = "Some words, don't 123 stop\n\n  x" * 200 + " \t é漢字 "
     assert T.text_ids(mixed + " " * 100_000, path, pattern)[:500] == T.vocabulary(path, pattern).encode_ordinary(mixed)[:500]
     assert T.counter(path, pattern)("some words") == 2
+
+
+def test_batches_of_texts_are_bounded(spark):
+    from docmill.functions import html, tokenizers
+    from docmill.session import BATCH
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for make in (lambda: html.to_markdown(F.col("x")), lambda: tokenizers.encode(F.col("x"), "p", "q"), lambda: tokenizers.decode(F.col("x"), "p", "q"), lambda: tokenizers.token_count(F.col("x"), "p", "q")):
+        spark.conf.unset(key)
+        make()
+        assert int(spark.conf.get(key)) == BATCH
+    spark.conf.set(key, "1000")  # a bound that someone has set stays
+    html.to_markdown(F.col("x"))
+    assert spark.conf.get(key) == "1000"
+    spark.conf.unset(key)
