@@ -23,6 +23,8 @@ BLOCK = 256
 MOST = 64 << 20
 #: Queries of a block and vectors of a part, where queries are more.
 PART = 1 << 13
+#: Words of queries that are sent to every task, at most.
+ASKED = 1 << 18
 
 
 Step = Callable[[DataFrame], DataFrame]
@@ -132,11 +134,17 @@ def build_index(docs: DataFrame, item: str = "item_id", text: str = "text", aske
 
 
 def bm25_scores(queries: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
-    """(query_id, item_id, score) of every item that holds a query term. queries: query_id, query. Repeated terms count repeatedly."""
-    asked = queries.select("query_id", F.explode(tokens(F.coalesce("query", F.lit("")))).alias("term")).groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qf"))
-    asked = asked.join(index["terms"], "term")
+    """(query_id, item_id, score) of every item that holds a query term. queries: query_id, query. Repeated terms count repeatedly.
+
+    Postings are dealt by item; words of queries up to ASKED, counted beforehand, go to every task, so that the rows of a
+    score are made where they are added up, and none of them moves.
+    """
+    asked = queries.select("query_id", F.explode(tokens(F.coalesce("query", F.lit("")))).alias("term"))
+    few = asked.count() <= ASKED
+    asked = asked.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qf")).join(index["terms"], "term")
     mean = index["lengths"].agg(F.avg("length").alias("_mean"))
-    hits = index["postings"].join(asked, "term").join(index["lengths"], "item_id").join(F.broadcast(mean))  # one row
+    placed = index["postings"].join(index["lengths"], "item_id")
+    hits = placed.join(F.broadcast(asked) if few else asked, "term").join(F.broadcast(mean))  # ASKED rows, one row
     part = F.col("qf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("_mean")))
     return hits.groupBy("query_id", "item_id").agg(F.round(F.sum(part), 6).alias("score"))
 

@@ -75,3 +75,13 @@ def test_no_row_per_posting_moves(spark, tmp_path):
     found = Bm25Index.build(docs, f"{tmp_path}/index").top(queries, 5).collect()
     rows = sum(n for stage, n in moved(spark).items() if stage not in before)
     assert found and rows < sum(len(set(t.split())) for _, t in corpus(3, 1500))
+
+
+def test_scores_are_added_up_where_their_rows_are_made(spark, monkeypatch):
+    docs, queries = tables(spark, corpus(4, 300), [(1, "w0 w1 w40 w1"), (2, "w59 w0")])
+    scores = S.bm25_scores(queries, S.build_index(docs, asked=queries))
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query_id" not in plan.split("BroadcastExchange")[0]
+    want = ranking(S.bm25_top(queries, S.build_index(docs, asked=queries), 5))
+    monkeypatch.setattr(S, "ASKED", 0)
+    assert ranking(S.bm25_top(queries, S.build_index(docs, asked=queries), 5)) == want and want
