@@ -146,12 +146,12 @@ def _kept(df: DataFrame) -> DataFrame:
     return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _scored(spark, sf_dir):
-    return C.score_blocks(_kept(_measured(spark, sf_dir)), _table(spark, sf_dir, "documents").count())
+def _scored(spark, sf_dir, *without):
+    return C.score_blocks(_kept(_measured(spark, sf_dir).drop(*without)), _table(spark, sf_dir, "documents").count())
 
 
-def _processed(spark, sf_dir):
-    return C.process_documents(markdown(spark, sf_dir), _scored(spark, sf_dir))
+def _processed(spark, sf_dir, scored=None):
+    return C.process_documents(markdown(spark, sf_dir), _scored(spark, sf_dir) if scored is None else scored)
 
 
 @query
@@ -183,7 +183,7 @@ def repeated_blocks_updated(spark, sf_dir):
 
 @query
 def clean_scores(spark, sf_dir):
-    return _scored(spark, sf_dir).select("doc", "block_idx", "is_removed", F.array_join("triggered_signals", ",").alias("signals"), *_six("document_frequency", "boilerplate_score"))
+    return _scored(spark, sf_dir, "content").select("doc", "block_idx", "is_removed", F.array_join("triggered_signals", ",").alias("signals"), *_six("document_frequency", "boilerplate_score"))
 
 
 @query
@@ -194,12 +194,12 @@ def clean_removed(spark, sf_dir):
 
 @query
 def signal_histogram(spark, sf_dir):
-    return C.signal_histogram(_scored(spark, sf_dir))
+    return C.signal_histogram(_scored(spark, sf_dir, "content"))
 
 
 @query
 def signal_report(spark, sf_dir):
-    return C.signal_report(_scored(spark, sf_dir))
+    return C.signal_report(_scored(spark, sf_dir, "content"))
 
 
 @query
@@ -220,7 +220,8 @@ def corpus_report(spark, sf_dir):
 
 @query
 def review_sample(spark, sf_dir):
-    rows = C.review_set(_processed(spark, sf_dir), _scored(spark, sf_dir))
+    scored = _scored(spark, sf_dir)
+    rows = C.review_set(_processed(spark, sf_dir, scored), scored)
     shown = [F.size(c).cast("long").alias(f"{c}_shown") for c in ("removed", "borderline", "preserved")]
     return rows.select("doc", "page_category", "removed_count", *shown)
 

@@ -339,3 +339,21 @@ def test_crawl_says_thresholds_and_progress(spark, caplog):
     said = [r.getMessage() for r in caplog.records]
     assert "soft limit of 2 pages reached" in said and "warning limit of 3 pages reached" in said and any("queued 2" in x for x in said)
     assert W.progress(10, 7200, 10.0).endswith("2.0 h left")
+
+
+def test_blocks_are_cut_where_documents_are_read(spark):
+    texts = ["a\n\u00a0\n b \u2003\n\x1c", "```\nx\n\n|y|\n```\n| a |\n|---|\nz", "|p|\n```q```\n```\n|r|", "", None, "|\n|\n\n``` ```\nend"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc long, markdown_content string")
+    blocks = B.split_blocks(docs)
+    assert "Exchange" not in B.measure_blocks(blocks)._jdf.queryExecution().executedPlan().toString()
+    got = [(r["doc"], r["block_idx"], r["content"], r["n_blocks"]) for r in blocks.orderBy("doc", "block_idx").collect()]
+    want = [["a", "b", "\x1c"], ["```\nx\n\n|y|\n```", "| a |\n|---|", "z"], ["|p|", "```q```", "```\n|r|"], [], [], ["|\n|", "``` ```", "end"]]
+    assert got == [(d, k, c, len(w)) for d, w in enumerate(want) for k, c in enumerate(w)]
+
+
+def test_contents_of_blocks_move_once(spark):
+    docs = spark.createDataFrame([(k, f"common\nown {k}\n[x](http://x) [y](http://y)\ncommon") for k in range(9)], "doc long, markdown_content string")
+    scored = C.score_blocks(B.measure_blocks(B.split_blocks(docs)), 9)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1 and "content_hash#" not in "".join(x for x in plan.split("\n") if "Join LeftOuter" in x)
+    assert {(r["doc"], r["block_idx"], round(r["document_frequency"], 4)) for r in scored.collect()} == {(d, k, 0.1111 if k == 1 else 1.0) for d in range(9) for k in range(4)}
