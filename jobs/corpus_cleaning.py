@@ -16,11 +16,11 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docmill.operators.blocks import measure_blocks, split_blocks
-from docmill.operators.clean import corpus_report, process_documents, removed_report, repeated_blocks, score_blocks, signal_histogram
+from docmill.operators.clean import corpus_sums, process_documents, removed_report, repeated_blocks, report_of, score_blocks, signal_histogram
 from jobs.runs import command, configured, log, write
 
 STATISTICS = ("blocks_removed", "blocks_retained", "words_before", "words_after", "retention")
@@ -53,12 +53,15 @@ def clean_corpus(spark: SparkSession, documents: str, output: str, config: Confi
     scored = score_blocks(measured, n_docs)
     kept = docs.where(F.col(config.partition).cast("string").isin(*only)) if only else docs
     own = scored.join(kept.select("doc"), "doc", "left_semi") if only else scored
-    processed = process_documents(kept, own)
+    sums = Observation()  # added up while the documents are written, so that they are not cleaned again for the report
+    processed = process_documents(kept, own).observe(sums, *corpus_sums())
     cleaned = processed.join(kept.select("doc", config.partition), "doc").select(F.col("doc").alias(config.key), "cleaned_markdown", "page_category", *STATISTICS, config.partition)
     write(cleaned, f"{output}/cleaned", (config.partition,), dynamic=bool(only))
     out = spark.read.schema(cleaned.schema).parquet(f"{output}/cleaned")
     if not only:  # reports are those of the whole table
-        write(corpus_report(processed), f"{output}/reports/corpus", form="json")
+        empty = processed.limit(0).agg(*corpus_sums())
+        seen = [sums.get] if n_docs else []  # without documents, Spark takes the observation away with the rest of the plan
+        write(report_of(spark.createDataFrame(seen, empty.schema)), f"{output}/reports/corpus", form="json")
         write(repeated_blocks(measured, n_docs, config.repeated_top).coalesce(1), f"{output}/reports/repeated_blocks", form="json")
         write(removed_report(scored), f"{output}/reports/removed_blocks", form="json")
         write(signal_histogram(scored).coalesce(1), f"{output}/reports/signals", form="json")

@@ -175,3 +175,16 @@ def test_command_line(spark, tmp_path, module, arguments, output):
     assert run.returncode == 0, run.stderr[-2000:]
     assert "read " in run.stderr and "wrote " in run.stderr
     assert spark.read.parquet(f"{tmp_path}/out/{output}").count()
+
+
+def test_corpus_report_is_added_up_while_documents_are_written(spark, tmp_path, monkeypatch):
+    from docmill.operators import clean
+    from jobs import corpus_cleaning
+
+    calls, process = [], corpus_cleaning.process_documents
+    monkeypatch.setattr(corpus_cleaning, "process_documents", lambda *a: calls.append(process(*a)) or calls[-1])
+    spark.createDataFrame([(k, f"one\nown {k}\n# two", "en") for k in range(5)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/in")
+    corpus_cleaning.clean_corpus(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    got, want = spark.read.json(f"{tmp_path}/out/reports/corpus").head().asDict(), clean.corpus_report(calls[0]).head().asDict()
+    assert got == want and got["total_documents"] == 5
+    assert not hasattr(corpus_cleaning, "corpus_report")
