@@ -2,10 +2,12 @@
 
 import subprocess
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
 from harness import compare, connect
+from pyspark.sql.functions import input_file_name
 
 from docmill.functions.urls import DUPLICATE, PAGINATION, SHORT
 from docmill.operators.search import build_index
@@ -118,6 +120,35 @@ def test_index_equals_one_from_scratch(spark, tmp_path):
     assert sorted_rows(P.postings(spark, f"{tmp_path}/out").select("term", "norm_url", "tf")) == sorted_rows(index.select("term", "item_id", "tf").toDF("term", "norm_url", "tf"))
 
 
+def test_postings_are_counted_within_a_document_and_dealt_in_bounded_parts(spark, tmp_path, monkeypatch):
+    rows = [page(k, URL.format(f"p{k}"), "Common common COMMON " + " ".join(f"w{k}x{i} w{k}x{i}" for i in range(k))) for k in range(40)]
+    pages(spark, f"{tmp_path}/in", rows)
+    whole, plans = P.write, {}
+
+    def watched(df, path, *rest, **more):
+        plans[Path(path).parent.name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return whole(df, path, *rest, **more)
+
+    monkeypatch.setattr(P, "write", watched)
+    monkeypatch.setattr(P, "WORDS", 50, raising=False)
+    ingest(spark, tmp_path)
+    # no task gathers the words of all its documents
+    assert "Aggregate" not in plans["postings"]
+    got = P.postings(spark, f"{tmp_path}/out").withColumn("file", input_file_name()).collect()
+    want = {("common", URL.format(f"p{k}"), 3) for k in range(40)} | {(f"w{k}x{i}", URL.format(f"p{k}"), 2) for k in range(40) for i in range(k)}
+    assert {(r["term"], r["norm_url"], r["tf"]) for r in got if r["term"][0] in "cw"} == want and len(got) == len(want) + 40 * 3  # and of each heading: #, page and its number
+    # a word that is in all documents is in several files, and no file has more than about WORDS rows
+    sizes = Counter(r["file"] for r in got)
+    assert len({r["file"] for r in got if r["term"] == "common"}) > 1 and max(sizes.values()) <= 100, sizes
+
+
+def test_words_of_a_document_are_counted(spark):
+    texts = ["", " \n", "a", "B b  a\u00a0b\nC", "x " * 1000, None, "é É e"]
+    got = P.counted(spark.createDataFrame(list(enumerate(texts)), "norm_url int, markdown_content string"))
+    assert got.dtypes == [("term", "string"), ("norm_url", "int"), ("tf", "bigint")]
+    assert sorted(map(tuple, got.collect())) == sorted((w, k, n) for k, t in enumerate(texts) for w, n in Counter((t or "").lower().split()).items())
+
+
 def test_batch_that_was_stopped_is_taken_again(spark, tmp_path, monkeypatch):
     pages(spark, f"{tmp_path}/in", [page(k, URL.format(f"p{k}")) for k in range(6)])
     whole, calls = P.write, []
